@@ -27,14 +27,15 @@ PAGE_SIZE = 1000
 _INFO = ["name", "lat", "lon", "capacity"]
 _STATUS = ["num_bikes_available", "num_docks_available", "is_installed", "is_renting", "is_returning", "last_reported"]
 _LAST_STATUS = (
-    f"SELECT station_id, max_by(struct({', '.join(_STATUS)}), position) AS s "
-    f"FROM {STATUS_VIEW} WHERE lang = language GROUP BY station_id"
+    f"SELECT lang, station_id, max_by(struct({', '.join(_STATUS)}), position) AS s "
+    f"FROM {STATUS_VIEW} GROUP BY lang, station_id"
 )
 _STATION = (
     "struct(i.station_id, " + ", ".join(f"i.{c}" for c in _INFO) + ", "
     + ", ".join(f"l.s.{c} AS {c}" for c in _STATUS) + ")"
 )
-_MERGED = f"{INFO_VIEW} i LEFT JOIN ({_LAST_STATUS}) l ON i.station_id = l.station_id"
+# The language of the information row carries over to the status side through the join.
+_MERGED = f"{INFO_VIEW} i LEFT JOIN ({_LAST_STATUS}) l ON i.station_id = l.station_id AND i.lang = l.lang"
 
 
 def _pages(fields: str, source: str, condition: str = "TRUE") -> str:

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockline.functions import columns as C
@@ -27,6 +27,7 @@ ADVANCED_NUMBERS = BASIC_NUMBERS + [
 ]
 # --------------------------------------------------------------------------
 
+SMALL_SET = 1000  # rows; below it folds are dealt out evenly
 TARGET, PREDICTION = "trip_count", "prediction"
 PREFIX = {"start_zone": "zone", "season": "season"}
 
@@ -157,17 +158,26 @@ class TripPredictor:
         return self
 
     def cross_validate(self, fitting: DataFrame, folds: int = FOLDS) -> tuple[float, float]:
-        """Mean and spread of r2 over the folds; the test score when there is one row."""
-        rows = fitting.limit(folds).count()
+        """Mean and spread of r2 over the folds; the test score when there is one row.
+
+        Folds come from a hash of the keys. A small set, where a hash could
+        leave a fold empty, is dealt out row by row in hash order.
+        """
+        rows = fitting.limit(SMALL_SET).count()
         used = min(folds, rows)
         if used < 2:
             return self.scores.get("test_r2"), 0.0
-        bucket = hash_bucket(F.col("start_zone"), F.col("start_date"), buckets=used, seed=SEED + 1)
+        keys = (F.col("start_zone"), F.col("start_date"))
+        if rows < SMALL_SET:
+            order = Window.orderBy(hash_bucket(*keys, buckets=2 ** 31, seed=SEED + 1), *keys)
+            fold = F.pmod(F.row_number().over(order), F.lit(used))
+        else:
+            fold = hash_bucket(*keys, buckets=used, seed=SEED + 1)
         validator = CrossValidator(
             estimator=self._chain(), estimatorParamMaps=ParamGridBuilder().build(),
             evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol=PREDICTION, metricName="r2"),
             numFolds=used, foldCol="fold", parallelism=2)
-        fitted = validator.fit(fitting.withColumn("fold", bucket.cast("int")))
+        fitted = validator.fit(fitting.withColumn("fold", fold.cast("int")))
         return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
 
     def _fitted(self) -> PipelineModel:

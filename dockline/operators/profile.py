@@ -6,7 +6,7 @@ before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -17,7 +17,12 @@ def _value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
 
 
-def ranked_values(counts: DataFrame, slices: int = 200) -> DataFrame:
+def _cut_points(slices: int) -> Column:
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    return F.percentile_approx("value", shares, F.lit(10 * slices))
+
+
+def ranked_values(counts: DataFrame, slices: int = 200, cuts: Column | None = None) -> DataFrame:
     """Adds ``before``: how many rows have a smaller value.
 
     Distinct values are cut into ``slices`` ranges of about equal size; running
@@ -25,8 +30,8 @@ def ranked_values(counts: DataFrame, slices: int = 200) -> DataFrame:
     before it. Only the per-range totals (at most ``slices + 1`` rows) are ever
     ordered in one task.
     """
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = counts.agg(F.percentile_approx("value", shares, F.lit(10000)).alias("cuts")).scalar()
+    if cuts is None:
+        cuts = counts.agg(_cut_points(slices)).scalar()
     # The sorted cut points below a value give its range.
     sliced = (
         counts.withColumn("cuts", cuts)
@@ -47,8 +52,10 @@ def ranked_values(counts: DataFrame, slices: int = 200) -> DataFrame:
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max."""
     counts = _value_counts(df, column)
-    ranked = ranked_values(counts)
-    rows = F.lit(counts.agg(F.sum("n")).scalar())
+    # Row count and cut points come from one pass over the folded values.
+    known = counts.agg(F.struct(F.sum("n").alias("rows"), _cut_points(200).alias("cuts"))).scalar()
+    ranked = ranked_values(counts, cuts=known["cuts"])
+    rows = known["rows"]
 
     def at(rank):
         return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
@@ -84,7 +91,8 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over the value range, the last one closed; empty bins kept."""
     counts = _value_counts(df, column)
-    low, high = counts.agg(F.min("value")).scalar(), counts.agg(F.max("value")).scalar()
+    ends = counts.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     flat = low == high
     start = F.when(flat, low - 0.5).otherwise(low)
     width = F.when(flat, F.lit(1.0)).otherwise(high - low) / F.lit(float(bins))

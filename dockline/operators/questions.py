@@ -127,5 +127,11 @@ def answers(questions: DataFrame, metrics: DataFrame, stations: DataFrame, syste
         .when(F.contains(F.lower("question"), F.lit("status")), F.format_string(STATUS_ANSWER, *system))
         .otherwise(F.format_string(OTHER_ANSWER, *system))
     )
-    return asked.join(found, "station_param", "left").select(
-        *questions.columns, "tool_used", answer.alias("answer"))
+    # Questions without a station word would all meet in the task of the NULL
+    # key; a second key part spreads them, and matches only where it is 0.
+    spread = F.when(F.col("station_param").isNull(), F.pmod(F.xxhash64("question"), F.lit(4096))).otherwise(F.lit(0))
+    return (
+        asked.withColumn("spread", spread)
+        .join(found.withColumn("spread", F.lit(0).cast("bigint")), ["station_param", "spread"], "left")
+        .select(*questions.columns, "tool_used", answer.alias("answer"))
+    )

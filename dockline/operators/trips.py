@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from dockline.functions import columns as C
 
 
+def _look_up_zone(trips: DataFrame, stations: DataFrame, code: str, zone: str) -> DataFrame:
+    """Adds the zone of one code column.
+
+    Trips without a code match nothing but would all be sent to one task; a
+    second key part, 0 for every real code, spreads them by their contents.
+    """
+    spread = F.when(F.col(code).isNull(), F.pmod(F.xxhash64(*trips.columns), F.lit(4096)) + 1).otherwise(F.lit(0))
+    known = stations.select(
+        F.col("Code").alias(code), F.lit(0).cast("bigint").alias("__spread"), F.col("Arrondisse").alias(zone))
+    return (
+        trips.withColumn("__spread", spread)
+        .join(known, [code, "__spread"], "left")
+        .select(*trips.columns, zone)
+    )
+
+
 def merge_trips_with_stations(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Every trip with the zone of its start and of its end; NULL if unknown.
 
@@ -16,15 +32,8 @@ def merge_trips_with_stations(trips: DataFrame, stations: DataFrame) -> DataFram
     large share of the trips is split by adaptive execution. NULL codes match
     nothing.
     """
-    def zone_of(code: str, zone: str) -> DataFrame:
-        return stations.select(F.col("Code").alias(code), F.col("Arrondisse").alias(zone))
-
-    return (
-        trips
-        .join(zone_of("start_station_code", "start_zone"), "start_station_code", "left")
-        .join(zone_of("end_station_code", "end_zone"), "end_station_code", "left")
-        .select(*trips.columns, "start_zone", "end_zone")
-    )
+    started = _look_up_zone(trips, stations, "start_station_code", "start_zone")
+    return _look_up_zone(started, stations, "end_station_code", "end_zone")
 
 
 def drop_unzoned(trips: DataFrame) -> DataFrame:

@@ -39,7 +39,8 @@ def status_feed(spark, folder):
 def information_feed(spark, folder):
     fields = [f.name for f in S.INFO_STATION]
     landed = _land(spark, FD.as_envelopes(T.station_information(spark, folder), F.lit(STAMP), fields), "information")
-    return FD.station_information(spark, landed, lines=True).select(*fields, "position", "ttl")
+    place = F.pmod("position", F.lit(FD.ROWS_PER_DOCUMENT)).alias("position")
+    return FD.station_information(spark, landed, lines=True).select(*fields, place, "ttl")
 
 
 @query("system_information_feed", """

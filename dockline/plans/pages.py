@@ -13,9 +13,9 @@ from dockline.sources import tables as T
 
 # What cleaning leaves, for pages like the given ones.
 CLEAN = r"""clean AS (
-  SELECT url, html, replace(replace(regexp_replace(regexp_replace(html,
+  SELECT url, html, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
     '<(script)\b[^>]*>.*?</script>|<(style)\b[^>]*>.*?</style>|<nav\b[^>]*>.*?</nav>|<header\b[^>]*>.*?</header>|<footer\b[^>]*>.*?(</footer>|$)',
-    '', 'gs'), '<!--.*?-->|<!DOCTYPE[^>]*>', '', 'gs'), '&quot;', '"'), '&amp;', '&') AS cleaned
+    '', 'gs'), '<!--.*?-->|<!DOCTYPE[^>]*>', '', 'gs'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS cleaned
   FROM pages)"""
 RAW_LINKS = r"""raw_links AS (
   SELECT url AS src, regexp_extract(url, '^(https?://[^/?#]*)', 1) || href AS dst

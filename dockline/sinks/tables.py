@@ -38,14 +38,14 @@ def _create(spark: SparkSession, name: str, schema, path: str | None, partition:
 
 
 def append_history(rows: DataFrame, path: str) -> None:
-    """Appends snapshots below their date; each date is gathered in a few files.
+    """Appends snapshots below their date.
 
-    Rows are spread over ``date`` and a station hash, so that a day that holds
-    most of the rows is written by several tasks.
+    Rebalancing gathers each date in files of the advised size: small dates
+    are not scattered over many files, and a date with most of the rows is
+    split over several tasks.
     """
-    spread = F.pmod(F.xxhash64("station_id"), F.lit(16))
     (
-        rows.repartition("snapshot_date", spread)
+        rows.hint("rebalance", F.col("snapshot_date"))
         .write.mode("append").partitionBy("snapshot_date").parquet(path)
     )
 

@@ -1,7 +1,8 @@
 """Landed feed documents: one JSON document per file, read with explicit schemas.
 
 ``path`` may hold any number of documents (one per poll). A row's ``position``
-is its place inside its document.
+orders documents by their update time and rows by their place inside the
+document, so it is unique and the latest poll comes last.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from dockline import schemas as S
 
 NO_SUMMARY = "No summary"
+ROWS_PER_DOCUMENT = 1_000_000  # upper bound on the stations of one document
 
 
 def documents(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
@@ -22,8 +24,9 @@ def documents(spark: SparkSession, path: str, schema: T.StructType, lines: bool
 
 
 def _items(docs: DataFrame, name: str) -> DataFrame:
-    return docs.select("last_updated", "ttl", F.posexplode(f"data.{name}").alias("position", "item")).select(
-        "item.*", F.col("position").cast("bigint").alias("position"), "last_updated", "ttl")
+    place = F.coalesce("last_updated", F.lit(0)) * ROWS_PER_DOCUMENT + F.col("place")
+    return docs.select("last_updated", "ttl", F.posexplode(f"data.{name}").alias("place", "item")).select(
+        "item.*", place.alias("position"), "last_updated", "ttl")
 
 
 def station_status(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -61,7 +64,7 @@ def choose_feeds(docs: DataFrame, language: str = "en") -> DataFrame:
 
 def raw_documents(spark: SparkSession, path: str) -> DataFrame:
     """Each file as one JSON string."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("value").alias("json"))
+    return spark.read.text(path, wholetext=True).select(F.col("value").alias("json"))
 
 
 def as_envelopes(rows: DataFrame, last_updated, fields: list[str], per_document: int = 1000, ttl: int = 10) -> DataFrame:

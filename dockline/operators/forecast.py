@@ -92,7 +92,10 @@ def feature_stages(numbers: list[str], categories: list[str], scale: bool = True
 
 def estimator(model_type: str, trees: int = TREES, depth: int = 10):
     if model_type == "linear_regression":
-        return LinearRegression(featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION, regParam=0.0)
+        # One-hot columns and intercept are collinear, which the normal solver
+        # answers with an iteration; a small tolerance makes it exact.
+        return LinearRegression(featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
+                                regParam=0.0, tol=1e-12, maxIter=1000)
     if model_type == "random_forest":
         return RandomForestRegressor(
             featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
@@ -232,6 +235,12 @@ class TripPredictor:
         ordered = frame.orderBy(F.col("importance").desc(), "feature")
         return ordered if k is None else ordered.limit(k)
 
+    def scaling(self, spark: SparkSession) -> DataFrame:
+        """Mean and standard deviation of each feature of the training part."""
+        scaler = self._fitted().stages[-2]
+        pairs = zip(self._feature_names(), scaler.mean.toArray().tolist(), scaler.std.toArray().tolist())
+        return spark.createDataFrame(list(pairs), "feature string, mean double, std double")
+
     def _feature_names(self) -> list[str]:
         labels = self._fitted().stages[0].labelsArray
         names = list(self.numbers)
@@ -256,6 +265,10 @@ class TripPredictor:
                    model=PipelineModel.load(f"{path}/model"), zone_means=means)
 
 
+def totals_per_day(forecasts: DataFrame) -> DataFrame:
+    return forecasts.groupBy("start_date").agg(F.sum("predicted_trips").alias("predicted_trips"))
+
+
 def scores_frame(spark: SparkSession, predictors: dict[str, TripPredictor]) -> DataFrame:
     """One row per model, best test r2 first."""
     names = ["train_r2", "test_r2", "train_mae", "test_mae", "train_rmse", "test_rmse", "cv_r2_mean", "cv_r2_std"]

@@ -98,7 +98,7 @@ def reach(edges: DataFrame, starts: DataFrame, max_depth: int = 3) -> DataFrame:
 
     Breadth first, one join per level. Targets are made distinct before they
     meet the visited set, so a page everybody links to is folded in the map
-    tasks. Each level is checkpointed; an empty level ends the loop.
+    tasks. Each level is written to the shared folder; an empty one ends the loop.
     """
     visited = cut_lineage(starts.select("url").distinct().withColumn("depth", F.lit(0)))
     frontier = visited
@@ -114,14 +114,30 @@ def reach(edges: DataFrame, starts: DataFrame, max_depth: int = 3) -> DataFrame:
     return visited
 
 
-def crawl(parsed: DataFrame, starts: DataFrame, max_depth: int = 3) -> DataFrame:
+def links_to(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(url, links) with only the links to the given hosts, of which there may be many.
+
+    A page's links came from one page, so gathering them again is bounded.
+    """
+    return (
+        U.admissible(link_edges(parsed), "dst", hosts)
+        .groupBy(F.col("src").alias("url"))
+        .agg(F.collect_set("dst").alias("links"))
+    )
+
+
+def crawl(parsed: DataFrame, starts: DataFrame, max_depth: int = 3, links: DataFrame | None = None) -> DataFrame:
     """Parsed pages reached from the start URLs, with depth; unknown pages as errors.
 
-    ``parsed`` is read once per level for its links, so pass a written table.
+    The links are read once per level, so pass written tables. With ``links``
+    (url, links) these are followed and reported instead of the pages' own.
     """
-    reached = reach(link_edges(parsed), starts, max_depth)
+    followed = parsed.select("url", "links") if links is None else links
+    reached = reach(link_edges(followed), starts, max_depth)
+    found = parsed if links is None else parsed.drop("links").join(links, "url", "left")
     missing = F.col("status").isNull()
-    return reached.join(parsed, "url", "left").select(
+    none = F.array().cast("array<string>")
+    return reached.join(found, "url", "left").select(
         "url", "depth",
         F.when(missing, F.named_struct(
             F.lit("title"), F.lit(ERROR_TITLE),
@@ -132,7 +148,7 @@ def crawl(parsed: DataFrame, starts: DataFrame, max_depth: int = 3) -> DataFrame
         )).otherwise(F.col("metadata")).alias("metadata"),
         F.when(missing, F.format_string(ERROR_CONTENT, F.col("url"), F.lit(NO_PAGE)))
         .otherwise(F.col("content")).alias("content"),
-        F.when(missing, F.array().cast("array<string>")).otherwise(F.col("links")).alias("links"),
+        F.coalesce("links", none).alias("links"),
         F.coalesce("status", F.lit("error")).alias("status"),
     )
 

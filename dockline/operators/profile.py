@@ -54,8 +54,8 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     counts = _value_counts(df, column)
     # Row count and cut points come from one pass over the folded values.
     known = counts.agg(F.struct(F.sum("n").alias("rows"), _cut_points(200).alias("cuts"))).scalar()
-    ranked = ranked_values(counts, cuts=known["cuts"])
-    rows = known["rows"]
+    ranked = ranked_values(counts, cuts=known["cuts"]).withColumn("rows", known["rows"])
+    rows = F.col("rows")
 
     def at(rank):
         return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dockline.operators import forecast as FC
 from dockline.operators import trips as O
 from dockline.plans.registry import query
-from dockline.plans.trips import DAYS, MEANS, _zone_days
+from dockline.plans.trips import BUCKET, DAYS, MEANS, _zone_days
 from dockline.session import shared_path
 from dockline.sinks import tables as K
 from dockline.sources import tables as T
@@ -39,12 +39,63 @@ def linear_model_zone_means(spark, folder):
         F.round(F.avg("prediction"), 3).alias("mean_prediction"), F.count("*").alias("days"))
 
 
-@query("linear_model_scores")
+# Least squares with one-hot zones, stated independently: centre the three
+# calendar columns and the count within each zone, solve the three normal
+# equations by determinants, and add the zone means back.
+SOLVED = DAYS + f"""
+    , parts AS (SELECT start_zone AS z, start_date AS dd, CAST(trip_count AS DOUBLE) AS y, CAST(day_of_week AS DOUBLE) AS d,
+                       CAST(month AS DOUBLE) AS m, CAST(is_weekend AS DOUBLE) AS w,
+                       CASE WHEN {BUCKET} < 20 THEN 'test' ELSE 'train' END AS part FROM zone_days)
+    , centre AS (SELECT z, avg(y) AS my, avg(d) AS md, avg(m) AS mm, avg(w) AS mw FROM parts WHERE part = 'train' GROUP BY z)
+    , moved AS (SELECT y - my AS y, d - md AS d, m - mm AS m, w - mw AS w FROM parts JOIN centre USING (z) WHERE part = 'train')
+    , sums AS (SELECT sum(d * d) AS dd, sum(d * m) AS dm, sum(d * w) AS dw, sum(m * m) AS mm, sum(m * w) AS mw, sum(w * w) AS ww,
+                      sum(d * y) AS dy, sum(m * y) AS ym, sum(w * y) AS wy FROM moved)
+    , solved AS (SELECT
+        (dy * (mm * ww - mw * mw) - dm * (ym * ww - mw * wy) + dw * (ym * mw - mm * wy)) / det AS bd,
+        (dd * (ym * ww - wy * mw) - dy * (dm * ww - mw * dw) + dw * (dm * wy - ym * dw)) / det AS bm,
+        (dd * (mm * wy - mw * ym) - dm * (dm * wy - dw * ym) + dy * (dm * mw - mm * dw)) / det AS bw
+        FROM (SELECT *, dd * (mm * ww - mw * mw) - dm * (dm * ww - mw * dw) + dw * (dm * mw - mm * dw) AS det FROM sums))"""
+FORECAST = f"""
+    , wanted AS (SELECT z, CAST(t.day AS DATE) AS start_date, isodow(t.day) - 1 AS d, month(t.day) AS m,
+                        CASE WHEN isodow(t.day) IN (6, 7) THEN 1 ELSE 0 END AS w
+                 FROM centre, generate_series(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}', INTERVAL 1 DAY) t(day))
+    , forecast AS (SELECT z, start_date, my + bd * (d - md) + bm * (m - mm) + bw * (w - mw) AS trips
+                   FROM wanted JOIN centre USING (z), solved)"""
+
+
+@query("linear_model_scores", SOLVED + """
+    , predicted AS (SELECT part, y, my + bd * (d - md) + bm * (m - mm) + bw * (w - mw) AS p FROM parts JOIN centre USING (z), solved)
+    SELECT part, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 6) AS r2, round(avg(abs(y - p)), 6) AS mae,
+           round(sqrt(avg((y - p) ** 2)), 6) AS rmse FROM predicted GROUP BY part""")
 def linear_model_scores(spark, folder):
+    """Training and test scores of the linear model."""
+    _, predictor = _linear(spark, folder)
+    scores = predictor.scores
+    rows = [(part, *[scores[f"{part}_{n}"] for n in ("r2", "mae", "rmse")]) for part in ("train", "test")]
+    frame = spark.createDataFrame(rows, "part string, r2 double, mae double, rmse double")
+    return frame.select("part", *[F.round(n, 6).alias(n) for n in ("r2", "mae", "rmse")])
+
+
+@query("linear_model_cross_validation")
+def linear_model_cross_validation(spark, folder):
     _, predictor = _linear(spark, folder, folds=5)
     return FC.scores_frame(spark, {"linear_regression": predictor})
 
 
+@query("scaling_parameters", DAYS + f"""
+    , train AS (SELECT * FROM zone_days WHERE NOT {BUCKET} < 20)
+    SELECT 'day_of_week' AS feature, round(avg(day_of_week), 9) AS mean, round(stddev_samp(day_of_week), 9) AS std FROM train
+    UNION ALL SELECT 'month', round(avg(month), 9), round(stddev_samp(month), 9) FROM train
+    UNION ALL SELECT 'is_weekend', round(avg(CAST(is_weekend AS INTEGER)), 9), round(stddev_samp(CAST(is_weekend AS INTEGER)), 9) FROM train
+    UNION ALL SELECT 'zone_' || zone, round((SELECT avg(CAST(start_zone = zone AS INTEGER)) FROM train), 9),
+                     round((SELECT stddev_samp(CAST(start_zone = zone AS INTEGER)) FROM train), 9)
+    FROM (SELECT DISTINCT start_zone AS zone FROM train)""")
+def scaling_parameters(spark, folder):
+    """Mean and spread by which each feature is scaled, fitted on the training part."""
+    _, predictor = _linear(spark, folder)
+    return predictor.scaling(spark).select("feature", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+
+
 @query("forest_feature_importance")
 def forest_feature_importance(spark, folder):
     days = _written_days(spark, folder, advanced=True)
@@ -65,9 +116,8 @@ def model_comparison(spark, folder):
         "run_id", "kind", "key", "value", F.col("best").isNotNull().alias("is_best"))
 
 
-@query("zone_forecasts", DAYS + f"""
-    SELECT start_zone, CAST(d AS DATE) AS start_date, true AS forecast
-    FROM (SELECT DISTINCT start_zone FROM zone_days), generate_series(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}', INTERVAL 1 DAY) t(d)""")
+@query("zone_forecasts", SOLVED + FORECAST + """
+    SELECT z AS start_zone, start_date, round(trips, 5) AS predicted_trips FROM forecast""")
 def zone_forecasts(spark, folder):
     """Every zone on every date, from a saved and reloaded model."""
     days, predictor = _linear(spark, folder)
@@ -75,12 +125,22 @@ def zone_forecasts(spark, folder):
     predictor.save(path, spark)
     loaded = FC.TripPredictor.load(path, spark)
     out = loaded.forecast(O.distinct_zones(days), FIRST, LAST)
-    return out.select("start_zone", "start_date", F.col("predicted_trips").isNotNull().alias("forecast"))
+    return out.withColumn("predicted_trips", F.round("predicted_trips", 5))
 
 
-@query("forecast_totals")
+@query("forecast_totals", SOLVED + FORECAST + """
+    SELECT start_date, round(sum(trips), 4) AS predicted_trips FROM forecast GROUP BY 1""")
 def forecast_totals(spark, folder):
     """Predicted trips per date over all zones."""
     days, predictor = _linear(spark, folder)
     out = predictor.forecast(O.distinct_zones(days), FIRST, LAST)
-    return out.groupBy("start_date").agg(F.round(F.sum("predicted_trips"), 6).alias("predicted_trips"))
+    return FC.totals_per_day(out).withColumn("predicted_trips", F.round("predicted_trips", 4))
+
+
+@query("single_forecast", SOLVED + """
+    SELECT 'NATION_3' AS start_zone, DATE '2001-08-04' AS start_date, round(my + bd * (5 - md) + bm * (8 - mm) + bw * (1 - mw), 5) AS predicted_trips
+    FROM centre, solved WHERE z = 'NATION_3'""")
+def single_forecast(spark, folder):
+    _, predictor = _linear(spark, folder)
+    out = predictor.forecast_one(spark, "NATION_3", dt.date(2001, 8, 4))
+    return out.withColumn("predicted_trips", F.round("predicted_trips", 5))

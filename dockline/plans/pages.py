@@ -132,16 +132,12 @@ def unvisited_links(spark, folder):
 
 
 def _crawled(spark, folder):
-    """Crawl from every page of the table over the stored links, tables written once."""
+    """Crawl from every page of the table; pages and links are written once each."""
     root = shared_path(spark, "crawl")
     whole = O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False)
     parsed = K.overwrite(whole, f"{root}/parsed")
-    edges = U.admissible(O.link_edges(parsed), "dst", _hosts(spark, folder))
-    kept = edges.groupBy(F.col("src").alias("url")).agg(F.collect_set("dst").alias("kept"))
-    pages = K.overwrite(
-        parsed.join(kept, "url", "left").withColumn("links", F.coalesce("kept", F.array().cast("array<string>"))).drop("kept"),
-        f"{root}/pages")
-    return O.crawl(pages, T.pages(spark, folder).select("url"), max_depth=3)
+    links = K.overwrite(O.links_to(parsed, _hosts(spark, folder)), f"{root}/links")
+    return O.crawl(parsed, T.pages(spark, folder).select("url"), max_depth=3, links=links)
 
 
 CRAWLED = with_tables(LINKS, """reached AS (

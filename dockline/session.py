@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: run-time re-planning, skew splitting, and
 # UTC so that dates do not depend on the machine.
@@ -50,7 +50,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/dockline/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+    """Writes the frame to the shared folder and reads it back.
+
+    Survives the loss of any executor, ends the plan, and gives later joins
+    the real size of the table.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

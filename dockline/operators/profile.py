@@ -6,9 +6,11 @@ before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockline.session import cut_lineage
+
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -17,27 +19,23 @@ def _value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
 
 
-def _cut_points(slices: int) -> Column:
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    return F.percentile_approx("value", shares, F.lit(10 * slices))
+def sliced_values(counts: DataFrame) -> DataFrame:
+    """(value, n, slice): values cut into ranges, one per task of a range shuffle.
+
+    The result is written once and read back, so that the slices are fixed
+    and the column is folded only once.
+    """
+    ranges = counts.repartitionByRange("value").withColumn("slice", F.spark_partition_id())
+    return cut_lineage(ranges, "slices")
 
 
-def ranked_values(counts: DataFrame, slices: int = 200, cuts: Column | None = None) -> DataFrame:
+def ranked_values(sliced: DataFrame) -> DataFrame:
     """Adds ``before``: how many rows have a smaller value.
 
-    Distinct values are cut into ``slices`` ranges of about equal size; running
-    counts are taken inside each range and raised by the total of the ranges
-    before it. Only the per-range totals (at most ``slices + 1`` rows) are ever
-    ordered in one task.
+    Running counts are taken inside each slice and raised by the total of the
+    slices before it. Only the slice totals, one row per task of the range
+    shuffle, are ever ordered in one task.
     """
-    if cuts is None:
-        cuts = counts.agg(_cut_points(slices)).scalar()
-    # The sorted cut points below a value give its range.
-    sliced = (
-        counts.withColumn("cuts", cuts)
-        .withColumn("slice", F.size(F.filter("cuts", lambda c: c < F.col("value"))))
-        .drop("cuts")
-    )
     totals = sliced.groupBy("slice").agg(F.sum("n").alias("slice_rows"))
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("slice", F.coalesce(F.sum("slice_rows").over(earlier), F.lit(0)).alias("offset"))
@@ -51,36 +49,30 @@ def ranked_values(counts: DataFrame, slices: int = 200, cuts: Column | None = No
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max."""
-    counts = _value_counts(df, column)
-    # Row count and cut points come from one pass over the folded values.
-    known = counts.agg(F.struct(F.sum("n").alias("rows"), _cut_points(200).alias("cuts"))).scalar()
-    ranked = ranked_values(counts, cuts=known["cuts"]).withColumn("rows", known["rows"])
-    rows = F.col("rows")
+    sliced = sliced_values(_value_counts(df, column))
+    value, weight = F.col("value"), F.col("n").cast("double")
+    known = sliced.agg(F.struct(
+        F.sum("n").alias("rows"), (F.sum(value * weight) / F.sum(weight)).alias("mean"))).scalar()
+    ranked = ranked_values(sliced).withColumns({"rows": known["rows"], "mean": known["mean"]})
 
     def at(rank):
-        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
+        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), value))
 
     parts = []
     for name, share in QUARTILES.items():
-        exact = (rows - 1) * F.lit(share)
+        exact = (F.col("rows") - 1) * F.lit(share)
         parts += [at(F.floor(exact)).alias(f"{name}_low"), at(F.ceil(exact)).alias(f"{name}_high"),
                   F.max(exact - F.floor(exact)).alias(f"{name}_part")]
-    weight, value = F.col("n").cast("double"), F.col("value")
-    mean = F.sum(value * weight) / F.sum(weight)
+    apart = value - F.col("mean")
     moments = ranked.agg(
         F.sum("n").alias("count"),
-        mean.alias("mean"),
-        F.sum(value * value * weight).alias("squares"),
+        F.max("mean").alias("mean"),
+        F.sum(weight * apart * apart).alias("squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         *parts,
     )
-    spread = F.when(
-        F.col("count") > 1,
-        F.sqrt(F.greatest(
-            (F.col("squares") - F.col("count") * F.col("mean") * F.col("mean")) / (F.col("count") - 1),
-            F.lit(0.0))),
-    )
+    spread = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
     between = lambda n: F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")
     return moments.select(
         "count", "mean", spread.alias("std"), "min",

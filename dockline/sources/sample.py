@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockline.operators.profile import ranked_values
+from dockline.operators.profile import ranked_values, sliced_values
 
 # --- fixed values: trips per day, summer factor, jitter --------------------
 WEEKDAY_TRIPS, WEEKEND_TRIPS = 40, 60
@@ -25,7 +25,7 @@ def sample_trips(stations: DataFrame, first_day: dt.date, days: int, seed: int =
     """
     spark = stations.sparkSession
     codes = stations.select("Code").distinct()
-    numbered = ranked_values(codes.select(F.col("Code").cast("double").alias("value"), F.lit(1).alias("n")))
+    numbered = ranked_values(sliced_values(codes.select(F.col("Code").alias("value"), F.lit(1).alias("n"))))
     total = codes.agg(F.count("*")).scalar()
     day = F.date_add(F.lit(first_day), F.col("id").cast("int"))
     base = F.when(F.weekday("day") >= 5, WEEKEND_TRIPS).otherwise(WEEKDAY_TRIPS)
@@ -40,7 +40,7 @@ def sample_trips(stations: DataFrame, first_day: dt.date, days: int, seed: int =
         .select("day", (F.col("a") + 1).alias("from_no"), (F.pmod(F.col("a") + F.col("step"), total) + 1).alias("to_no"))
     )
     code = lambda name, no: numbered.select(
-        F.col("value").cast("int").alias(name), (F.col("before") + 1).alias(no))
+        F.col("value").alias(name), (F.col("before") + 1).alias(no))
     return (
         drawn.join(code("start_station_code", "from_no"), "from_no")
         .join(code("end_station_code", "to_no"), "to_no")

@@ -67,9 +67,17 @@ class SqlFunction:
     def is_table(self) -> bool:
         return self.returns.startswith("TABLE")
 
-    def ddl(self, name: str, temporary: bool) -> str:
-        kind = "TEMPORARY FUNCTION" if temporary else "FUNCTION"
-        body = self.body if self.is_table else f"({self.body})"
+    def ddl(self, name: str, home: str | None = None) -> str:
+        """Statement for the session, or for the schema ``home`` and the tables in it."""
+        kind, body = "TEMPORARY FUNCTION", self.body
+        if home:
+            kind = "FUNCTION"
+            # A permanent body is resolved wherever it is called, so it names its schema.
+            for view in (STATUS_VIEW, INFO_VIEW, SYSTEM_VIEW, ALERT_VIEW):
+                body = body.replace(view, f"{home}.{view}")
+            name = f"{home}.{name}"
+        if not self.is_table:
+            body = f"({body})"
         return (f"CREATE OR REPLACE {kind} {name}({self.params}) RETURNS {self.returns} "
                 f"COMMENT '{self.comment}' RETURN {body}")
 
@@ -132,13 +140,26 @@ def _find(name: str, prefix: str) -> SqlFunction:
 
 def get_function_sql(name: str, catalog: str = "spark_catalog", schema: str = "default",
                      include_schema: bool = True, prefix: str = "") -> str:
-    """Statements that create one permanent function; it needs permanent source tables."""
+    """Statements that create one permanent function over the source tables of its schema."""
     function = _find(name, prefix)
-    statements = [f"CREATE SCHEMA IF NOT EXISTS {catalog}.{schema};"] if include_schema else []
-    statements.append(function.ddl(f"{catalog}.{schema}.{prefix}{function.name}", temporary=False) + ";")
+    home = f"{catalog}.{schema}"
+    statements = [f"CREATE SCHEMA IF NOT EXISTS {home};"] if include_schema else []
+    statements.append(function.ddl(prefix + function.name, home) + ";")
     return "\n".join(statements)
 
 
+def create_functions(spark: SparkSession, names: list[str], catalog: str = "spark_catalog", schema: str = "default",
+                     prefix: str = "") -> list[str]:
+    """Creates permanent functions; the source tables must exist in the same schema.
+
+    Spark calls table functions without a schema name, so ``USE`` the schema for those.
+    """
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog}.{schema}")
+    for name in names:
+        spark.sql(_find(name, prefix).ddl(prefix + _find(name, prefix).name, f"{catalog}.{schema}"))
+    return [f"{catalog}.{schema}.{prefix}{_find(n, prefix).name}" for n in names]
+
+
 def register_sources(spark: SparkSession, status: DataFrame, info: DataFrame,
                      system: DataFrame | None = None, alerts: DataFrame | None = None) -> None:
     """Names the frames the functions read. ``system`` and ``alerts`` have columns json, lang."""
@@ -152,7 +173,7 @@ def register(spark: SparkSession, names: list[str], prefix: str = "") -> list[st
     created = []
     for name in names:
         function = _find(name, prefix)
-        spark.sql(function.ddl(prefix + function.name, temporary=True))
+        spark.sql(function.ddl(prefix + function.name))
         created.append(prefix + function.name)
     return created
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockline.schemas import GIVEN_TABLES
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(GIVEN_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def station_information(spark: SparkSession, folder: str) -> DataFrame:

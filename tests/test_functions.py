@@ -95,6 +95,24 @@ def test_permanent_ddl():
     assert "SCHEMA" not in FN.get_function_sql("my_get_system_capacity", "main", "city", include_schema=False, prefix="my_").split("FUNCTION")[0]
 
 
+def test_permanent_functions_work_from_any_schema(registered, tmp_path_factory):
+    home = "dockline_city"
+    registered.sql(f"CREATE SCHEMA IF NOT EXISTS {home} LOCATION '{tmp_path_factory.mktemp('city')}'")
+    try:
+        for view in (FN.STATUS_VIEW, FN.INFO_VIEW, FN.SYSTEM_VIEW, FN.ALERT_VIEW):
+            registered.table(view).write.saveAsTable(f"{home}.{view}")
+        created = FN.create_functions(registered, sorted(NAMES), schema=home, prefix="p_")
+        assert len(created) == 16
+        got = registered.sql(f"SELECT {home}.p_get_total_bikes_available(), {home}.p_count_stations_with_bikes(6)").first()
+        assert tuple(got) == (25, 1)
+        registered.sql(f"USE {home}")
+        assert registered.sql("SELECT * FROM p_get_all_stations_summary_json()").count() == 1
+        assert registered.sql(f"SHOW USER FUNCTIONS IN {home} LIKE 'p_*'").count() >= 16
+    finally:
+        registered.sql("USE default")
+        registered.sql(f"DROP SCHEMA {home} CASCADE")
+
+
 def test_unknown_name_lists_the_known_ones():
     with pytest.raises(ValueError, match="get_system_capacity"):
         FN.get_function_sql("nope")

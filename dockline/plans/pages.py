@@ -37,12 +37,12 @@ def _hosts(spark, folder):
 
 
 def _parsed(spark, folder):
-    return O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0))
+    return O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0))
 
 
 def _all_links(spark, folder):
     """Links of whole pages, navigation included, to the crawled sites."""
-    edges = O.link_edges(O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False))
+    edges = O.link_edges(O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False))
     return U.admissible(edges, "dst", _hosts(spark, folder))
 
 
@@ -110,7 +110,7 @@ def page_file_names(spark, folder):
                                    ';[^/]*$', ''), '^/+|/+$', '', 'g') AS p FROM raw_links))""")
 def link_file_names(spark, folder):
     """File names of link targets, which hold accents and punctuation."""
-    edges = O.link_edges(O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False))
+    edges = O.link_edges(O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False))
     return edges.select("dst").distinct().select("dst", U.file_name(F.col("dst")).alias("filename"))
 
 
@@ -134,7 +134,7 @@ def unvisited_links(spark, folder):
 def _crawled(spark, folder):
     """Crawl from every page of the table; pages and links are written once each."""
     root = shared_path(spark, "crawl")
-    whole = O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False)
+    whole = O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False)
     parsed = K.overwrite(whole, f"{root}/parsed")
     links = K.overwrite(O.links_to(parsed, _hosts(spark, folder)), f"{root}/links")
     return O.crawl(parsed, T.pages(spark, folder).select("url"), max_depth=3, links=links)

@@ -21,7 +21,7 @@ from dockline.sources import feeds as FD
 
 @dataclass(frozen=True)
 class LandedFeeds:
-    """Feed documents landed as ``<root>/<language>/<feed>.json`` and ``<root>/gbfs.json``.
+    """Feed documents landed as ``<root>/<language>/<feed>.json`` and ``<root>/feeds.json``.
 
     A path may be a file or a folder of documents. Every method returns a
     DataFrame and reads only what its result needs.
@@ -34,7 +34,7 @@ class LandedFeeds:
         return f"{self.root}/{language}/{feed}.json"
 
     def feeds(self, language: str = "en") -> DataFrame:
-        return FD.feed_list(self.spark, f"{self.root}/gbfs.json", language)
+        return FD.feed_list(self.spark, f"{self.root}/feeds.json", language)
 
     def station_status(self, language: str = "en") -> DataFrame:
         return FD.station_status(self.spark, self._path("station_status", language)).drop("last_updated", "ttl")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dockline.operators.history import history_rows  # noqa: F401
 from dockline.plans.registry import HISTORY, INFO, SNAPSHOTS, query, with_tables
 from dockline.session import shared_path
 from dockline.sources import tables as T

@@ -19,7 +19,7 @@ def feeds(spark, folder):
             json.dump(document, out, indent=2)
 
     wrap = lambda name, items: {"last_updated": 1700000000, "ttl": 10, "data": {name: items}}
-    put("gbfs.json", {"data": {"en": {"feeds": [{"name": "station_status", "url": "u"}]}}})
+    put("feeds.json", {"data": {"en": {"feeds": [{"name": "station_status", "url": "u"}]}}})
     for language, bikes in (("en", 7), ("fr", 9)):
         put(f"{language}/station_status.json", wrap("stations", [
             {"station_id": "1", "num_bikes_available": bikes, "num_docks_available": 2, "is_installed": True, "is_renting": True, "is_returning": True},

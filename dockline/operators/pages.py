@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import partial
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockline.functions import urls as U
+from dockline.operators import markup
 from dockline.operators.markup import read_page
 from dockline.session import cut_lineage
 
+# The page reader travels with the task, so executors need no copy of the package.
+for _module in (markup, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 # --- fixed values ---------------------------------------------------------
 CONTENT_HEADER = (
     "# %s\n\n"

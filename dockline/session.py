@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +30,18 @@ def build_session(master: str | None = None, app: str = "dockline", **conf: str)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
+    """The folder that all executors share.
 
-    Only a session without ``spark.checkpoint.dir`` (a unit test) gets a
-    temporary folder of its own.
+    That is the one the cluster names in ``spark.checkpoint.dir``, else the context's checkpoint folder, else one
+    below the warehouse, which tables need to be shared as well. No folder is ever made up.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="dockline-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise ValueError("the session names neither spark.checkpoint.dir nor a warehouse folder")
+    return f"{warehouse.rstrip('/')}/_intermediate"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -59,3 +58,10 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Removes what ``shared_path`` has given out in this folder; call it when no result that reads it is open."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/dockline")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import chat, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
+from dockline.llm import chat, flat_graph, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
 from dockline.llm.common import table
 from dockline.session import cut_lineage
 
@@ -18,6 +18,10 @@ def tokenizer_file(name: str) -> bytes:
         return file.read()
 
 
+def op1_embedding_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_graph.embedding_groups(table(spark, folder, "embeddings"))
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     encoded = pieces.encode_pieces(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return pieces.piece_digests(encoded)
@@ -72,6 +76,6 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_token_files, op4_simhash, op5_quality_rules, op6_quality_neighbours,
+    op1_embedding_groups, op2_sentencepiece, op3_token_files, op4_simhash, op5_quality_rules, op6_quality_neighbours,
     op7_toxicity, op8_chat, op9_mixing, op10_token_counts)}
 ORACLES = {"op8_chat": OP8_SQL.strip()}

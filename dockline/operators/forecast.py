@@ -7,10 +7,8 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +25,8 @@ ADVANCED_NUMBERS = BASIC_NUMBERS + [
 ]
 # --------------------------------------------------------------------------
 
-SMALL_SET = 1000  # rows; below it folds are dealt out evenly
+DEEPEST = 30  # the deepest trees that Spark ML grows
+SPLIT_BUCKETS = 2 ** 31
 TARGET, PREDICTION = "trip_count", "prediction"
 PREFIX = {"start_zone": "zone", "season": "season"}
 
@@ -39,8 +38,24 @@ def hash_bucket(*keys: Column, buckets: int = 100, seed: int = SEED) -> Column:
 
 
 def split_column(test_share: float = TEST_SHARE, seed: int = SEED) -> Column:
-    bucket = hash_bucket(F.col("start_zone"), F.col("start_date"), seed=seed)
-    return F.when(bucket < round(100 * test_share), F.lit("test")).otherwise(F.lit("train"))
+    bucket = hash_bucket(F.col("start_zone"), F.col("start_date"), buckets=SPLIT_BUCKETS, seed=seed)
+    return F.when(bucket < round(SPLIT_BUCKETS * test_share), F.lit("test")).otherwise(F.lit("train"))
+
+
+def with_folds(rows: DataFrame, folds: int, seed: int = SEED + 1) -> DataFrame:
+    """Adds ``fold``, even for any number of rows: the place of a row in the order of its key hash, modulo folds.
+
+    The place is the rank inside a slice of the hash range plus the rows of all slices before it; only the
+    slice totals, a fixed number of rows, meet in one task.
+    """
+    keys = [F.col("start_zone"), F.col("start_date")]
+    marked = rows.withColumn("_hash", hash_bucket(*keys, buckets=2 ** 31, seed=seed)) \
+        .withColumn("_slice", F.shiftright("_hash", 19))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = marked.groupBy("_slice").count().select("_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_slice").orderBy("_hash", *keys))
+    return marked.withColumn("_rank", rank).join(totals, "_slice").select(
+        *rows.columns, F.pmod(F.col("_before") + F.col("_rank"), F.lit(folds)).cast("int").alias("fold"))
 
 
 def train_test(zone_days: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +105,7 @@ def feature_stages(numbers: list[str], categories: list[str], scale: bool = True
     return stages
 
 
-def estimator(model_type: str, trees: int = TREES, depth: int = 10):
+def estimator(model_type: str, trees: int = TREES, depth: int = DEEPEST):
     if model_type == "linear_regression":
         # One-hot columns and intercept are collinear, which the normal solver
         # answers with an iteration; a small tolerance makes it exact.
@@ -100,7 +115,7 @@ def estimator(model_type: str, trees: int = TREES, depth: int = 10):
         return RandomForestRegressor(
             featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
             numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all")
-    raise ValueError(f"Unknown model type: {model_type}")
+    raise ValueError(f"model_type is one of {MODEL_TYPES}, not {model_type!r}")
 
 
 @dataclass
@@ -110,7 +125,7 @@ class TripPredictor:
     model_type: str = "random_forest"
     advanced: bool = False
     trees: int = TREES
-    depth: int = 10
+    depth: int = DEEPEST
     model: PipelineModel | None = None
     scores: dict[str, float] = field(default_factory=dict)
     zone_means: DataFrame | None = None
@@ -163,25 +178,26 @@ class TripPredictor:
     def cross_validate(self, fitting: DataFrame, folds: int = FOLDS) -> tuple[float, float]:
         """Mean and spread of r2 over the folds; the test score when there is one row.
 
-        Folds come from a hash of the keys. A small set, where a hash could
-        leave a fold empty, is dealt out row by row in hash order.
+        Categories are indexed once; scaling and model are fitted anew without each fold, one at a time.
         """
-        rows = fitting.limit(SMALL_SET).count()
-        used = min(folds, rows)
+        used = min(folds, fitting.count())
         if used < 2:
             return self.scores.get("test_r2"), 0.0
-        keys = (F.col("start_zone"), F.col("start_date"))
-        if rows < SMALL_SET:
-            order = Window.orderBy(hash_bucket(*keys, buckets=2 ** 31, seed=SEED + 1), *keys)
-            fold = F.pmod(F.row_number().over(order), F.lit(used))
-        else:
-            fold = hash_bucket(*keys, buckets=used, seed=SEED + 1)
-        validator = CrossValidator(
-            estimator=self._chain(), estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol=PREDICTION, metricName="r2"),
-            numFolds=used, foldCol="fold", parallelism=2)
-        fitted = validator.fit(fitting.withColumn("fold", fold.cast("int")))
-        return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
+        *prepare, scale = feature_stages(self.numbers, self.categories)
+        ready = Pipeline(stages=prepare).fit(fitting).transform(with_folds(fitting, used)) \
+            .select("fold", "raw_features", TARGET).persist()
+        try:
+            values = []
+            for fold in range(used):
+                chain = Pipeline(stages=[scale, estimator(self.model_type, self.trees, self.depth)]).fit(ready.where(F.col("fold") != fold))
+                values.append(metrics(chain.transform(ready.where(F.col("fold") == fold))).first()["r2"])
+        finally:
+            ready.unpersist()
+        known = [v for v in values if v is not None]  # one held-out value has no variance, hence no r2
+        if not known:
+            return self.scores.get("test_r2"), 0.0
+        mean = sum(known) / len(known)
+        return mean, (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5
 
     def _fitted(self) -> PipelineModel:
         if self.model is None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dockline.operators import forecast as FC
 from dockline.operators import trips as O
 from dockline.plans.registry import query
-from dockline.plans.trips import BUCKET, DAYS, MEANS, _zone_days
+from dockline.plans.trips import BUCKET, DAYS, HASH, MEANS, TEST_BELOW, _zone_days
 from dockline.session import shared_path
 from dockline.sinks import tables as K
 from dockline.sources import tables as T
@@ -45,7 +45,7 @@ def linear_model_zone_means(spark, folder):
 SOLVED = DAYS + f"""
     , parts AS (SELECT start_zone AS z, start_date AS dd, CAST(trip_count AS DOUBLE) AS y, CAST(day_of_week AS DOUBLE) AS d,
                        CAST(month AS DOUBLE) AS m, CAST(is_weekend AS DOUBLE) AS w,
-                       CASE WHEN {BUCKET} < 20 THEN 'test' ELSE 'train' END AS part FROM zone_days)
+                       CASE WHEN {BUCKET} < {TEST_BELOW} THEN 'test' ELSE 'train' END AS part FROM zone_days)
     , centre AS (SELECT z, avg(y) AS my, avg(d) AS md, avg(m) AS mm, avg(w) AS mw FROM parts WHERE part = 'train' GROUP BY z)
     , moved AS (SELECT y - my AS y, d - md AS d, m - mm AS m, w - mw AS w FROM parts JOIN centre USING (z) WHERE part = 'train')
     , sums AS (SELECT sum(d * d) AS dd, sum(d * m) AS dm, sum(d * w) AS dw, sum(m * m) AS mm, sum(m * w) AS mw, sum(w * w) AS ww,
@@ -76,14 +76,45 @@ def linear_model_scores(spark, folder):
     return frame.select("part", *[F.round(n, 6).alias(n) for n in ("r2", "mae", "rmse")])
 
 
-@query("linear_model_cross_validation")
+# The same equations without each fold in turn; r2 on the rows left out.
+FOLDED = DAYS + f"""
+    , dealt AS (SELECT start_zone AS z, CAST(trip_count AS DOUBLE) AS y, CAST(day_of_week AS DOUBLE) AS d, CAST(month AS DOUBLE) AS m,
+                       CAST(is_weekend AS DOUBLE) AS w, row_number() OVER (ORDER BY {HASH.format(seed=43)}, start_zone, start_date) % 5 AS fold
+                FROM zone_days WHERE NOT {BUCKET} < {TEST_BELOW})
+    , pairs AS (SELECT f.range AS f, dealt.* FROM dealt, range(5) f)
+    , centre AS (SELECT f, z, avg(y) AS my, avg(d) AS md, avg(m) AS mm, avg(w) AS mw FROM pairs WHERE fold <> f GROUP BY f, z)
+    , moved AS (SELECT f, y - my AS y, d - md AS d, m - mm AS m, w - mw AS w FROM pairs JOIN centre USING (f, z) WHERE fold <> f)
+    , sums AS (SELECT f, sum(d * d) AS dd, sum(d * m) AS dm, sum(d * w) AS dw, sum(m * m) AS mm, sum(m * w) AS mw, sum(w * w) AS ww,
+                      sum(d * y) AS dy, sum(m * y) AS ym, sum(w * y) AS wy FROM moved GROUP BY f)
+    , solved AS (SELECT f,
+        (dy * (mm * ww - mw * mw) - dm * (ym * ww - mw * wy) + dw * (ym * mw - mm * wy)) / det AS bd,
+        (dd * (ym * ww - wy * mw) - dy * (dm * ww - mw * dw) + dw * (dm * wy - ym * dw)) / det AS bm,
+        (dd * (mm * wy - mw * ym) - dm * (dm * wy - dw * ym) + dy * (dm * mw - mm * dw)) / det AS bw
+        FROM (SELECT *, dd * (mm * ww - mw * mw) - dm * (dm * ww - mw * dw) + dw * (dm * mw - mm * dw) AS det FROM sums))
+    , scores AS (SELECT f, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2 FROM (
+        SELECT f, y, my + bd * (d - md) + bm * (m - mm) + bw * (w - mw) AS p
+        FROM pairs JOIN centre USING (f, z) JOIN solved USING (f) WHERE fold = f) GROUP BY f)"""
+
+
+@query("linear_model_cross_validation", FOLDED + """
+    SELECT 'linear_regression' AS model, round(avg(r2), 6) AS cv_r2_mean, round(stddev_pop(r2), 6) AS cv_r2_std FROM scores""")
 def linear_model_cross_validation(spark, folder):
+    """Mean and spread of r2 over five folds."""
     _, predictor = _linear(spark, folder, folds=5)
-    return FC.scores_frame(spark, {"linear_regression": predictor})
+    scores = FC.scores_frame(spark, {"linear_regression": predictor})
+    return scores.select("model", F.round("cv_r2_mean", 6).alias("cv_r2_mean"), F.round("cv_r2_std", 6).alias("cv_r2_std"))
+
+
+@query("fold_sizes", FOLDED.split(", pairs AS")[0] + """
+    SELECT CAST(fold AS INTEGER) AS fold, count(*) AS days FROM dealt GROUP BY fold""")
+def fold_sizes(spark, folder):
+    """Days in each of the five folds: even whatever the number of days."""
+    fitting, _ = FC.train_test(_zone_days(spark, folder))
+    return FC.with_folds(fitting, 5).groupBy("fold").agg(F.count("*").alias("days"))
 
 
 @query("scaling_parameters", DAYS + f"""
-    , train AS (SELECT * FROM zone_days WHERE NOT {BUCKET} < 20)
+    , train AS (SELECT * FROM zone_days WHERE NOT {BUCKET} < {TEST_BELOW})
     SELECT 'day_of_week' AS feature, round(avg(day_of_week), 9) AS mean, round(stddev_samp(day_of_week), 9) AS std FROM train
     UNION ALL SELECT 'month', round(avg(month), 9), round(stddev_samp(month), 9) FROM train
     UNION ALL SELECT 'is_weekend', round(avg(CAST(is_weekend AS INTEGER)), 9), round(stddev_samp(CAST(is_weekend AS INTEGER)), 9) FROM train

@@ -216,16 +216,17 @@ def tool_usage_since(spark, folder):
 
 # --- model input -----------------------------------------------------------
 
-BUCKET = ("CAST(CAST('0x' || substr(md5(start_zone || '|' || CAST(start_date AS VARCHAR) || '|42'), 1, 8) AS UBIGINT) % 100 "
-          "AS BIGINT)")
+HASH = "CAST(CAST('0x' || substr(md5(start_zone || '|' || CAST(start_date AS VARCHAR) || '|{seed}'), 1, 8) AS UBIGINT) % 2147483648 AS BIGINT)"
+BUCKET = HASH.format(seed=42)
+TEST_BELOW = 429496730  # a fifth of 2^31
 MEANS = f"""
-    , parts AS (SELECT *, CASE WHEN {BUCKET} < 20 THEN 'test' ELSE 'train' END AS part FROM zone_days)
+    , parts AS (SELECT *, CASE WHEN {BUCKET} < {TEST_BELOW} THEN 'test' ELSE 'train' END AS part FROM zone_days)
     , means AS (SELECT start_zone, avg(trip_count) AS prediction FROM parts WHERE part = 'train' GROUP BY 1)
     , predicted AS (SELECT part, trip_count, prediction FROM parts JOIN means USING (start_zone))"""
 
 
 @query("train_test_split", DAYS + f"""
-    SELECT start_zone, start_date, trip_count, CASE WHEN {BUCKET} < 20 THEN 'test' ELSE 'train' END AS part FROM zone_days""")
+    SELECT start_zone, start_date, trip_count, CASE WHEN {BUCKET} < {TEST_BELOW} THEN 'test' ELSE 'train' END AS part FROM zone_days""")
 def train_test_split(spark, folder):
     train, test = FC.train_test(_zone_days(spark, folder))
     labelled = lambda df, name: df.select("start_zone", "start_date", "trip_count", F.lit(name).alias("part"))
@@ -235,8 +236,10 @@ def train_test_split(spark, folder):
 @query("one_hot_features", DAYS + "SELECT day_of_week, month, is_weekend, trip_count, start_date, " + ", ".join(
     f"CAST(start_zone = 'NATION_{i}' AS INTEGER) AS zone_NATION_{i}" for i in range(25)) + " FROM zone_days")
 def one_hot_features(spark, folder):
-    """Wide one-hot form for a known list of zones."""
-    return FC.one_hot(_zone_days(spark, folder), {"start_zone": [f"NATION_{i}" for i in range(25)]})
+    """Wide one-hot form; the columns are the zones that occur."""
+    days = _zone_days(spark, folder)
+    zones = [r["zone"] for r in T.zones(spark, folder).select(F.col("Arrondisse").alias("zone")).distinct().orderBy("zone").collect()]
+    return FC.one_hot(days, {"start_zone": zones})
 
 
 @query("zone_mean_model_metrics", DAYS + MEANS + """

@@ -23,8 +23,8 @@ from dockline.sources import feeds as FD
 class LandedFeeds:
     """Feed documents landed as ``<root>/<language>/<feed>.json`` and ``<root>/feeds.json``.
 
-    A path may be a file or a folder of documents. Every method returns a
-    DataFrame and reads only what its result needs.
+    A path may be a file or a folder of documents, of which the one updated last is the live state. Every
+    method returns a DataFrame and reads only what its result needs.
     """
 
     spark: SparkSession
@@ -37,19 +37,19 @@ class LandedFeeds:
         return FD.feed_list(self.spark, f"{self.root}/feeds.json", language)
 
     def station_status(self, language: str = "en") -> DataFrame:
-        return FD.station_status(self.spark, self._path("station_status", language)).drop("last_updated", "ttl")
+        return FD.station_status(self.spark, self._path("station_status", language), newest=True).drop("last_updated", "ttl")
 
     def station_information(self, language: str = "en") -> DataFrame:
-        return FD.station_information(self.spark, self._path("station_information", language)).drop("last_updated", "ttl")
+        return FD.station_information(self.spark, self._path("station_information", language), newest=True).drop("last_updated", "ttl")
 
     def system_information(self, language: str = "en") -> DataFrame:
-        return FD.system_information(self.spark, self._path("system_information", language))
+        return FD.system_information(self.spark, self._path("system_information", language), newest=True)
 
     def system_alerts(self, language: str = "en") -> DataFrame:
-        return FD.system_alerts(self.spark, self._path("system_alerts", language))
+        return FD.system_alerts(self.spark, self._path("system_alerts", language), newest=True)
 
     def vehicle_types(self, language: str = "en") -> DataFrame:
-        return FD.vehicle_types(self.spark, self._path("vehicle_types", language))
+        return FD.vehicle_types(self.spark, self._path("vehicle_types", language), newest=True)
 
     def find_stations_with_bikes(self, min_bikes: int = 1, language: str = "en") -> DataFrame:
         return ST.find_with_bikes(self.station_status(language), self.station_information(language), min_bikes)

@@ -114,7 +114,7 @@ def estimator(model_type: str, trees: int = TREES, depth: int = DEEPEST):
     if model_type == "random_forest":
         return RandomForestRegressor(
             featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
-            numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all")
+            numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=SEED, featureSubsetStrategy="all")
     raise ValueError(f"model_type is one of {MODEL_TYPES}, not {model_type!r}")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockline.functions import columns as C
+from dockline.operators.stations import latest_per_key
 
 
 def history_rows(stations: DataFrame, snapshot_time: Column | None = None) -> DataFrame:
@@ -28,8 +29,13 @@ def history_rows(stations: DataFrame, snapshot_time: Column | None = None) -> Da
 
 
 def snapshot_history(snapshots: DataFrame, info: DataFrame) -> DataFrame:
-    """Polled snapshots completed with the static columns of their station."""
-    static = info.select("station_id", "name", "lat", "lon", "capacity")
+    """Polled snapshots completed with the static columns of their station.
+
+    A station that the information holds more than once counts with its last row (with any of them where no
+    position orders the rows).
+    """
+    placed = info if "position" in info.columns else info.withColumn("position", F.lit(0))
+    static = latest_per_key(placed.select("station_id", "name", "lat", "lon", "capacity", "position")).drop("position")
     return history_rows(snapshots.join(static, "station_id", "left"), F.col("snapshot_time"))
 
 

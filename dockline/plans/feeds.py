@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from dockline import schemas as S
@@ -39,10 +41,51 @@ def status_feed(spark, folder):
 def information_feed(spark, folder):
     fields = [f.name for f in S.INFO_STATION]
     landed = _land(spark, FD.as_envelopes(T.station_information(spark, folder), F.lit(STAMP), fields), "information")
-    place = F.pmod("position", F.lit(FD.ROWS_PER_DOCUMENT)).alias("position")
+    place = F.col("position.place").cast("bigint").alias("position")
     return FD.station_information(spark, landed, lines=True).select(*fields, place, "ttl")
 
 
+@query("numeric_flag_feed", with_tables(STATUS) + """
+    SELECT station_id, is_installed, is_renting, is_returning FROM status""")
+def numeric_flag_feed(spark, folder):
+    """Flags written as 0 and 1, as numbers and as texts."""
+    status = T.station_status(spark, folder).withColumns({
+        "is_installed": F.col("is_installed").cast("int"), "is_renting": F.col("is_renting").cast("int").cast("string"),
+        "is_returning": F.col("is_returning").cast("string")})
+    names = ["station_id", "is_installed", "is_renting", "is_returning"]
+    landed = _land(spark, FD.as_envelopes(status, F.lit(STAMP), names), "flags")
+    return FD.station_status(spark, landed, lines=True).select(*names)
+
+
+@query("further_feed_fields", """
+    SELECT CAST(p_partkey AS VARCHAR) AS station_id, p_brand AS brand, CAST(p_retailprice AS DOUBLE) AS price FROM part""")
+def further_feed_fields(spark, folder):
+    """Fields that no schema names come through in the raw item."""
+    part = T.table(spark, folder, "part").select(F.col("p_partkey").alias("position"), F.col("p_partkey").cast("string").alias("station_id"),
+                                                 F.struct(F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price")).alias("extra"))
+    landed = _land(spark, FD.as_envelopes(part, F.lit(STAMP), ["station_id", "extra"]), "further")
+    read = FD.station_information(spark, landed, lines=True, raw=True)
+    return read.select("station_id", F.get_json_object("raw", "$.extra.brand").alias("brand"),
+                       F.get_json_object("raw", "$.extra.price").cast("double").alias("price"))
+
+
+def _two_polls(spark, folder, label):
+    """Information of two polls; the earlier one holds only half the stations, twice as large."""
+    info, path = T.station_information(spark, folder), shared_path(spark, label)
+    half = info.where("position % 2 = 0").withColumn("capacity", 2 * F.col("capacity"))
+    fields = [f.name for f in S.INFO_STATION]
+    for frame, stamp in ((half, STAMP), (info, STAMP + 60)):
+        FD.as_envelopes(frame, F.lit(stamp), fields).write.mode("append").text(path)
+    return path
+
+
+@query("latest_row_over_polls", with_tables(INFO) + "SELECT station_id, capacity FROM info")
+def latest_row_over_polls(spark, folder):
+    """All landed polls, reduced to the last row of each station."""
+    read = FD.station_information(spark, _two_polls(spark, folder, "all-polls"), lines=True)
+    return ST.latest_per_key(read).select("station_id", "capacity")
+
+
 @query("system_information_feed", """
     SELECT CAST(s_suppkey AS VARCHAR) AS system_id, 'en' AS language, s_name AS name, 'UTC' AS timezone FROM supplier""")
 def system_information_feed(spark, folder):
@@ -117,15 +160,20 @@ def trip_csv(spark, folder):
     return FL.trip_records(spark, path)
 
 
-@query("csv_file_listing", with_tables(TRIPS) + "SELECT true AS any_file, true AS named_csv, true AS sized FROM trips LIMIT 1")
+@query("csv_file_listing", with_tables(TRIPS) + r"""
+    SELECT true AS named_csv, true AS sized, CAST(sum(length(coalesce(CAST(start_station_code AS VARCHAR), '')) + 1
+           + length(coalesce(CAST(end_station_code AS VARCHAR), '')) + 1
+           + length(strftime(start_date, '%Y-%m-%d %H:%M:%S')) + 1) AS BIGINT) AS row_bytes FROM trips""")
 def csv_file_listing(spark, folder):
-    """Listing of the files a CSV write produced; names and sizes differ from run to run."""
+    """Listing of the files a CSV write produced: their sizes without the header lines are those of the rows."""
     path = shared_path(spark, "listing")
-    K.write_csv(T.trips(spark, folder), path)
-    return FL.file_listing(spark, path).agg(
-        (F.count("*") > 0).alias("any_file"),
+    trips = T.trips(spark, folder).withColumn("start_date", F.date_format("start_date", "yyyy-MM-dd HH:mm:ss"))
+    K.write_csv(trips, path)
+    header = len(",".join(trips.columns)) + 1
+    return FL.file_listing(spark, path).where("size_bytes > 0").agg(
         F.bool_and(F.endswith("name", F.lit(".csv"))).alias("named_csv"),
-        F.bool_and(F.col("size_mb") == F.round(F.col("size_bytes") / F.lit(1048576), 2)).alias("sized"))
+        F.bool_and(F.col("size_mb") == F.round(F.col("size_bytes") / F.lit(1048576), 2)).alias("sized"),
+        F.sum(F.col("size_bytes") - header).alias("row_bytes"))
 
 
 @query("overwritten_trip_table", with_tables(TRIPS) + "SELECT * FROM trips")
@@ -166,6 +214,20 @@ def snapshot_insert(spark, folder):
 
 @query("usage_log_table", with_tables(LOG) + "SELECT * FROM log")
 def usage_log_table(spark, folder):
-    path = shared_path(spark, "log")
-    T.usage_log(spark, folder).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """Log rows appended to the created table and read back by name."""
+    name = f"dockline_log_{uuid.uuid4().hex}"
+    K.create_usage_log(spark, name, shared_path(spark, "log"))
+    log = T.usage_log(spark, folder)
+    K.append_table(log.withColumn("timestamp", F.col("timestamp").cast("timestamp")), name)
+    return FL.catalog_table(spark, name).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("created_history_table", with_tables(INFO, SNAPSHOTS, HISTORY) + """
+    SELECT station_id, station_name, utilization_pct, snapshot_date FROM history""")
+def created_history_table(spark, folder):
+    """Snapshots appended to the created, partitioned history table."""
+    name = f"dockline_history_{uuid.uuid4().hex}"
+    K.create_history(spark, name, shared_path(spark, "history-table"))
+    rows = H.snapshot_history(T.snapshots(spark, folder), T.station_information(spark, folder))
+    K.append_table(rows.withColumn("snapshot_time", F.col("snapshot_time").cast("timestamp")), name)
+    return FL.catalog_table(spark, name).select("station_id", "station_name", "utilization_pct", "snapshot_date")

@@ -130,7 +130,7 @@ def scaling_parameters(spark, folder):
 @query("forest_feature_importance")
 def forest_feature_importance(spark, folder):
     days = _written_days(spark, folder, advanced=True)
-    predictor = FC.TripPredictor("random_forest", advanced=True, depth=6, zone_means=O.zone_means(days)).train(days, folds=None)
+    predictor = FC.TripPredictor("random_forest", advanced=True, zone_means=O.zone_means(days)).train(days, folds=None)
     return predictor.feature_importance(spark, 15)
 
 
@@ -138,7 +138,7 @@ def forest_feature_importance(spark, folder):
 def model_comparison(spark, folder):
     """Both model types on the same split, best first, kept as run records."""
     days = _written_days(spark, folder)
-    predictors = {m: FC.TripPredictor(m, depth=5).train(days, folds=None) for m in FC.MODEL_TYPES}
+    predictors = {m: FC.TripPredictor(m).train(days) for m in FC.MODEL_TYPES}
     path = shared_path(spark, "runs")
     for name, predictor in predictors.items():
         FC.run_records(spark, name, predictor).write.mode("append").parquet(path)

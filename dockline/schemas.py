@@ -33,24 +33,25 @@ def _listed(name: str, item: T.DataType) -> T.StructType:
     return _envelope(T.StructType([T.StructField(name, T.ArrayType(item))]))
 
 
-STATUS_FEED = _listed("stations", STATUS_STATION)
-INFO_FEED = _listed("stations", INFO_STATION)
-ALERT_FEED = _listed("alerts", T.StructType([
+# Items of a feed are read as JSON text, so that fields beyond the named ones are not lost.
+ITEM_FEED = {name: _listed(name, T.StringType()) for name in ("stations", "alerts", "vehicle_types")}
+ALERT = T.StructType([
     T.StructField("alert_id", T.StringType()),
     T.StructField("type", T.StringType()),
     T.StructField("summary", T.StringType()),
-]))
-VEHICLE_TYPE_FEED = _listed("vehicle_types", T.StructType([
+])
+VEHICLE_TYPE = T.StructType([
     T.StructField("vehicle_type_id", T.StringType()),
     T.StructField("form_factor", T.StringType()),
     T.StructField("propulsion_type", T.StringType()),
-]))
-SYSTEM_FEED = _envelope(T.StructType([
+])
+SYSTEM = T.StructType([
     T.StructField("system_id", T.StringType()),
     T.StructField("language", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("timezone", T.StringType()),
-]))
+])
+SYSTEM_FEED = _envelope(T.StringType())
 FEED_LIST = _envelope(T.MapType(T.StringType(), T.StructType([
     T.StructField("feeds", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()),

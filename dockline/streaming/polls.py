@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dockline import schemas as S
 from dockline.functions import columns as C
+from dockline.sources.feeds import typed
 
 POLL = T.StructType([
     T.StructField("snapshot_time", T.TimestampType()),
@@ -31,13 +32,13 @@ def landed_polls(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 def landed_envelopes(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """Whole status documents as a stream of station rows."""
-    reader = spark.readStream.schema(S.STATUS_FEED).option("multiLine", True)
+    reader = spark.readStream.schema(S.ITEM_FEED["stations"]).option("multiLine", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.json(folder)
-        .select("last_updated", F.explode("data.stations").alias("s"))
-        .select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", "s.*")
+        .select("last_updated", F.explode("data.stations").alias("item"))
+        .select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", *typed(F.col("item"), S.STATUS_STATION))
     )
 
 

@@ -35,6 +35,22 @@ def test_status_documents(spark, folder):
     assert rows(latest_per_key(got), "station_id", "num_bikes_available") == [("1", 4), ("2", None)]
 
 
+def test_flags_fields_and_positions(spark, folder):
+    path = land(folder, "flags",
+                {"last_updated": 5, "data": {"stations": [{"station_id": "1", "is_renting": 1, "is_installed": "0", "is_returning": "TRUE", "more": {"x": 1}},
+                                                          {"station_id": "2"}]}},
+                {"last_updated": 5, "data": {"stations": [{"station_id": "1", "is_renting": 0}]}})
+    got = FD.station_status(spark, path, raw=True)
+    assert rows(got, "station_id", "is_renting", "is_installed", "is_returning") == [
+        ("1", False, None, None), ("1", True, False, True), ("2", None, None, None)]
+    assert got.select("position").distinct().count() == 3
+    assert [json.loads(r.raw)["more"] for r in got.collect() if "more" in r.raw] == [{"x": 1}]
+    assert FD.station_status(spark, path, newest=True).count() in (1, 2)
+    broken = land(folder, "broken", {"last_updated": 5, "data": {"stations": [{"station_id": "1", "is_renting": "maybe"}]}})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        FD.station_status(spark, broken).collect()
+
+
 def test_information_documents(spark, folder):
     path = land(folder, "info", {"last_updated": 1, "ttl": 5, "data": {"stations": [
         {"station_id": "1", "name": "Métro", "lat": 45.5, "lon": -73.5, "capacity": 20}]}})

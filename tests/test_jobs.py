@@ -43,6 +43,24 @@ def test_feed_methods(feeds):
     assert feeds.metrics().first().total_bikes == 7
 
 
+def test_the_newest_document_is_the_live_state(spark, folder):
+    os.makedirs(f"{folder}/en/station_status.json")
+    os.makedirs(f"{folder}/en/station_information.json")
+    for n, (stamp, bikes) in enumerate([(100, 5), (300, 7), (200, 9)]):
+        status = [{"station_id": s, "num_bikes_available": bikes, "is_renting": 1, "is_installed": "1", "is_returning": True, "vendor": {"x": n}}
+                  for s in ("1", "2")]
+        info = [{"station_id": s, "name": f"N{s}", "capacity": 20} for s in ("1", "2")]
+        for feed, stations in (("station_status", status), ("station_information", info)):
+            with open(f"{folder}/en/{feed}.json/{n}.json", "w", encoding="utf-8") as out:
+                json.dump({"last_updated": stamp, "ttl": 1, "data": {"stations": stations}}, out)
+    feeds = LandedFeeds(spark, folder)
+    figures = feeds.metrics().first()
+    assert (figures.total_stations, figures.capacity, figures.total_bikes) == (2, 40, 14)
+    assert rows(feeds.find_stations_with_bikes(1), "name", "num_bikes_available") == [("N1", 7), ("N2", 7)]
+    feeds.append_snapshot(f"{folder}/history", F.lit(dt.datetime(2024, 1, 1, 8)))
+    assert spark.read.parquet(f"{folder}/history").count() == 2
+
+
 def test_functions_by_language(feeds, spark):
     feeds.register_functions(("en", "fr"), prefix="city_")
     assert tuple(spark.sql("SELECT city_get_total_bikes_available(), city_get_total_bikes_available('fr')").first()) == (7, 9)

@@ -135,7 +135,7 @@ def _find(name: str, prefix: str) -> SqlFunction:
     for function in FUNCTIONS:
         if name in (function.name, prefix + function.name):
             return function
-    raise ValueError(f"Function '{name}' not found. Available functions: {', '.join(list_available_functions(prefix))}")
+    raise ValueError(f"no function is named {name!r}; there are {', '.join(list_available_functions(prefix))}")
 
 
 def get_function_sql(name: str, catalog: str = "spark_catalog", schema: str = "default",
@@ -199,7 +199,7 @@ def create_views(spark: SparkSession, prefix: str = "") -> None:
     for view in ("live_stations", "live_station_status"):
         spark.sql(f"""
             CREATE OR REPLACE TEMPORARY VIEW {view} AS
-            SELECT s.*, CAST(((2000L * s.num_bikes_available + s.capacity) DIV NULLIF(2L * s.capacity, 0L)) AS DOUBLE) / 10D
+            SELECT s.*, CAST(((2000L * coalesce(s.num_bikes_available, 0) + s.capacity) DIV NULLIF(2L * s.capacity, 0L)) AS DOUBLE) / 10D
                      AS utilization_pct,
                    current_timestamp() AS queried_at
             FROM (SELECT explode(from_json(stations_json, '{STATION_ARRAY}')) AS s

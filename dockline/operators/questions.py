@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockline.functions import columns as C
+from dockline.operators.trips import spread_key
 
 
 @dataclass(frozen=True)
@@ -78,10 +79,13 @@ def first_station_per_text(words: DataFrame, stations: DataFrame) -> DataFrame:
 
     Matching words against names pairwise would be a nested loop. A word holds
     no blank, so it lies inside one token of a name: names are folded to their
-    distinct tokens (first station each), tokens to their substrings, and the
-    words are looked up by equality. Tokens are short, so the index is linear in
-    the stations, and each word gets at most one match.
+    distinct tokens (first station each), and tokens to their substrings of
+    lengths that the words have, so that a long token gives a few short strings
+    per character. Substrings that are no word are left out before they are
+    grouped, and each word gets at most one match.
     """
+    asked = words.select(F.lower("word").alias("piece")).distinct()
+    lengths = asked.agg(F.array_sort(F.collect_set(F.length("piece"))).alias("n"))
     tokens = (
         stations.select("position", "station_id", "name", "num_bikes_available",
                         F.explode(F.split(F.lower("name"), r"\s+")).alias("token"))
@@ -89,11 +93,12 @@ def first_station_per_text(words: DataFrame, stations: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("position", "station_id", "name", "num_bikes_available")).alias("station"))
     )
     pieces = (
-        tokens.filter(F.length("token") > 0)
-        .select("station", "token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("start"))
-        .select("station", F.explode(F.transform(
-            F.sequence(F.lit(1), F.length("token") - F.col("start") + 1),
-            lambda n: F.substring(F.col("token"), F.col("start"), n))).alias("piece"))
+        # One row of lengths, as many as the words have, beside every token.
+        tokens.withColumn("all", lengths.scalar()).select("station", "token", F.explode("all").alias("n"))
+        .where((F.col("n") > 0) & (F.col("n") <= F.length("token")))
+        .select("station", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - F.col("n") + 1),
+                                                 lambda at: F.substring(F.col("token"), at, F.col("n")))).alias("piece"))
+        .join(asked, "piece", "left_semi")
         .groupBy("piece").agg(F.min("station").alias("station"))
     )
     return (
@@ -127,11 +132,10 @@ def answers(questions: DataFrame, metrics: DataFrame, stations: DataFrame, syste
         .when(F.contains(F.lower("question"), F.lit("status")), F.format_string(STATUS_ANSWER, *system))
         .otherwise(F.format_string(OTHER_ANSWER, *system))
     )
-    # Questions without a station word would all meet in the task of the NULL
-    # key; a second key part spreads them, and matches only where it is 0.
-    spread = F.when(F.col("station_param").isNull(), F.pmod(F.xxhash64("question"), F.lit(4096))).otherwise(F.lit(0))
+    # Questions without a station word are spread over the tasks; they match nothing.
+    key = spread_key(F.col("station_param"), F.col("question"))
+    known = found.withColumn("station_key", F.concat(F.lit("="), F.col("station_param"))).drop("station_param")
     return (
-        asked.withColumn("spread", spread)
-        .join(found.withColumn("spread", F.lit(0).cast("bigint")), ["station_param", "spread"], "left")
+        asked.withColumn("station_key", key).join(known, "station_key", "left")
         .select(*questions.columns, "tool_used", answer.alias("answer"))
     )

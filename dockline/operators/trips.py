@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockline.functions import columns as C
 
 
-def _look_up_zone(trips: DataFrame, stations: DataFrame, code: str, zone: str) -> DataFrame:
-    """Adds the zone of one code column.
+SPREAD = 4096
+
 
-    Trips without a code match nothing but would all be sent to one task; a
-    second key part, 0 for every real code, spreads them by their contents.
+def spread_key(code: Column, *row: Column) -> Column:
+    """A join key that a missing code spreads over SPREAD values, which no real code has.
+
+    One column that depends on the row: a second key part that is constant on the other side would be folded
+    into a filter, and all missing codes would meet in one task.
     """
-    spread = F.when(F.col(code).isNull(), F.pmod(F.xxhash64(*trips.columns), F.lit(4096)) + 1).otherwise(F.lit(0))
-    known = stations.select(
-        F.col("Code").alias(code), F.lit(0).cast("bigint").alias("__spread"), F.col("Arrondisse").alias(zone))
+    return F.coalesce(F.concat(F.lit("="), code.cast("string")),
+                      F.concat(F.lit("?"), F.pmod(F.xxhash64(*row), F.lit(SPREAD)).cast("string")))
+
+
+def _look_up_zone(trips: DataFrame, stations: DataFrame, code: str, zone: str) -> DataFrame:
+    """Adds the zone of one code column; trips without a code match nothing and are spread by their contents."""
+    known = stations.where(F.col("Code").isNotNull()).select(
+        F.concat(F.lit("="), F.col("Code").cast("string")).alias("__key"), F.col("Arrondisse").alias(zone))
     return (
-        trips.withColumn("__spread", spread)
-        .join(known, [code, "__spread"], "left")
-        .select(*trips.columns, zone)
+        trips.withColumn("__key", spread_key(F.col(code), *(F.col(c) for c in trips.columns)))
+        .join(known, "__key", "left").select(*trips.columns, zone)
     )
 
 
+def start_zones(trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """Every trip with the zone of its start."""
+    return _look_up_zone(trips, stations, "start_station_code", "start_zone")
+
+
 def merge_trips_with_stations(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Every trip with the zone of its start and of its end; NULL if unknown.
 
@@ -32,8 +44,7 @@ def merge_trips_with_stations(trips: DataFrame, stations: DataFrame) -> DataFram
     large share of the trips is split by adaptive execution. NULL codes match
     nothing.
     """
-    started = _look_up_zone(trips, stations, "start_station_code", "start_zone")
-    return _look_up_zone(started, stations, "end_station_code", "end_zone")
+    return _look_up_zone(start_zones(trips, stations), stations, "end_station_code", "end_zone")
 
 
 def drop_unzoned(trips: DataFrame) -> DataFrame:

@@ -211,12 +211,11 @@ NEAR = with_tables(INFO, """points AS (
   FROM points p JOIN info i ON i.lat BETWEEN p.lat - 0.06 AND p.lat + 0.06 AND i.lon BETWEEN p.lon - 0.06 AND p.lon + 0.06)""")
 
 
-@query("stations_near_locations", NEAR + "SELECT location_id, station_id, distance FROM near WHERE distance < 0.05")
+@query("stations_near_locations", NEAR + """
+    SELECT location_id, count(*) AS stations, min(distance) AS distance FROM near WHERE distance < 0.05 GROUP BY location_id""")
 def stations_near_locations(spark, folder):
-    """Every station within the radius of every location."""
-    return P.stations_near_locations(
-        T.locations(spark, folder), T.station_information(spark, folder), radius=0.05,
-    ).select("location_id", "station_id", "distance")
+    """Stations within the radius of every location, counted."""
+    return P.near_counts(T.locations(spark, folder), T.station_information(spark, folder), radius=0.05)
 
 
 @query("nearest_stations_per_location", NEAR + """
@@ -224,7 +223,7 @@ def stations_near_locations(spark, folder):
       SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY distance, station_id) AS place
       FROM near WHERE distance < 0.05) WHERE place <= 5""")
 def nearest_stations_per_location(spark, folder):
-    return P.stations_near_locations(
+    return P.nearest_stations(
         T.locations(spark, folder), T.station_information(spark, folder), radius=0.05, k=5,
     ).select("location_id", "station_id", "distance", "place")
 

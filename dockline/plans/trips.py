@@ -49,7 +49,7 @@ def zoned_trips_only(spark, folder):
     SELECT count(*) AS trips_total, count(zone) AS trips_kept, count(*) - count(zone) AS trips_removed
     FROM trips LEFT JOIN zones ON start_station_code = code""")
 def unzoned_trip_report(spark, folder):
-    return O.unzoned_report(_zoned(spark, folder))
+    return O.unzoned_report(O.start_zones(T.trips(spark, folder), T.zones(spark, folder)))
 
 
 @query("zone_day_counts", DAYS + "SELECT * FROM zone_days")

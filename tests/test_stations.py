@@ -177,9 +177,11 @@ def test_near_locations_against_brute_force(spark, side):
                   if s[1] is not None and math.hypot(p[1] - s[1], p[2] - s[2]) < 0.003)
     sdf = spark.createDataFrame(stations, "station_id string, lat double, lon double")
     pdf = spark.createDataFrame(places, "location_id int, lat double, lon double")
-    near = P.stations_near_locations(pdf, sdf, radius=0.003, pairs_per_task_side=side)
+    near = P.near_pairs(pdf, sdf, radius=0.003, pairs_per_task_side=side)
     assert sorted((r.location_id, r.station_id) for r in near.collect()) == want
-    top = P.stations_near_locations(pdf, sdf, radius=0.003, k=2, pairs_per_task_side=side)
+    assert {r.location_id: r.stations for r in P.near_counts(pdf, sdf, 0.003, side).collect()} == {
+        p: sum(q == p for q, _ in want) for p, _ in want}
+    top = P.nearest_stations(pdf, sdf, radius=0.003, k=2, pairs_per_task_side=side)
     counts = {}
     for p, _ in want:
         counts[p] = min(counts.get(p, 0) + 1, 2)

@@ -147,3 +147,21 @@ def test_tool_usage(spark):
         "timestamp timestamp, question string, tool_used string, execution_time_ms long, success boolean")
     assert [tuple(r) for r in H.tool_usage(log).collect()] == [("x", 2, 20.0), ("y", 1, 5.0)]
     assert [tuple(r) for r in H.tool_usage(log, dt.date(2024, 1, 2)).collect()] == [("x", 1, 30.0), ("y", 1, 5.0)]
+
+
+def test_missing_codes_are_spread_by_the_join_key(spark):
+    """With broadcasting off, the trips are shuffled by the key that spreads missing codes."""
+    trips = spark.createDataFrame([(None, i, dt.datetime(2016, 1, 1 + i % 28)) for i in range(200)],
+                                  "start_station_code int, end_station_code int, start_date timestamp")
+    zones = spark.createDataFrame([(1, "A"), (None, "nowhere")], "Code int, Arrondisse string")
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        joined = O.start_zones(trips, zones)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__key" in plan and joined.where("start_zone IS NULL").count() == 200
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert trips.select(O.spread_key(F.col("start_station_code"), F.col("end_station_code"))).distinct().count() > 150

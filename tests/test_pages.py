@@ -126,3 +126,37 @@ def test_stats_count_errors(spark):
     df = spark.createDataFrame([("u1", ["u2"], "success"), ("u2", [], "error")], "url string, links array<string>, status string")
     got = O.crawl_stats(df).first()
     assert (got.total_pages, got.successful_pages, got.error_pages, got.total_links_found) == (2, 1, 1, 1)
+
+
+def body(html):
+    from dockline.operators.markup import read_page
+    return read_page("https://a.example/", html)["body"]
+
+
+def test_lists_keep_their_marks():
+    assert body("<ul><li>one<li>two</ul>") == "- one\n- two"
+    assert body("<ol><li>one<ul><li>a<li>b</ul><li>two</ol>") == "1. one\n\n   - a\n   - b\n\n2. two"
+    assert body("<ul><li><p>first</p><p>second</p></li></ul>") == "- first\n\n  second"
+
+
+def test_code_keeps_its_lines():
+    assert body("<p>x</p><pre><code>a\n\n  b\n</code></pre><p>y</p>") == "x\n\n```\na\n\n  b\n```\n\ny"
+
+
+def test_addresses_with_marks_are_addresses():
+    assert body('<a href="https://a.example/x_y">https://a.example/x_y</a>') == "<https://a.example/x_y>"
+    assert body('see <a href="/x"> the <b>page</b> </a>.') == "see  [the **page**](/x) ."
+
+
+def test_reading_is_linear_in_unclosed_elements():
+    import time
+    from dockline.operators.markup import read_page
+
+    def seconds(n):
+        page = "<body>" + "".join(f"<p>word {i}<li>item <b>x<a href='/{i}'>y" for i in range(n))
+        start = time.process_time()
+        read_page("https://a.example/", page)
+        return time.process_time() - start
+
+    seconds(500)
+    assert min(seconds(4000) for _ in range(3)) < 3.2 * min(seconds(2000) for _ in range(3))

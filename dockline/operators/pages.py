@@ -133,12 +133,21 @@ def links_to(parsed: DataFrame, hosts: DataFrame) -> DataFrame:
     )
 
 
+def one_per_url(parsed: DataFrame) -> DataFrame:
+    """One row per address: a parsed page before an error, then the one with the least hash of its content."""
+    rest = [c for c in parsed.columns if c != "url"]
+    order = F.struct(F.col("status") != "success", F.xxhash64("content"))
+    return parsed.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("page")).select("url", *(F.col(f"page.{c}") for c in rest))
+
+
 def crawl(parsed: DataFrame, starts: DataFrame, max_depth: int = 3, links: DataFrame | None = None) -> DataFrame:
     """Parsed pages reached from the start URLs, with depth; unknown pages as errors.
 
     The links are read once per level, so pass written tables. With ``links``
-    (url, links) these are followed and reported instead of the pages' own.
+    (url, links) these are followed and reported instead of the pages' own. An
+    address that stands in several rows is visited once.
     """
+    parsed = one_per_url(parsed)
     followed = parsed.select("url", "links") if links is None else links
     reached = reach(link_edges(followed), starts, max_depth)
     found = parsed if links is None else parsed.drop("links").join(links, "url", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockline.functions import urls as U
+from dockline.jobs import crawl_site
 from dockline.operators import pages as O
 from dockline.plans.registry import TRIPS, query, with_tables
 from dockline.session import shared_path
@@ -37,12 +38,12 @@ def _hosts(spark, folder):
 
 
 def _parsed(spark, folder):
-    return O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0))
+    return O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0))
 
 
 def _all_links(spark, folder):
     """Links of whole pages, navigation included, to the crawled sites."""
-    edges = O.link_edges(O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False))
+    edges = O.link_edges(O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False))
     return U.admissible(edges, "dst", _hosts(spark, folder))
 
 
@@ -84,14 +85,29 @@ def page_links(spark, folder):
 
 
 @query("admissible_urls", r"""
+    WITH hosts AS (SELECT DISTINCT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM pages WHERE page_id % 2 = 0)
     SELECT url FROM pages
     WHERE NOT regexp_matches(lower(url), '\.(pdf|jpg|jpeg|png|gif|css|js|xml)$')
       AND NOT regexp_matches(url, '/api/|/admin/|/login|/logout|/register')
-      AND regexp_extract(url, '^https?://([^/?#]*)', 1) IN ('therwh.example.org', 'm.tionsh.example.net', 'ththor.example.net')""")
+      AND regexp_extract(url, '^https?://([^/?#]*)', 1) IN (SELECT host FROM hosts)""")
 def admissible_urls(spark, folder):
-    """Pages on a short list of hosts."""
-    hosts = ["therwh.example.org", "m.tionsh.example.net", "ththor.example.net"]
-    return U.admissible(T.pages(spark, folder).select("url"), "url", hosts)
+    """Pages on the hosts of every second page, given as a table."""
+    pages = T.table(spark, folder, "pages")
+    hosts = pages.where("page_id % 2 = 0").select(U.authority(F.col("url")).alias("host")).distinct()
+    return U.admissible(pages.select("url"), "url", hosts)
+
+
+@query("admissible_urls_of_a_list", r"""
+    SELECT url FROM pages
+    WHERE NOT regexp_matches(lower(url), '\.(pdf|jpg|jpeg|png|gif|css|js|xml)$')
+      AND NOT regexp_matches(url, '/api/|/admin/|/login|/logout|/register')
+      AND regexp_extract(url, '^https?://([^/?#]*)', 1) IN (
+        SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS h FROM pages GROUP BY h ORDER BY count(*) DESC, h LIMIT 5)""")
+def admissible_urls_of_a_list(spark, folder):
+    """Pages on the five hosts with most pages, given as a list."""
+    pages = T.pages(spark, folder).select("url")
+    top = pages.groupBy(U.authority(F.col("url")).alias("host")).count().orderBy(F.desc("count"), "host").limit(5)
+    return U.admissible(pages, "url", [r["host"] for r in top.collect()])
 
 
 @query("page_file_names", rf"""
@@ -110,7 +126,7 @@ def page_file_names(spark, folder):
                                    ';[^/]*$', ''), '^/+|/+$', '', 'g') AS p FROM raw_links))""")
 def link_file_names(spark, folder):
     """File names of link targets, which hold accents and punctuation."""
-    edges = O.link_edges(O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False))
+    edges = O.link_edges(O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False))
     return edges.select("dst").distinct().select("dst", U.file_name(F.col("dst")).alias("filename"))
 
 
@@ -134,7 +150,7 @@ def unvisited_links(spark, folder):
 def _crawled(spark, folder):
     """Crawl from every page of the table; pages and links are written once each."""
     root = shared_path(spark, "crawl")
-    whole = O.parse_pages(T.spread_scan(T.pages(spark, folder)), scraped_at=F.lit(0.0), clean=False)
+    whole = O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False)
     parsed = K.overwrite(whole, f"{root}/parsed")
     links = K.overwrite(O.links_to(parsed, _hosts(spark, folder)), f"{root}/links")
     return O.crawl(parsed, T.pages(spark, folder).select("url"), max_depth=3, links=links)
@@ -174,3 +190,55 @@ def reached_stations(spark, folder):
         F.col("start_station_code").cast("string").alias("src"), F.col("end_station_code").cast("string").alias("dst"))
     starts = spark.createDataFrame([("0",)], "url string")
     return O.reach(edges, starts, max_depth=3)
+
+
+# --- a site with depth: stations as pages, trips as links ---------------------
+
+SITE = "https://city.example"
+SITE_EDGES = """edges AS (SELECT DISTINCT start_station_code AS src, (end_station_code * 7 + 3) % (SELECT max(start_station_code) FROM trips) AS dst
+    FROM trips)"""
+SITE_REACHED = [SITE_EDGES, *(f"d{i} AS (SELECT DISTINCT dst AS code FROM edges JOIN d{i - 1} ON src = code)" if i else
+                              "d0 AS (SELECT CAST(min(src) AS BIGINT) AS code FROM edges)" for i in range(4)),
+                """reached AS (SELECT code, min(depth) AS depth FROM (SELECT code, 0 AS depth FROM d0 UNION ALL SELECT code, 1 FROM d1
+                   UNION ALL SELECT code, 2 FROM d2 UNION ALL SELECT code, 3 FROM d3) GROUP BY code)""",
+                """shown AS (SELECT code, depth, code IN (SELECT src FROM edges) AS known,
+                   (SELECT count(DISTINCT dst) FROM edges WHERE src = code) AS links_count FROM reached)"""]
+
+
+def _site(spark, folder):
+    """One page per station; its links are the ends of its trips, moved over the whole range of codes."""
+    trips = T.trips(spark, folder)
+    top = trips.agg(F.max("start_station_code")).scalar()
+    edges = trips.select(F.col("start_station_code").alias("src"), F.pmod(F.col("end_station_code") * 7 + 3, top).alias("dst")).distinct()
+    anchors = F.array_join(F.transform("dst", lambda d: F.format_string('<a href="/s/%d">to %d</a>', d, d)), "\n")
+    pages = edges.groupBy("src").agg(F.collect_list("dst").alias("dst")).select(
+        F.format_string(SITE + "/s/%d", "src").alias("url"),
+        F.concat(F.lit("<html><head><title>Station "), "src", F.lit("</title></head><body><nav><a href='/out.pdf'>x</a></nav><main><p>"), anchors,
+                 F.lit("</p></main></body></html>")).alias("html"))
+    return pages, edges.agg(F.min("src")).first()[0]
+
+
+@query("crawled_site", with_tables(TRIPS, *SITE_REACHED) + f"""
+    SELECT '{SITE}/s/' || code AS url, CAST(depth AS INTEGER) AS depth, CASE WHEN known THEN 'success' ELSE 'error' END AS status,
+           CAST(links_count AS INTEGER) AS links_count FROM shown""")
+def crawled_site(spark, folder):
+    """A crawl from one address over one host, three links deep, of pages some of which are missing; every page twice."""
+    pages, start = _site(spark, folder)
+    parsed = K.overwrite(O.parse_pages(pages.unionAll(pages), ["city.example"], F.lit(0.0)), shared_path(spark, "site"))
+    starts = spark.createDataFrame([(f"{SITE}/s/{start}",)], "url string")
+    return O.crawl(parsed, starts, max_depth=3).select("url", "depth", "status", F.array_size("links").alias("links_count"))
+
+
+@query("saved_site", with_tables(TRIPS, *SITE_REACHED) + f"""
+    SELECT '{SITE}/s/' || code AS url, 's_' || code AS filename, CASE WHEN known THEN 'Station ' || code ELSE 'Error' END AS title,
+           CASE WHEN known THEN 'success' ELSE 'error' END AS status, CAST(links_count AS INTEGER) AS links_count, known AS has_content FROM shown""")
+def saved_site(spark, folder):
+    """The whole crawl job: index, metadata and content as saved, read back and put together."""
+    pages, start = _site(spark, folder)
+    path = shared_path(spark, "saved-site")
+    crawl_site(pages, f"{SITE}/s/{start}", ["city.example"], path, max_depth=3, scraped_at=F.lit(0.0))
+    index = spark.read.schema("url string, title string, status string, links_count int, scraped_at double").json(f"{path}/index")
+    metadata = spark.read.schema("filename string, title string, url string").json(f"{path}/metadata").select("url", "filename")
+    content = spark.read.parquet(f"{path}/content").select("url", F.contains("content", F.lit("**Scraped:**")).alias("has_content"))
+    return index.drop("scraped_at").join(metadata, "url").join(content, "url").select(
+        "url", "filename", "title", "status", "links_count", "has_content")

@@ -1,7 +1,7 @@
 """Logical tables derived from the star-schema parquet files.
 
 Each function reads only the columns it needs and stays lazy. The SQL side of
-the same derivations lives in ``dockline.plans.oracle``.
+the same derivations lives in ``dockline.plans.registry``.
 """
 
 from __future__ import annotations
@@ -118,16 +118,6 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages").select("url", "html")
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """A plain scan, dealt out when it has fewer splits than the cluster has cores.
-
-    Worth a shuffle only before costly per-row work, and only for small
-    inputs: a large table has more splits than cores and is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def questions(spark: SparkSession, folder: str) -> DataFrame:
     """User turns of the conversations."""
     return (

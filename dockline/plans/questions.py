@@ -45,6 +45,34 @@ def routed_questions_other_rules(spark, folder):
         O.route(question, O.QUERY_RULES, O.QUERY_DEFAULT_TOOL).alias("query_tool"))
 
 
+MADE_WORDS = ["How many BIKES are there", "Find the station", "system status please", "where is Berri", "How many stations",
+              "utilization now", "find a bike", "station list", "find Berri station", "hello"]
+
+
+@query("routed_made_questions", """
+    WITH made AS (SELECT event_id, CASE event_id % 10
+        WHEN 0 THEN 'How many BIKES are there' WHEN 1 THEN 'Find the station' WHEN 2 THEN 'system status please'
+        WHEN 3 THEN 'where is Berri' WHEN 4 THEN 'How many stations' WHEN 5 THEN 'utilization now' WHEN 6 THEN 'find a bike'
+        WHEN 7 THEN 'station list' WHEN 8 THEN 'find Berri station' ELSE 'hello' END || ' ' || event_type AS question FROM events)
+    SELECT event_id, question,
+      CASE event_id % 10 WHEN 0 THEN 'get_total_bikes' WHEN 1 THEN 'find_station' WHEN 4 THEN 'find_station' WHEN 6 THEN 'find_station'
+        WHEN 7 THEN 'find_station' WHEN 8 THEN 'find_station' ELSE 'get_system_status' END AS tool_used,
+      CASE WHEN event_id % 10 IN (1, 4, 6, 7, 8) THEN regexp_extract(question, '([a-z_]+)$', 1) END AS station_param,
+      CASE event_id % 10 WHEN 0 THEN 'get_total_bikes' WHEN 1 THEN 'find_station' WHEN 8 THEN 'find_station'
+        ELSE 'get_system_status' END AS strict_tool,
+      CASE event_id % 10 WHEN 0 THEN 'get_total_bikes' WHEN 2 THEN 'get_system_status' WHEN 3 THEN 'get_station_by_name'
+        WHEN 4 THEN 'count_total_stations' WHEN 5 THEN 'get_system_utilization' WHEN 8 THEN 'get_station_by_name'
+        ELSE 'top_stations' END AS query_tool
+    FROM made""")
+def routed_made_questions(spark, folder):
+    """Questions put together from the events, so that every rule of all three lists is taken."""
+    text = F.element_at(F.array(*[F.lit(w) for w in MADE_WORDS]), (F.pmod("event_id", F.lit(10)) + 1).cast("int"))
+    made = T.table(spark, folder, "events").select("event_id", F.concat_ws(" ", text, F.col("event_type")).alias("question"))
+    question = F.col("question")
+    return O.routed(made).withColumns({
+        "strict_tool": O.route(question, O.STRICT_RULES), "query_tool": O.route(question, O.QUERY_RULES, O.QUERY_DEFAULT_TOOL)})
+
+
 def _figures(spark, folder):
     status, info = T.station_status(spark, folder), T.station_information(spark, folder)
     return M.feed_metrics(info, status), ST.merge_stations(status, info, how="left")

@@ -44,9 +44,13 @@ def shared_root(spark: SparkSession) -> str:
     return f"{warehouse.rstrip('/')}/_intermediate"
 
 
+_given: list[str] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/dockline/{label}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_root(spark)}/dockline/{label}-{uuid.uuid4().hex}")
+    return _given[-1]
 
 
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
@@ -61,7 +65,8 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
 
 
 def drop_intermediates(spark: SparkSession) -> None:
-    """Removes what ``shared_path`` has given out in this folder; call it when no result that reads it is open."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/dockline")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Removes what this process has written below the shared folder; for when no result that reads it is open."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _given:
+        path = jvm.org.apache.hadoop.fs.Path(_given.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -12,7 +12,7 @@ from dockline.streaming import polls as P
 REPEATS = 2
 
 
-def _landed(spark, folder, repeats=1):
+def _landed(spark, folder, repeats=1, parts=None):
     """Events as poll files, each row landed ``repeats`` times."""
     path = shared_path(spark, "polls")
     polls = T.snapshots(spark, folder).select(
@@ -21,6 +21,8 @@ def _landed(spark, folder, repeats=1):
         "station_id", "num_bikes_available", "num_docks_available", "is_renting")
     if repeats > 1:
         polls = polls.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).drop("copy")
+    if parts:
+        polls = polls.repartition(parts)
     polls.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(path)
     return path
 
@@ -38,8 +40,9 @@ def _plain(df, *columns):
 
 @query("streamed_history", with_tables(INFO, SNAPSHOTS, HISTORY) + "SELECT * FROM history")
 def streamed_history(spark, folder):
-    """Polls streamed into the date-partitioned history."""
-    stream = P.history_stream(P.landed_polls(spark, _landed(spark, folder)), T.station_information(spark, folder))
+    """Polls streamed into the date-partitioned history, in several micro-batches."""
+    landed = _landed(spark, folder, parts=6)
+    stream = P.history_stream(P.landed_polls(spark, landed, files_per_batch=2), T.station_information(spark, folder))
     return _plain(_finished(spark, stream, "streamed", partition_by=["snapshot_date"]), "snapshot_time")
 
 

@@ -15,6 +15,7 @@ from dockline import schemas as S
 from dockline.functions import columns as C
 from dockline.sources.feeds import typed
 
+FILES_PER_PARTITION = 4
 POLL = T.StructType([
     T.StructField("snapshot_time", T.TimestampType()),
     T.StructField("last_updated", T.LongType()),
@@ -51,7 +52,11 @@ def first_of_repeats(polls: DataFrame, delay: str = "30 minutes") -> DataFrame:
 
 
 def windowed_bikes(polls: DataFrame, width: str = "15 minutes", delay: str = "30 minutes") -> DataFrame:
-    """Total bikes and polls per tumbling window, emitted once the window has closed."""
+    """Total bikes and polls per tumbling window, emitted once the window has closed.
+
+    A window closes when polls later than its end by ``delay`` have come; the windows of the last ``delay`` are
+    therefore not emitted by a run that ends with its input, but by a later run from the same checkpoint.
+    """
     return (
         polls.withWatermark("snapshot_time", delay)
         .groupBy(F.window("snapshot_time", width).alias("w"))
@@ -70,7 +75,14 @@ def history_stream(polls: DataFrame, info: DataFrame) -> DataFrame:
 
 def to_parquet(stream: DataFrame, path: str, checkpoint: str, every: str | None = None,
                partition_by: list[str] | None = None) -> StreamingQuery:
-    """Appends to a parquet folder, exactly once per checkpoint."""
+    """Appends to a parquet folder, exactly once per checkpoint.
+
+    With ``partition_by`` the rows of a partition are gathered in FILES_PER_PARTITION tasks of a micro-batch, so
+    that a date gets a few files a batch, and a date with most of the rows is not written by one task.
+    """
+    if partition_by:
+        share = F.pmod(F.xxhash64(*stream.columns), F.lit(FILES_PER_PARTITION))
+        stream = stream.repartition(*partition_by, share)
     writer = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)

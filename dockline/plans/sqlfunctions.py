@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from dockline.functions import catalog as FN
 from dockline.plans.registry import ALL_STATIONS, INFO, STATUS, query, with_tables
 from dockline.plans.stations import BOTH, LEFT, VIEW_FIELDS
 from dockline.schemas import STATION_ARRAY
+from dockline.session import shared_path
+from dockline.sinks import tables as K
 from dockline.sources import tables as T
 
 
@@ -111,3 +115,22 @@ def sql_metrics_view(spark, folder):
     _registered(spark, folder)
     FN.create_views(spark)
     return spark.sql("SELECT total_stations, total_bikes, utilization_pct FROM system_metrics")
+
+
+@query("permanent_functions", BOTH + """
+    SELECT total_bikes, total_stations, CAST((SELECT count(*) FROM status WHERE num_bikes_available >= 20 AND is_renting AND is_installed) AS BIGINT)
+           AS stations_20 FROM totals""")
+def permanent_functions(spark, folder):
+    """Functions created from their listed statements in a schema of their own, over tables saved there."""
+    home = f"dockline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {home} LOCATION '{shared_path(spark, 'schema')}'")
+    system, alerts = _documents(spark, folder)
+    for view, frame in ((FN.STATUS_VIEW, T.station_status(spark, folder)), (FN.INFO_VIEW, T.station_information(spark, folder)),
+                        (FN.SYSTEM_VIEW, system), (FN.ALERT_VIEW, alerts)):
+        K.overwrite_table(frame, f"{home}.{view}")
+    wanted = {"get_total_bikes_available", "count_total_stations", "count_stations_with_bikes"}
+    names = [n for n in FN.list_available_functions() if n in wanted]
+    FN.create_functions(spark, names[:2], schema=home)
+    spark.sql(FN.get_function_sql(names[2], schema=home, include_schema=False).rstrip(";"))
+    return spark.sql(f"""SELECT {home}.get_total_bikes_available() AS total_bikes, {home}.count_total_stations() AS total_stations,
+                                {home}.count_stations_with_bikes(20) AS stations_20""")

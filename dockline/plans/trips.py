@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from dockline.functions import columns as C
 from dockline.operators import forecast as FC
 from dockline.operators import history as H
 from dockline.operators import profile as PF
@@ -52,6 +53,16 @@ def unzoned_trip_report(spark, folder):
     return O.unzoned_report(O.start_zones(T.trips(spark, folder), T.zones(spark, folder)))
 
 
+@query("dates_from_text", f"""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def dates_from_text(spark, folder):
+    """Dates from texts that hold a date, a date and a time, no date, or nothing."""
+    kind = F.pmod("o_orderkey", F.lit(4))
+    text = F.when(kind == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(
+        kind == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).when(kind == 2, F.concat(F.lit("on "), "o_orderpriority"))
+    return T.table(spark, folder, "orders").select("o_orderkey", C.as_date(text).alias("day"))
+
+
 @query("zone_day_counts", DAYS + "SELECT * FROM zone_days")
 def zone_day_counts(spark, folder):
     return _zone_days(spark, folder)

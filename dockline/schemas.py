@@ -101,20 +101,6 @@ USAGE_LOG = T.StructType([
     T.StructField("success", T.BooleanType()),
 ])
 
-PAGE_RESULT = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("metadata", T.StructType([
-        T.StructField("title", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("main_heading", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("scraped_at", T.DoubleType()),
-    ])),
-    T.StructField("content", T.StringType()),
-    T.StructField("links", T.ArrayType(T.StringType())),
-    T.StructField("status", T.StringType()),
-])
-
 # The given parquet tables. Stating the types saves a job per table that would
 # read footers only to infer them.
 GIVEN_TABLES = {

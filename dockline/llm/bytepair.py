@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -17,23 +16,34 @@ UNSAFE = re.compile(r" (?=[\s\x1c-\x1f\x85]|$)|\Z(?<= )")
 
 
 class _Memo(dict):
-    def __init__(self, encode):
+    """Ids of parts in two generations: when the young one is full it becomes the old one, and what is used
+    again comes back from there."""
+
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most, self.old = encode, most, {}
 
     def __missing__(self, part):
-        ids = self[part] = np.asarray(self.encode(" " + part), np.uint32).tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = np.asarray(self.encode(" " + part), np.uint32).tobytes()
+        self[part] = ids
         return ids
 
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
 
 class PartEncoder:
     """Texts to ids, exactly as the library's ``encode(text, add_special_tokens=False)``.
 
-    ``most`` bounds the parts that are kept; beyond it the memory starts anew. Tokenizers of another kind
+    ``most`` bounds each of the two generations of parts that are kept. Tokenizers of another kind
     than byte-level BPE without normaliser, and texts with special strings, go to the library whole.
     """
 
-    def __init__(self, content: bytes, most: int = 1_000_000):
+    def __init__(self, content: bytes, most: int = 500_000):
         plan = json.loads(content)
         self.tokenizer = Tokenizer.from_buffer(content)
         pre = plan.get("pre_tokenizer") or {}
@@ -41,8 +51,7 @@ class PartEncoder:
                         and not pre.get("add_prefix_space"))
         self.special = [t["content"] for t in plan.get("added_tokens", [])]
         self.size = self.tokenizer.get_vocab_size()
-        self.most = most
-        self.rest = _Memo(self._library)
+        self.rest = _Memo(self._library, most)
 
     def _library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -63,8 +72,7 @@ class PartEncoder:
                 else:
                     joined[-1] += " " + part
             parts = joined
-        if len(self.rest) > self.most:
-            self.rest.clear()
+        self.rest.turn()
         return parts
 
     def raw(self, text: str) -> bytes:
@@ -76,19 +84,3 @@ class PartEncoder:
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), np.uint32)
-
-    def weighted(self, texts):
-        """Pairs of id array and weight array that together hold the ids of all texts."""
-        parts, whole = Counter(), []
-        for text in texts:
-            got = self._parts(text)
-            if got is None:
-                whole.append(self._whole(text))
-            else:
-                whole.append(self._whole(got[0]))
-                parts.update(got[1:])
-        raw = list(map(self.rest.__getitem__, parts))
-        times = np.fromiter(parts.values(), np.int64, len(parts))
-        yield np.frombuffer(b"".join(raw), np.uint32), np.repeat(times, np.fromiter(map(len, raw), np.int64, len(raw)) // 4)
-        first = np.frombuffer(b"".join(whole), np.uint32)
-        yield first, np.ones(len(first), np.int64)

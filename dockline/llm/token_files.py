@@ -1,10 +1,11 @@
 """Token ids of whole texts in files of canonical Huffman codes.
 
-Two passes over the texts: the first counts every id of all documents, the second encodes. Between them the
-driver makes one code book from the counts, whose size is bounded by the vocabulary. Texts are dealt out by
-ranges of (doc_id, hash of the text), so the files hold them in ascending order and no range needs a whole
-group of equal keys to be collected. One row of the files is one block that can be read on its own:
-the packed codes of a document, its number of ids, and the bit offset of every 128th id.
+Texts are encoded once, where they lie, into a table of ids in the shared folder; the counts of all ids go with
+it. From the counts the driver makes one code book, whose size is bounded by the vocabulary. The ids are then
+packed and dealt out by ranges of (doc_id, hash of the text), so that the files hold the documents in ascending
+order; the bounds come from a sample of those two columns, and rows that equal several bounds are spread over
+all their ranges. One row of the files is one block that can be read on its own: the packed codes of a
+document, its number of ids, and the bit offset of every 128th id.
 
 * Null texts count as empty: such a document holds the end id alone.
 * A null doc_id sorts first and stays null. Repeated rows are all written.
@@ -14,10 +15,10 @@ the packed codes of a document, its number of ids, and the bit offset of every 1
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,61 +35,116 @@ def _encoder(content: bytes) -> PartEncoder:
     return process_cache(f"parts-{zlib.crc32(content)}", lambda: PartEncoder(content))
 
 
-def id_counts(docs: DataFrame, tokenizer: bytes, end_id: int) -> DataFrame:
-    """(id, count) over all texts, each with its end id."""
-    shipped = docs.sparkSession.sparkContext.broadcast(tokenizer)
+def _planes(raw: bytes) -> bytes:
+    """32-bit ids with their bytes sorted by place, which compresses far better."""
+    return np.frombuffer(raw, np.uint8).reshape(-1, 4).T.tobytes()
 
-    def count(batches):
-        encoder = _encoder(shipped.value)
+
+def _from_planes(content: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(content, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def encoded_ids(docs: DataFrame, tokenizer: bytes, end_id: int) -> DataFrame:
+    """(doc_id, tie, planes) of every row, written to the shared folder, and beside them the counts of ids.
+
+    A row with ``counts`` holds those of a part of the input, in place of a document's ids.
+    """
+    spark = docs.sparkSession
+    shipped = spark.sparkContext.broadcast(tokenizer)
+
+    def encode(batches):
+        encoder, end = _encoder(shipped.value), np.uint32(end_id).tobytes()
         total = np.zeros(max(encoder.size, end_id + 1), np.int64)
-        for batch in slices(batches, 4096):
-            total[end_id] += batch.num_rows
-            for raw, times in encoder.weighted(t.decode() for t in batch.column(0).to_pylist()):
-                total += np.bincount(raw, times, len(total)).astype(np.int64)
+        for batch in slices(batches):
+            raw = [encoder.raw(t.decode()) + end for t in batch.column(1).to_pylist()]
+            total += np.bincount(np.frombuffer(b"".join(raw), np.uint32), minlength=len(total))
+            n = len(raw)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(map(_planes, raw), pa.binary()), pa.nulls(n, pa.binary())],
+                                             ["doc_id", "tie", "planes", "counts"])
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([total.tobytes()], pa.binary())], ["doc_id", "tie", "planes", "counts"])
+
+    path = shared_path(spark, "ids")
+    schema = "doc_id bigint, tie bigint, planes binary, counts binary"
+    docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias("tie")).mapInArrow(encode, schema) \
+        .write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def code_table(stored: DataFrame) -> np.ndarray:
+    """Rows (id, bits) for every id that occurs; at most the vocabulary reaches the driver."""
+    def add(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                counts = np.frombuffer(part, np.int64)
+                total = counts + (total if len(total) else 0)
         ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "count"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids], pa.int64())], ["id", "n"])
 
-    rows = docs.select(text_bytes().alias("text")).mapInArrow(count, "id bigint, count bigint")
-    return rows.groupBy("id").agg(F.sum("count").alias("count"))
+    rows = stored.where("counts IS NOT NULL").select("counts").mapInArrow(add, "id bigint, n bigint") \
+        .groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
+    counts = np.array([r["n"] for r in rows], np.int64)
+    return np.stack([np.array([r["id"] for r in rows], np.int64), code_lengths(counts).astype(np.int64)], 1)
 
 
-def code_table(docs: DataFrame, tokenizer: bytes, end_id: int) -> np.ndarray:
-    """Rows (id, bits) for every id that occurs; at most the vocabulary reaches the driver."""
-    got = id_counts(docs, tokenizer, end_id).orderBy("id").collect()
-    ids = np.array([r["id"] for r in got], np.int64)
-    return np.stack([ids, code_lengths(np.array([r["count"] for r in got], np.int64)).astype(np.int64)], 1)
+def _range_bounds(stored: DataFrame, parts: int, each: int = 64) -> list[tuple]:
+    """At most parts - 1 keys (has an id, doc_id, tie) that cut the rows into about equal ranges.
+
+    They are taken from at most ``each`` rows a range, those of the least hash of key and place, so that a key
+    that many rows share comes up as often as its share.
+    """
+    keys = stored.where("counts IS NULL").select("doc_id", "tie") \
+        .withColumn("pick", F.xxhash64("doc_id", "tie", F.monotonically_increasing_id())).orderBy("pick").limit(parts * each)
+    rows = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]) for r in keys.select("doc_id", "tie").collect())
+    return [rows[len(rows) * k // parts] for k in range(1, parts)] if rows else []
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: bytes, end_id: int = 0) -> None:
     """Writes ``path``/ids (the blocks, in ascending order) and ``path``/codes (the code book)."""
     spark = docs.sparkSession
-    codes = code_table(docs, tokenizer, end_id)
+    stored = encoded_ids(docs, tokenizer, end_id)
+    codes = code_table(stored)
     spark.createDataFrame([(int(i), int(b)) for i, b in codes], "id bigint, bits int").coalesce(1) \
         .write.parquet(f"{path}/codes")
-    shipped = spark.sparkContext.broadcast((tokenizer, codes))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shipped = spark.sparkContext.broadcast((codes, _range_bounds(stored, parts)))
 
-    def encode(batches):
-        content, rows = shipped.value
-        encoder, book = _encoder(content), Codebook(rows[:, 0], rows[:, 1])
-        end, part, at = np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), 0
+    def pack(batches):
+        rows, bounds = shipped.value
+        book, turn = Codebook(rows[:, 0], rows[:, 1]), 0
         for batch in slices(batches):
-            raw = [encoder.raw(t.decode()) + end for t in batch.column(1).to_pylist()]
-            n = np.array([len(r) // 4 for r in raw], np.int64)
-            packed, size, marks = book.pack(np.frombuffer(b"".join(raw), np.uint32), n)
+            ids = [_from_planes(p) for p in batch.column("planes").to_pylist()]
+            n = np.array([len(i) for i in ids], np.int64)
+            packed, size, marks = book.pack(np.concatenate(ids), n)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            begin = np.cumsum(n) - n + at
-            at += int(n.sum())
+            part = []
+            for doc, tie in zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist()):
+                key = (doc is not None, doc or 0, tie)
+                low, high = bisect_left(bounds, key), bisect_right(bounds, key)
+                turn += 1
+                part.append(low + turn % (high - low + 1))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(begin), pa.array(n),
+                batch.column("doc_id"), batch.column("tie"), pa.array(part, pa.int32()), pa.array(n),
                 pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]),
                 list_column((n + STRIDE - 1) // STRIDE, marks, pa.int64()),
-            ], ["doc_id", "part", "at", "n_tokens", "codes", "marks"])
+            ], ["doc_id", "tie", "part", "n_tokens", "codes", "marks"])
 
-    ordered = (
-        docs.select("doc_id", text_bytes().alias("text"), F.xxhash64("text").alias("tie"))
-        .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    )
-    ordered.mapInArrow(encode, FILE_SCHEMA).write.parquet(f"{path}/ids")
+    def number(batches):
+        at = 0
+        for batch in batches:
+            n = batch.column("n_tokens").to_numpy()
+            begin = np.cumsum(n) - n + at
+            at += int(n.sum())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "part")), pa.array(begin),
+                                              *(batch.column(c) for c in ("n_tokens", "codes", "marks"))],
+                                             ["doc_id", "part", "at", "n_tokens", "codes", "marks"])
+
+    packed = stored.where("counts IS NULL").select("doc_id", "tie", "planes").mapInArrow(
+        pack, "doc_id bigint, tie bigint, part int, n_tokens bigint, codes binary, marks array<bigint>")
+    packed.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "tie").mapInArrow(number, FILE_SCHEMA) \
+        .write.parquet(f"{path}/ids")
 
 
 def _decoded(spark: SparkSession, path: str, make, schema: str) -> DataFrame:

@@ -134,6 +134,27 @@ def forest_feature_importance(spark, folder):
     return predictor.feature_importance(spark, 15)
 
 
+NUMBER_NAMES = ("day_of_week month is_weekend year quarter day_of_year week_of_year hour day_sin day_cos month_sin month_cos "
+                "zone_avg_trips is_holiday is_monday is_friday").split()
+
+
+@query("forest_importance_names", DAYS + f"""
+    , train AS (SELECT start_zone, CASE WHEN month IN (12, 1, 2) THEN 'Winter' WHEN month IN (3, 4, 5) THEN 'Spring'
+                       WHEN month IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season FROM zone_days WHERE NOT {BUCKET} < {TEST_BELOW})
+    , names AS (SELECT unnest({NUMBER_NAMES}) AS feature UNION ALL SELECT DISTINCT 'zone_' || start_zone FROM train
+                UNION ALL SELECT DISTINCT 'season_' || season FROM train)
+    SELECT feature, true AS in_range, CAST(1 AS DOUBLE) AS total, true AS in_order FROM names""")
+def forest_importance_names(spark, folder):
+    """Every feature of the forest once; importances between 0 and 1 that add up to 1, handed out in falling order."""
+    days = _written_days(spark, folder, advanced=True)
+    predictor = FC.TripPredictor("random_forest", advanced=True, zone_means=O.zone_means(days)).train(days, folds=None)
+    rows = predictor.feature_importance(spark).collect()  # one row per feature column
+    values = [r["importance"] for r in rows]
+    frame = spark.createDataFrame([(r["feature"], float(r["importance"])) for r in rows], "feature string, importance double")
+    return frame.select("feature", F.col("importance").between(0, 1).alias("in_range"), F.lit(round(sum(values), 6)).alias("total"),
+                        F.lit(values == sorted(values, reverse=True)).alias("in_order"))
+
+
 @query("model_comparison")
 def model_comparison(spark, folder):
     """Both model types on the same split, best first, kept as run records."""

@@ -1,34 +1,42 @@
 """Byte-level BPE ids of whole texts, by way of the parts between spaces.
 
 The split pattern of these tokenizers starts a new piece at every space that stands before a visible
-character, so the parts between such spaces are encoded on their own and equal parts only once.
+character, so the parts between such spaces are split on their own, and equal parts only once. Their pieces go
+to the library's model, equal ones once as well.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-UNSAFE = re.compile(r" (?=[\s\x1c-\x1f\x85]|$)|\Z(?<= )")
+from dockline.llm.transducer import byte_signs
+
+UNSAFE = re.compile(r" [\s\x1c-\x1f\x85]")
+# The split pattern of byte-level BPE, white space spelled out by its Unicode property.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class _Memo(dict):
-    """Ids of parts in two generations: when the young one is full it becomes the old one, and what is used
-    again comes back from there."""
+    """Values in two generations: when the young one is full it becomes the old one, and what is used again
+    comes back from there."""
 
-    def __init__(self, encode, most: int):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.encode, self.most, self.old = encode, most, {}
+        self.make, self.most, self.old = make, most, {}
 
-    def __missing__(self, part):
-        ids = self.old.get(part)
-        if ids is None:
-            ids = np.asarray(self.encode(" " + part), np.uint32).tobytes()
-        self[part] = ids
-        return ids
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
 
     def turn(self) -> None:
         if len(self) > self.most:
@@ -39,11 +47,11 @@ class _Memo(dict):
 class PartEncoder:
     """Texts to ids, exactly as the library's ``encode(text, add_special_tokens=False)``.
 
-    ``most`` bounds each of the two generations of parts that are kept. Tokenizers of another kind
-    than byte-level BPE without normaliser, and texts with special strings, go to the library whole.
+    ``most`` bounds each of the two generations of parts, and of pieces, that are kept. Tokenizers of another
+    kind than byte-level BPE without normaliser, and texts with special strings, go to the library whole.
     """
 
-    def __init__(self, content: bytes, most: int = 500_000):
+    def __init__(self, content: bytes, most: int = 350_000):
         plan = json.loads(content)
         self.tokenizer = Tokenizer.from_buffer(content)
         pre = plan.get("pre_tokenizer") or {}
@@ -51,20 +59,22 @@ class PartEncoder:
                         and not pre.get("add_prefix_space"))
         self.special = [t["content"] for t in plan.get("added_tokens", [])]
         self.size = self.tokenizer.get_vocab_size()
-        self.rest = _Memo(self._library, most)
+        signs = {chr(byte): sign for sign, byte in byte_signs().items()}
+        tokenize, spelled = self.tokenizer.model.tokenize, str.maketrans(signs)
 
-    def _library(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        def piece(text: str) -> bytes:
+            return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(spelled))]).tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self._library(text), np.uint32).tobytes()
+        self.pieces = _Memo(piece, most)
+        get = self.pieces.__getitem__
+        self.rest = _Memo(lambda part: b"".join(map(get, PIECE.findall(" " + part))), most)
 
     def _parts(self, text: str) -> list[str] | None:
         """The text cut before spaces, those spaces left out; None where the library has to see it whole."""
         if not self.by_part or any(s in text for s in self.special):
             return None
         parts = text.split(" ")
-        if UNSAFE.search(text):
+        if text.endswith(" ") or UNSAFE.search(text):
             joined = parts[:1]
             for part in parts[1:]:
                 if part and not UNSAFE.match(" " + part[0]):
@@ -73,14 +83,15 @@ class PartEncoder:
                     joined[-1] += " " + part
             parts = joined
         self.rest.turn()
+        self.pieces.turn()
         return parts
 
     def raw(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         parts = self._parts(text)
         if parts is None:
-            return self._whole(text)
-        return self._whole(parts[0]) + b"".join(map(self.rest.__getitem__, parts[1:]))
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(parts[0]))) + b"".join(map(self.rest.__getitem__, parts[1:]))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), np.uint32)

@@ -230,7 +230,7 @@ class CountTransducer:
         return out
 
 
-def _byte_signs() -> dict[str, int]:
+def byte_signs() -> dict[str, int]:
     """The printable sign that stands for each byte in the vocabulary file."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in plain]
@@ -249,7 +249,7 @@ class TokenCounter:
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in plan["added_tokens"]):
             raise ValueError("added tokens that look at their neighbours can't be compiled")
         self.special = [t["content"] for t in plan["added_tokens"]]
-        sign = _byte_signs()
+        sign = byte_signs()
         spell = lambda text: bytes(sign[c] for c in text)
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         merges = [(spell(a), spell(b)) for a, b in pairs]

@@ -36,13 +36,14 @@ DEGREE = 16
 @dataclass(frozen=True)
 class Plan:
     """Sizes of the index. ``sample`` vectors fit the centroids, at most ``most_cells`` of them."""
-    cell: int = 1000
-    blocks_of: int = 8       # crowded cells are cut at twice ``cell``; so many pieces make a block
+    cell: int = 250
+    blocks_of: int = 32      # crowded cells are cut at twice ``cell``; so many pieces make a block
     sample: int = 20_000
     most_cells: int = 4096
     overlap: int = 2         # cells that a vector is a member of
     probes: int = 4          # cells whose groups a query visits
     beam: int = 16
+    starts: int = 3          # medoids, the nearest to the query, that a search starts from
     audited: int = 48        # queries of a block that are compared with all vectors
     wanted: float = 0.98     # share of their links that must be found
 
@@ -232,12 +233,15 @@ class Searcher:
         self.seen[found] = True
         return found
 
-    def within(self, query: np.ndarray, margin: float) -> np.ndarray:
+    def within(self, query: np.ndarray, margin: float, most: int) -> np.ndarray:
         """Rows whose cosine with ``query`` is RANGE or more, as far as the search finds them."""
         low = query.astype(np.float32)
         met, gains = [], []
-        for start in self.starts:
-            # Greedy from every medoid with a beam of its own: expand what it holds until nothing nearer turns
+        starts = self.starts
+        if len(starts) > most:
+            starts = starts[np.argpartition(-(self.low[starts] @ low), most - 1)[:most]]
+        for start in starts:
+            # Greedy from each medoid with a beam of its own: expand what it holds until nothing nearer turns
             # up. One beam for all would fill with one cell's vectors and never enter the others.
             if self.seen[start]:
                 continue
@@ -287,23 +291,29 @@ def search_block(nodes, queries, plan: Plan, place: tuple[int, int]):
     x, rep, copies, lists, starts, others = nodes
     q, q_rep, probes = queries
     searcher = Searcher(x, lists, starts, plan.beam)
-    margin = 0.08
+    margin, most = 0.08, plan.starts
     audited = np.linspace(0, len(q) - 1, min(plan.audited, len(q))).astype(int)
     exact = [np.flatnonzero(x @ q[i] >= RANGE) for i in audited]
     wanted = sum(map(len, exact))
-    while margin < 2 and sum(len(searcher.within(q[i], margin)) for i in audited) < plan.wanted * wanted:
-        margin *= 2
+    while margin < 2 and sum(len(searcher.within(q[i], margin, most)) for i in audited) < plan.wanted * wanted:
+        if most < len(starts):
+            most *= 2
+        else:
+            margin *= 2
     every = np.unique(np.concatenate([rep, q_rep]))
     node_at, query_at = np.searchsorted(every, rep), np.searchsorted(every, q_rep)
+    first = np.array([min(o) == place for o in others])
     linked, a, b = np.zeros(len(q), np.int64), [], []
     forest_a = forest_b = np.zeros(0, np.int64)
     waiting = 0
     for i in range(len(q)):
-        hit = searcher.within(q[i], margin)
+        hit = searcher.within(q[i], margin, most)
         hit = hit[rep[hit] != q_rep[i]]
         if not len(hit):
             continue
-        mine = np.array([not any(o < place and o[0] in probes[i] for o in others[h]) for h in hit.tolist()])
+        mine = first[hit]
+        for k in np.flatnonzero(~mine).tolist():
+            mine[k] = not any(o < place and o[0] in probes[i] for o in others[hit[k]])
         linked[i] = copies[hit[mine]].sum()
         a.append(np.full(len(hit), query_at[i]))
         b.append(node_at[hit])

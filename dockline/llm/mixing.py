@@ -143,7 +143,8 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
     in the inner product that weighs a document with its tokens, so that a rate does not depend on the length
     of the text; the projection stays one maximum per document. scale_d is the domain's own curvature
     sum_i tokens_i p_id^2, which makes one step size fit all domains. It ends when every domain is within
-    CLOSE of its target, relative to the total, or after ROUNDS steps.
+    CLOSE of its target, relative to the total, or a step moves none by more than that (a lower bound on the
+    rates can keep targets out of reach), or after ROUNDS steps.
     """
     n = len(domains)
     share = np.array([1.0 if weights is None else float(weights.get(d, 0.0)) for d in domains])
@@ -182,7 +183,9 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
         if np.abs(now - goal).max() <= CLOSE * max(goal.sum(), 1.0):
             break
         rates.steps.append(pace * (now - goal) / safe)
-        now = totals()
+        last, now = now, totals()
+        if np.abs(now - last).max() <= CLOSE * max(goal.sum(), 1.0):
+            break
     rates.after = now
     return rates
 

@@ -14,6 +14,7 @@ document, its number of ids, and the bit offset of every 128th id.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, bisect_right
 
@@ -92,12 +93,14 @@ def code_table(stored: DataFrame) -> np.ndarray:
 def _range_bounds(stored: DataFrame, parts: int, each: int = 64) -> list[tuple]:
     """At most parts - 1 keys (has an id, doc_id, tie) that cut the rows into about equal ranges.
 
-    They are taken from at most ``each`` rows a range, those of the least hash of key and place, so that a key
-    that many rows share comes up as often as its share.
+    They are taken from about ``each`` rows a range, those with a low hash of key and place, so that a key that
+    many rows share comes up as often as its share.
     """
-    keys = stored.where("counts IS NULL").select("doc_id", "tie") \
-        .withColumn("pick", F.xxhash64("doc_id", "tie", F.monotonically_increasing_id())).orderBy("pick").limit(parts * each)
-    rows = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]) for r in keys.select("doc_id", "tie").collect())
+    keys = stored.where("counts IS NULL").select("doc_id", "tie")
+    share = min(1.0, parts * each / max(1, keys.count()))
+    pick = F.pmod(F.xxhash64("doc_id", "tie", F.monotonically_increasing_id()), F.lit(1 << 30))
+    drawn = keys.where(pick < math.ceil(share * (1 << 30))).collect()
+    rows = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]) for r in drawn)
     return [rows[len(rows) * k // parts] for k in range(1, parts)] if rows else []
 
 

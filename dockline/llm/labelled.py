@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+LONG, FEWEST = 64, 4
+
 
 def held_out(remainder: int, modulus: int) -> Column:
     """True where crc32 of the doc_id's decimal digits leaves ``remainder``; a null id is not held out."""
@@ -19,23 +21,28 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column
     among all of those rows.
 
     The sample is bounded: of each class the ``most_rows`` ids of least hash, and of those as many whole texts,
-    in the same order, as ``most_bytes`` hold. Rows without id or label are left out, an id labelled twice
-    counts with its larger label, and an id with several texts with the least of them. Only the ids are
-    joined by broadcast; texts are not moved before the join has thinned them.
+    in the same order, as half of ``most_bytes`` holds. An id with a text over a LONG-th of that half stands
+    behind all others, shorter ones first, so a long text takes no other's place; the first FEWEST of a class
+    are taken at any length. Rows without id or label are left out, an id labelled twice counts with its larger
+    label, and an id with several texts with the least of them. Ids are chosen by hash and length; texts are
+    not moved before the join with the chosen ids, by broadcast, has thinned them.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(learn)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label")).where("_label IN (0, 1)")
     ones = known.agg(F.avg("_label")).first()[0]
+    whole = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    sizes = known.join(whole.groupBy("doc_id").agg(F.max(F.octet_length("_text")).cast("bigint").alias("_bytes")), "doc_id")
+    long = F.when(F.col("_bytes") > most_bytes // 2 // LONG, F.col("_bytes")).otherwise(0)
+    order = [long, F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = None
     for value in (0, 1):
-        part = known.where(F.col("_label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+        part = sizes.where(F.col("_label") == value).orderBy(*order).limit(most_rows)
         chosen = part if chosen is None else chosen.unionAll(part)
-    texts = (
-        docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min("_text").alias("_text"))
-    )
-    running = F.sum(F.octet_length("_text")).over(W.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    rows = texts.withColumn("_sum", running).where(F.col("_sum") <= most_bytes // 2) \
+    ranked = W.partitionBy("_label").orderBy(*order)
+    chosen = chosen.select("doc_id", "_label", F.sum("_bytes").over(ranked.rowsBetween(W.unboundedPreceding, 0)).alias("_sum"),
+                           F.row_number().over(ranked).alias("_rank"))
+    chosen = chosen.where((F.col("_sum") <= most_bytes // 2) | (F.col("_rank") <= FEWEST)).select("doc_id", "_label")
+    rows = whole.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min("_text").alias("_text")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").select(F.col("_text").cast("binary").alias("_text"), "_label").collect()
     seen: dict[bytes, int] = {}
     for r in rows:

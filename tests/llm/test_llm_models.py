@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dockline.llm import chat, mixing, neighbours, simhash, supervision, toxicity
+from dockline.llm.labelled import labelled_texts
 from dockline.llm.queries import DOMAIN_WEIGHTS, ORACLES, QUERIES
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -108,6 +109,20 @@ def test_held_out_labels_are_not_read(spark, tables):
     assert a.toxic == b.toxic and a.ordinary == b.ordinary and np.array_equal(a.weights, b.weights)
 
 
+@pytest.mark.parametrize("value", [0, 1])
+def test_a_long_labelled_text_takes_no_place(spark, value):
+    labels = spark.range(80).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    first = labels.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id")).first()["doc_id"]
+    said = F.concat(F.lit("text "), F.col("doc_id").cast("string"))
+    docs = labels.select("doc_id", F.when(F.col("doc_id") == first, F.repeat(F.lit("word "), 4_000_000)).otherwise(said).alias("text"))
+    texts, label, share = labelled_texts(docs, labels, "toxic", F.lit(True), 30)
+    assert share == 0.5 and (label == 0).sum() == (label == 1).sum() == 30
+    assert max(map(len, texts)) < 20
+    # In a class of long texts only, some are learnt from.
+    texts, label, _ = labelled_texts(docs, labels, "toxic", F.lit(True), 30, 64)
+    assert (label == 0).sum() >= 4 <= (label == 1).sum()
+
+
 def test_neighbour_votes_equal_brute_force(tables):
     model = neighbours.fit_neighbours(tables["documents"], tables["labels"])
     texts = [r["text"].encode() for r in tables["documents"].limit(40).collect()]

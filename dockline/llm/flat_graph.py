@@ -2,7 +2,8 @@
 
 Distinct vectors of one label are put into overlapping cells around centroids. In every cell (cut by hash where
 it is crowded) a graph is built: each vector keeps neighbours that robust pruning leaves, links go both ways and
-everything can be reached from the medoid. A vector's adjacency lists from all its cells are united. Searches
+everything can be reached from the medoid. A vector's adjacency lists from all its cells are united. A query
+visits every group with a cell that can hold a vector in range, by bounds that hold for every vector. Searches
 run in blocks of neighbouring cells: a greedy beam from the medoids leads to a query's surroundings, then
 everything in range and a margin around it is expanded until nothing new is in range. Some queries of every
 block are compared with all of its vectors; while too few of their links are found the margin grows. Links
@@ -41,7 +42,7 @@ class Plan:
     sample: int = 20_000
     most_cells: int = 4096
     overlap: int = 2         # cells that a vector is a member of
-    probes: int = 4          # cells whose groups a query visits
+    rivals: int = 4          # cells nearest to a query whose borders bound what other cells can hold
     beam: int = 16
     starts: int = 3          # medoids, the nearest to the query, that a search starts from
     audited: int = 48        # queries of a block that are compared with all vectors
@@ -114,29 +115,82 @@ def _means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 
 def assigned(reps: DataFrame, cells, plan: Plan) -> DataFrame:
-    """reps with ``own`` (cells and their groups of which it is a member) and ``probes`` (groups it searches)."""
+    """reps with ``own`` (cells and their groups of which it is a member, the nearest first) and ``angle`` (to the
+    centroid of the first)."""
     shipped = reps.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches):
         cells = shipped.value
         for batch in slices(batches, 4096):
             keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
-            own, probes = [[(0, 0)]] * len(keys), [[0]] * len(keys)
+            own, angle = [[(0, 0)]] * len(keys), np.zeros(len(keys))
             for key in set(keys) & set(cells):
                 at = np.array([i for i, k in enumerate(keys) if k == key])
                 centroids, group = cells[key]
                 near = _matrix(batch.column("vector").take(pa.array(at))) @ centroids.T
-                order = np.argsort(-near, axis=1, kind="stable")[:, :max(plan.overlap, plan.probes)]
+                order = np.argsort(-near, axis=1, kind="stable")[:, :plan.overlap]
+                angle[at] = np.arccos(np.clip(near.max(1), -1, 1))
                 for i, best in zip(at.tolist(), order):
-                    own[i] = [(int(c), int(group[c])) for c in best[:plan.overlap]]
-                    probes[i] = sorted({int(g) for g in group[best[:plan.probes]]})
+                    own[i] = [(int(c), int(group[c])) for c in best]
             kind = pa.list_(pa.struct([("cell", pa.int32()), ("grp", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([[{"cell": c, "grp": g} for c, g in o] for o in own], kind),
-                 pa.array(probes, pa.list_(pa.int32()))], [*batch.schema.names, "own", "probes"])
+                [*batch.columns, pa.array([[{"cell": c, "grp": g} for c, g in o] for o in own], kind), pa.array(angle)],
+                [*batch.schema.names, "own", "angle"])
 
     return reps.mapInArrow(run, "rep bigint, label string, size int, vector array<double>, copies bigint, "
-                                "own array<struct<cell: int, grp: int>>, probes array<int>")
+                                "own array<struct<cell: int, grp: int>>, angle double")
+
+
+def cell_bounds(members: DataFrame, cells) -> dict[tuple[str, int], np.ndarray]:
+    """For every cell of ``cells`` the least and the largest angle between its centroid and the vectors to which it
+    is the nearest; without such vectors infinity and its negative. At most one row per cell reaches the driver."""
+    out = {key: np.tile([np.inf, -np.inf], (len(c), 1)) for key, (c, _) in cells.items()}
+    for r in members.groupBy("label", "size", F.col("own")[0]["cell"].alias("cell")) \
+            .agg(F.min("angle").alias("least"), F.max("angle").alias("most")).collect() if cells else []:
+        if (r["label"], r["size"]) in out:
+            out[r["label"], r["size"]][r["cell"]] = r["least"], r["most"]
+    return out
+
+
+def reachable(x: np.ndarray, centroids: np.ndarray, bounds: np.ndarray, rivals: int) -> np.ndarray:
+    """For every row of ``x`` (unit length) the cells that can hold a vector in range as its nearest cell.
+
+    A cell is left out only where no such vector can exist: the query's angle to the centroid differs by more
+    than the range from those of all the cell's vectors, or the range ends before the border between the cell
+    and one of the ``rivals`` centroids nearest to the query. Both hold up to rounding, for which there is room.
+    """
+    room, theta = 1e-6, math.acos(RANGE)
+    near = x @ centroids.T
+    some = np.isfinite(bounds[:, 0])
+    low = np.cos(np.minimum(np.where(some, bounds[:, 1], 0) + theta + room, math.pi)) - room
+    high = np.cos(np.maximum(np.where(some, bounds[:, 0], 0) - theta - room, 0)) + room
+    out = some & (near >= low) & (near <= high)
+    k = min(rivals, len(centroids))
+    apart = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))
+    for rival in np.argpartition(-near, k - 1, axis=1)[:, :k].T:
+        out &= near[np.arange(len(x)), rival][:, None] - near <= math.sin(theta) * apart[rival] + room
+    return out
+
+
+def probing(members: DataFrame, cells, plan: Plan) -> DataFrame:
+    """rep, label, size, vector and ``probes``: the groups that hold its ``reachable`` cells."""
+    shipped = members.sparkSession.sparkContext.broadcast((cells, cell_bounds(members, cells)))
+
+    def run(batches):
+        cells, bounds = shipped.value
+        for batch in slices(batches, 1024):
+            keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
+            probes = [[0]] * len(keys)
+            for key in set(keys) & set(cells):
+                at = np.array([i for i, k in enumerate(keys) if k == key])
+                centroids, group = cells[key]
+                reach = reachable(_matrix(batch.column("vector").take(pa.array(at))), centroids, bounds[key], plan.rivals)
+                for i, row in zip(at.tolist(), reach):
+                    probes[i] = np.unique(group[row]).tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(probes, pa.list_(pa.int32()))], [*batch.schema.names, "probes"])
+
+    return members.select("rep", "label", "size", "vector").mapInArrow(
+        run, "rep bigint, label string, size int, vector array<double>, probes array<int>")
 
 
 def robust_prune(distance: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -376,7 +430,8 @@ def _search(table: pa.Table, plan: Plan) -> pa.Table:
 def links(reps: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Rows (rep, links, null): vectors linked to rep found in a block, copies included, to be summed; and rows
     (rep, 0, other): links that span the components."""
-    members = cut_lineage(assigned(reps.select("rep", "label", "size", "vector", "copies"), fit_cells(reps, plan), plan), "cells")
+    cells = fit_cells(reps, plan)
+    members = cut_lineage(assigned(reps.select("rep", "label", "size", "vector", "copies"), cells, plan), "cells")
     # Where each cell lies: its pieces, numbered through its group. One small row per cell.
     count = members.select("label", "size", F.explode("own").alias("o")).groupBy("label", "size", "o.grp", "o.cell").count()
     count = count.withColumn("pieces", F.ceil(F.col("count") / (2 * plan.cell)).cast("int"))
@@ -413,7 +468,7 @@ def links(reps: DataFrame, plan: Plan = Plan()) -> DataFrame:
     stored = as_node.unionAll(as_list).join(shares, keys).select(
         *keys, "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "rep", "kind", "vector", "copies",
         "places", "probes", "near", "start")
-    asked = members.select("rep", *keys[:2], "vector", "probes", F.explode("probes").alias("grp")).join(shares, keys).select(
+    asked = probing(members, cells, plan).select("rep", *keys[:2], "vector", "probes", F.explode("probes").alias("grp")).join(shares, keys).select(
         *keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("rep", F.lit(2)), F.col("shares")).cast("int").alias("share"), "rep", F.lit(1).alias("kind"), "vector",
         F.lit(0).cast("bigint").alias("copies"), none(place_kind).alias("places"), "probes", none("array<bigint>").alias("near"),

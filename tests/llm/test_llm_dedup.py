@@ -144,6 +144,29 @@ def test_vector_recall_and_empty_table(spark, sf_dir):
     assert flat_graph.embedding_groups(frame.limit(0)).count() == 0
 
 
+def test_queries_visit_every_group_in_range(spark):
+    # A third are near copies of one vector, spread over more cells than a fixed number of probes reaches.
+    rng = np.random.default_rng(5)
+    one = flat_graph._unit(rng.normal(size=(1, 16)))
+    x = flat_graph._unit(np.concatenate([rng.normal(size=(2000, 16)), one + 0.065 * rng.normal(size=(1000, 16))]))
+    near = x @ x.T >= 0.93
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    plan = flat_graph.Plan(cell=30, blocks_of=4)
+    reps = flat_graph.distinct_vectors(frame)[1]
+    cells = flat_graph.fit_cells(reps, plan)
+    members = flat_graph.assigned(reps.drop("least"), cells, plan).cache()
+    at = {r["rep"]: r["least"] for r in reps.select("rep", "least").collect()}
+    home = {at[r["rep"]]: r["own"][0]["grp"] for r in members.select("rep", "own").collect()}
+    visits = {at[r["rep"]]: set(r["probes"]) for r in flat_graph.probing(members, cells, plan).select("rep", "probes").collect()}
+    assert len(set(home.values())) > 20
+    assert all(home[b] in visits[a] for a, b in zip(*(k.tolist() for k in np.nonzero(near))))
+    assert any(len(v) < len(set(home.values())) for v in visits.values())
+    got = flat_graph.embedding_groups(frame, plan).select("vec_id", "n_links").collect()
+    links = near.sum(1) - 1
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+    assert sum(r["n_links"] for r in got) >= 0.98 * links.sum()
+
+
 def test_graph_is_reachable_and_pruned():
     x = flat_graph._unit(np.random.default_rng(1).normal(size=(300, 8)))
     lists, medoid = flat_graph.build_graph(x)

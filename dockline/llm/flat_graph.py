@@ -5,9 +5,10 @@ it is crowded) a graph is built: each vector keeps neighbours that robust prunin
 everything can be reached from the medoid. A vector's adjacency lists from all its cells are united. A query
 visits every group with a cell that can hold a vector in range, by bounds that hold for every vector. Searches
 run in blocks of neighbouring cells: a greedy beam from the medoids leads to a query's surroundings, then
-everything in range and a margin around it is expanded until nothing new is in range. Some queries of every
-block are compared with all of its vectors; while too few of their links are found the margin grows. Links
-are verified by cosines in double precision.
+everything in range and a margin around it is expanded until nothing new is in range. Queries of every block
+are compared with all of its vectors until enough links are seen, all queries where links are rare; while the
+search finds too few of those the margin grows. Links are verified by cosines in double precision, and count
+in the block of the found vector's nearest cell, which every query in its range visits.
 
 Sizes: centroids come from a bounded sample and are bounded in number, so they are broadcast. A block holds a
 bounded number of vectors and of queries, and gives a count per query and a spanning forest of its links,
@@ -45,7 +46,8 @@ class Plan:
     rivals: int = 4          # cells nearest to a query whose borders bound what other cells can hold
     beam: int = 16
     starts: int = 3          # medoids, the nearest to the query, that a search starts from
-    audited: int = 48        # queries of a block that are compared with all vectors
+    audited: int = 48        # so many queries of a block at a time are compared with all vectors
+    seen: int = 500          # until they have so many links
     wanted: float = 0.98     # share of their links that must be found
 
 
@@ -270,10 +272,11 @@ def _sorted(distance: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 class Searcher:
-    """Range search on one block: ``x`` unit rows, ``lists`` united neighbour lists, ``starts`` the medoids."""
+    """Range search on one block: ``x`` unit rows, ``lists`` united neighbour lists, ``starts`` the medoids of
+    the pieces and ``cells`` their cells."""
 
-    def __init__(self, x: np.ndarray, lists: list[np.ndarray], starts: np.ndarray, beam: int):
-        self.x, self.low, self.starts, self.beam = x, x.astype(np.float32), starts, beam
+    def __init__(self, x: np.ndarray, lists: list[np.ndarray], starts: np.ndarray, cells: np.ndarray, beam: int):
+        self.x, self.low, self.starts, self.cells, self.beam = x, x.astype(np.float32), starts, cells, beam
         size = np.array([len(s) for s in lists], np.int64)
         self.end = np.cumsum(size)
         self.begin = self.end - size
@@ -293,7 +296,8 @@ class Searcher:
         met, gains = [], []
         starts = self.starts
         if len(starts) > most:
-            starts = starts[np.argpartition(-(self.low[starts] @ low), most - 1)[:most]]
+            best = np.argpartition(-(self.low[starts] @ low), most - 1)[:most]
+            starts = starts[np.isin(self.cells, self.cells[best])]  # every piece of their cells
         for start in starts:
             # Greedy from each medoid with a beam of its own: expand what it holds until nothing nearer turns
             # up. One beam for all would fill with one cell's vectors and never enter the others.
@@ -336,39 +340,49 @@ class Searcher:
         return close[self.x[close] @ query >= RANGE]
 
 
-def search_block(nodes, queries, plan: Plan, place: tuple[int, int]):
+def search_block(nodes, queries, plan: Plan):
     """Counts (query, links) and forest links of a block.
 
-    ``nodes`` and ``queries`` are tuples of arrays; a pair that meets in several blocks counts in the first of
-    those that both are in.
+    ``nodes`` and ``queries`` are tuples of arrays. ``home`` is true for the nodes whose nearest cell lies in
+    this block, and only they count: all in a query's range do so in one of the blocks that it visits.
     """
-    x, rep, copies, lists, starts, others = nodes
-    q, q_rep, probes = queries
-    searcher = Searcher(x, lists, starts, plan.beam)
+    x, rep, copies, lists, starts, cells, home = nodes
+    q, q_rep = queries
+    exact: dict[int, np.ndarray] = {}
+    every = np.arange(len(q))
+    stride = max(1, len(q) // plan.audited)
+    spread, wanted = every[np.argsort(every % stride, kind="stable")], 0
+    for at in range(0, len(q), plan.audited):
+        if wanted >= plan.seen:
+            break
+        some = spread[at:at + plan.audited]
+        for i, near in zip(some.tolist(), q[some] @ x.T):
+            hit = np.flatnonzero(near >= RANGE)
+            exact[i] = hit[rep[hit] != q_rep[i]]
+            wanted += len(exact[i])
+    searcher = Searcher(x, lists, starts, cells, plan.beam)
     margin, most = 0.08, plan.starts
-    audited = np.linspace(0, len(q) - 1, min(plan.audited, len(q))).astype(int)
-    exact = [np.flatnonzero(x @ q[i] >= RANGE) for i in audited]
-    wanted = sum(map(len, exact))
-    while margin < 2 and sum(len(searcher.within(q[i], margin, most)) for i in audited) < plan.wanted * wanted:
+
+    def found(i):
+        hit = searcher.within(q[i], margin, most)
+        return hit[rep[hit] != q_rep[i]]
+
+    linked_ones = [i for i, hit in exact.items() if len(hit)]
+    while len(exact) < len(q) and margin < 2 and sum(len(found(i)) for i in linked_ones) < plan.wanted * wanted:
         if most < len(starts):
             most *= 2
         else:
             margin *= 2
     every = np.unique(np.concatenate([rep, q_rep]))
     node_at, query_at = np.searchsorted(every, rep), np.searchsorted(every, q_rep)
-    first = np.array([min(o) == place for o in others])
     linked, a, b = np.zeros(len(q), np.int64), [], []
     forest_a = forest_b = np.zeros(0, np.int64)
     waiting = 0
     for i in range(len(q)):
-        hit = searcher.within(q[i], margin, most)
-        hit = hit[rep[hit] != q_rep[i]]
+        hit = exact[i] if i in exact else found(i)
         if not len(hit):
             continue
-        mine = first[hit]
-        for k in np.flatnonzero(~mine).tolist():
-            mine[k] = not any(o < place and o[0] in probes[i] for o in others[hit[k]])
-        linked[i] = copies[hit[mine]].sum()
+        linked[i] = copies[hit[home[hit]]].sum()
         a.append(np.full(len(hit), query_at[i]))
         b.append(node_at[hit])
         waiting += len(hit)
@@ -391,7 +405,7 @@ def _build_cell(table: pa.Table) -> pa.Table:
     return pa.table({
         "label": table.column("label"), "size": table.column("size"), "grp": table.column("grp"), "block": table.column("block"),
         "rep": pa.array(rep), "near": pa.array([rep[s] for s in lists], pa.list_(pa.int64())),
-        "start": pa.array(np.arange(len(rep)) == medoid)})
+        "start": pa.array([table.column("cell")[0].as_py() if i == medoid else None for i in range(len(rep))], pa.int32())})
 
 
 def _search(table: pa.Table, plan: Plan) -> pa.Table:
@@ -404,7 +418,8 @@ def _search(table: pa.Table, plan: Plan) -> pa.Table:
     rep = node.column("rep").to_numpy()
     order = np.argsort(rep)
     node, rep = node.take(pa.array(order)), rep[order]
-    starts = adjacency.column("rep").to_numpy()[adjacency.column("start").to_numpy(zero_copy_only=False).astype(bool)]
+    medoids = adjacency.column("start").combine_chunks()
+    starts = np.repeat(adjacency.column("rep").to_numpy(), medoids.value_lengths().to_numpy(zero_copy_only=False))
     size = adjacency.column("near").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     ends = np.cumsum(size)
     flat = adjacency.column("near").combine_chunks().flatten().to_numpy()
@@ -413,13 +428,11 @@ def _search(table: pa.Table, plan: Plan) -> pa.Table:
     lists: list[np.ndarray] = [np.zeros(0, np.int64)] * len(rep)
     for r, e, n in zip(np.searchsorted(rep, adjacency.column("rep").to_numpy()).tolist(), ends.tolist(), size.tolist()):
         lists[r] = at[e - n:e][known[e - n:e]]
-    place = (table.column("grp")[0].as_py(), table.column("block")[0].as_py())
-    others = [[(o["grp"], o["block"]) for o in own] for own in node.column("places").to_pylist()]
     q_rep = query.column("rep").to_numpy()
     linked, a, b = search_block(
-        (_matrix(node.column("vector")), rep, node.column("copies").to_numpy(), lists,
-         np.unique(np.searchsorted(rep, starts)), others),
-        (_matrix(query.column("vector")), q_rep, [set(p) for p in query.column("probes").to_pylist()]), plan, place)
+        (_matrix(node.column("vector")), rep, node.column("copies").to_numpy(), lists, np.searchsorted(rep, starts),
+         medoids.flatten().to_numpy(), node.column("home").to_numpy(zero_copy_only=False).astype(bool)),
+        (_matrix(query.column("vector")), q_rep), plan)
     some = np.flatnonzero(linked)
     return pa.table({
         "rep": pa.array(np.concatenate([q_rep[some], a])),
@@ -442,37 +455,34 @@ def links(reps: DataFrame, plan: Plan = Plan()) -> DataFrame:
     groups = layout.groupBy(*keys).agg(F.ceil(F.sum("pieces") / plan.blocks_of).cast("int").alias("blocks"))
 
     piece = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("pieces")).cast("int")
-    placed = members.select("*", F.explode("own").alias("o")).select(
-        "rep", "label", "size", "vector", "copies", F.col("o.grp").alias("grp"), F.col("o.cell").alias("cell")) \
+    placed = members.select("*", F.posexplode("own").alias("at", "o")).select(
+        "rep", "label", "size", "vector", "copies", (F.col("at") == 0).alias("home"), F.col("o.grp").alias("grp"), F.col("o.cell").alias("cell")) \
         .join(layout, [*keys, "cell"]).withColumn("piece", piece) \
         .withColumn("block", ((F.col("before") + F.col("piece")) / plan.blocks_of).cast("int"))
-    placed = cut_lineage(placed.select("rep", *keys, "cell", "piece", "block", "vector", "copies"), "placed")
+    placed = cut_lineage(placed.select("rep", *keys, "cell", "piece", "block", "vector", "copies", "home"), "placed")
     graph = placed.select("rep", *keys, "cell", "piece", "block", "vector").groupBy(*keys, "cell", "piece", "block").applyInArrow(
         _build_cell,
-        "label string, size int, grp int, block int, rep bigint, near array<bigint>, start boolean")
+        "label string, size int, grp int, block int, rep bigint, near array<bigint>, start int")
     # The union of a vector's lists; at most its cells times the degree.
     united = graph.groupBy(*keys, "block", "rep").agg(
-        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("start").alias("start"))
-    places = placed.groupBy(*keys[:2], "rep").agg(F.array_sort(F.collect_set(F.struct("grp", "block"))).alias("places"))
-    nodes = placed.select("rep", *keys, "block", "vector", "copies").dropDuplicates([*keys, "block", "rep"]).join(
-        places, [*keys[:2], "rep"])
+        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.collect_list("start").alias("start"))
+    nodes = placed.groupBy(*keys, "block", "rep").agg(
+        F.first("vector").alias("vector"), F.first("copies").alias("copies"), F.max("home").alias("home"))
 
     none = lambda kind: F.lit(None).cast(kind)
-    place_kind = "array<struct<grp: int, block: int>>"
-    as_node = nodes.select(*keys, "block", "rep", F.lit(0).alias("kind"), "vector", "copies", "places",
-                           none("array<int>").alias("probes"), none("array<bigint>").alias("near"), F.lit(False).alias("start"))
+    as_node = nodes.select(*keys, "block", "rep", F.lit(0).alias("kind"), "vector", "copies", "home",
+                           none("array<bigint>").alias("near"), none("array<int>").alias("start"))
     as_list = united.select(*keys, "block", "rep", F.lit(2).alias("kind"), none("array<double>").alias("vector"),
-                            F.lit(0).cast("bigint").alias("copies"), none(place_kind).alias("places"),
-                            none("array<int>").alias("probes"), "near", "start")
+                            F.lit(0).cast("bigint").alias("copies"), F.lit(False).alias("home"), "near", "start")
     shares = groups.withColumn("shares", F.col("blocks"))
     stored = as_node.unionAll(as_list).join(shares, keys).select(
         *keys, "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "rep", "kind", "vector", "copies",
-        "places", "probes", "near", "start")
-    asked = probing(members, cells, plan).select("rep", *keys[:2], "vector", "probes", F.explode("probes").alias("grp")).join(shares, keys).select(
+        "home", "near", "start")
+    asked = probing(members, cells, plan).select("rep", *keys[:2], "vector", F.explode("probes").alias("grp")).join(shares, keys).select(
         *keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("rep", F.lit(2)), F.col("shares")).cast("int").alias("share"), "rep", F.lit(1).alias("kind"), "vector",
-        F.lit(0).cast("bigint").alias("copies"), none(place_kind).alias("places"), "probes", none("array<bigint>").alias("near"),
-        F.lit(False).alias("start"))
+        F.lit(0).cast("bigint").alias("copies"), F.lit(False).alias("home"), none("array<bigint>").alias("near"),
+        none("array<int>").alias("start"))
     return stored.unionByName(asked).groupBy(*keys, "block", "share").applyInArrow(
         lambda table: _search(table, plan), "rep bigint, links bigint, other bigint")
 

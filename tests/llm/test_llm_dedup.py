@@ -167,6 +167,27 @@ def test_queries_visit_every_group_in_range(spark):
     assert sum(r["n_links"] for r in got) >= 0.98 * links.sum()
 
 
+def test_rare_links_of_a_block_are_found():
+    # Two pieces that no link joins, one query in a thousand with a link, none among 48 evenly spaced ones.
+    rng = np.random.default_rng(9)
+    x = flat_graph._unit(rng.normal(size=(600, 64)))
+    q = flat_graph._unit(rng.normal(size=(1000, 64)))
+    q[501] = flat_graph._unit(x[[599]] + 0.02 * rng.normal(size=(1, 64)))[0]
+    lists, starts = [], []
+    for begin in (0, 300):
+        near, medoid = flat_graph.build_graph(x[begin:begin + 300])
+        lists += [s + begin for s in near]
+        starts.append(medoid + begin)
+    lists[599] = np.zeros(0, np.int64)
+    for s in range(599):
+        lists[s] = lists[s][lists[s] != 599]  # no path leads to it
+    rep = np.arange(600)
+    linked, a, b = flat_graph.search_block(
+        (x, rep, np.ones(600, np.int64), lists, np.array(starts), np.zeros(2, int), np.ones(600, bool)),
+        (q, rep[-1] + 1 + np.arange(1000)), flat_graph.Plan())
+    assert np.flatnonzero(linked).tolist() == [501] and {*a.tolist(), *b.tolist()} == {599, 1101}
+
+
 def test_graph_is_reachable_and_pruned():
     x = flat_graph._unit(np.random.default_rng(1).normal(size=(300, 8)))
     lists, medoid = flat_graph.build_graph(x)

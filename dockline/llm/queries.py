@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import chat, flat_graph, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
+from dockline.llm import centroids, chat, divergence, flat_graph, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
 from dockline.llm.common import table
 from dockline.session import cut_lineage
 
@@ -75,7 +75,67 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return transducer_counts.token_counts(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+told AS (SELECT id, lang, source, t.term, count(*) AS n FROM texts, unnest(terms) t(term) GROUP BY ALL),
+kept AS (SELECT lang, term FROM told GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT l.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM texts) l LEFT JOIN kept k USING (lang) GROUP BY ALL),
+had AS (SELECT lang, source, term, sum(n) AS n FROM told JOIN kept USING (lang, term) GROUP BY ALL),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM texts) g
+         JOIN kept k USING (lang) LEFT JOIN had h USING (lang, source, term)),
+p AS (SELECT lang, source, term, n,
+             CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS BIGINT) AS p FROM grid JOIN sizes USING (lang)),
+usual AS (SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS BIGINT) AS q
+          FROM (SELECT lang, term, sum(n) AS n FROM had GROUP BY ALL) JOIN sizes USING (lang)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+marks AS (SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value
+          FROM p JOIN usual USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marks) QUALIFY part = 'pair' OR rank <= 10"""
+
+
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters_of(table(spark, folder, "embeddings"))
+
+
+def _rounds(rounds: int) -> str:
+    """SQL of the rounds: the nearest centroid of every vector, then the floors of the means."""
+    assigned = """
+near{r} AS MATERIALIZED (SELECT id, k, d FROM (
+  SELECT id, k, sum((x - c) * (x - c)) AS d FROM parts JOIN centre{r} USING (i) GROUP BY id, k)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, k) = 1)"""
+    moved = """
+centre{s} AS MATERIALIZED (SELECT k, i, coalesce(m, c) AS c FROM centre{r} LEFT JOIN (
+  SELECT k, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM parts JOIN near{r} USING (id) GROUP BY k, i) USING (k, i))"""
+    return ",".join(part.format(r=r, s=r + 1) for r in range(rounds + 1) for part in (assigned, moved)[:2 if r < rounds else 1])
+
+
+OP13_SQL = r"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT id, unnest(generate_series(1, 64)) AS i, CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM kept),
+first AS (SELECT id, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, embedding) - 1 AS k FROM kept QUALIFY k < 8),
+centre0 AS MATERIALIZED (SELECT k, i, x AS c FROM first JOIN parts USING (id)),""" + _rounds(10) + """,
+inertias AS (SELECT k, sum(d) AS own, sum(sum(d)) OVER () AS whole FROM near10 GROUP BY k),
+shas AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM centre10 GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(own AS BIGINT) AS cluster_inertia,
+       CAST(whole AS BIGINT) AS inertia, centroid_sha256
+FROM near10 JOIN kept USING (id) JOIN inertias USING (k) JOIN shas USING (k)"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_groups, op2_sentencepiece, op3_token_files, op4_simhash, op5_quality_rules, op6_quality_neighbours,
-    op7_toxicity, op8_chat, op9_mixing, op10_token_counts)}
-ORACLES = {"op8_chat": OP8_SQL.strip()}
+    op7_toxicity, op8_chat, op9_mixing, op10_token_counts, op11_source_divergence, op13_centroid_clusters)}
+ORACLES = {"op8_chat": OP8_SQL.strip(), "op11_source_divergence": OP11_SQL.strip(), "op13_centroid_clusters": OP13_SQL.strip()}

@@ -9,25 +9,62 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from dockline.llm.common import list_column, slices, text_bytes
 from dockline.session import cut_lineage, shared_path
 
 LEAST_DOCUMENTS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 LARGEST_VOCABULARY = 2 ** 31 - 1
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+FEW = 10_000
 SPARSE = "vector struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
-def terms_of(text: Column) -> Column:
-    """The runs of letters of a text, only A-Z lower-cased; texts of plain ASCII take the shorter way."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, CAPITALS, CAPITALS.lower()))
-    return F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0))
+def _letters() -> bytes:
+    """What a byte of UTF-8 becomes: A-Z lower-cased, other letters and all bytes above ASCII kept, the rest a space."""
+    kept = set(range(65, 91)) | set(range(97, 123)) | set(range(128, 256))
+    return bytes((b + 32 if b < 91 else b) if b in kept else 32 for b in range(256))
+
+
+LETTERS = _letters()
+
+
+def term_lists(texts: pa.Array) -> pa.Array:
+    """The terms of every text, found for a whole batch of texts at once."""
+    joined, ends, at = [], np.zeros(len(texts), np.int64), 0
+    for i, text in enumerate(texts.to_pylist()):
+        joined.append(text.translate(LETTERS))
+        at += len(text) + 1
+        ends[i] = at
+    octets = np.frombuffer(b" ".join(joined) + b" ", np.uint8)
+    inside = octets != 32
+    border = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    start, stop = border[::2], border[1::2]
+    offsets = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(stop - start, out=offsets[1:])
+    terms = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(octets[inside]))
+    counts = np.searchsorted(start, ends)
+    return list_column(np.diff(counts, prepend=0), terms, pa.string())
+
+
+def terms_table(docs: DataFrame) -> DataFrame:
+    """(lang, source, terms) of every row; only A-Z are lower-cased, a term is a run of other signs than ASCII's non-letters."""
+    def run(batches):
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), term_lists(batch.column(0))], ["lang", "source", "terms"])
+
+    return docs.select(text_bytes().alias("text"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]) \
+        .mapInArrow(run, "lang string, source string, terms array<string>")
+
+
+def _known(frame: DataFrame, rows: int) -> DataFrame:
+    """A frame made from ``rows`` rows of the driver, broadcast while they are few."""
+    return F.broadcast(frame) if rows <= FEW else frame
 
 
 def document_vectors(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -37,15 +74,16 @@ def document_vectors(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) ->
     stands at each place of it; and (v, source, vector) for every document. Terms are written below a folder for
     each language, so that a fit reads its own language only; vocabularies are held by the driver, one at a time.
 
+    Every fit is a job of its own, so the number of languages should be moderate; the number of sources is free.
+
     * Null text, lang and source count as ''. A language without a frequent term has an empty vocabulary.
     """
     spark = docs.sparkSession
-    given = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    names = [r["lang"] for r in given.select("lang").distinct().orderBy("lang").collect()]  # one row per language
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    names = [r["lang"] for r in docs.select(lang.alias("lang")).distinct().orderBy("lang").collect()]  # one row per language
     numbers = spark.createDataFrame(list(enumerate(names)), "v int, lang string")
     path = shared_path(spark, "terms")
-    given.join(numbers, "lang") \
-        .select("v", "source", terms_of(F.col("text")).alias("terms")) \
+    terms_table(docs).join(_known(numbers, len(names)), "lang").select("v", "source", "terms") \
         .write.option("compression", "zstd").partitionBy("v").parquet(path)
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
     sizes, vocabularies, vectors = [], [], shared_path(spark, "vectors")
@@ -58,7 +96,7 @@ def document_vectors(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) ->
         sizes.append((v, name, len(model.vocabulary)))
         vocabularies.append(spark.read.schema("vocabulary array<string>").parquet(f"{kept}/data").select(
             F.lit(v).alias("v"), F.posexplode("vocabulary").alias("place", "term")))
-    known = spark.createDataFrame(sizes, "v int, lang string, n_terms bigint")
+    known = _known(spark.createDataFrame(sizes, "v int, lang string, n_terms bigint"), len(sizes))
     empty = spark.createDataFrame([], "v int, place int, term string")
     if not names:
         return known, empty, spark.createDataFrame([], f"v int, source string, {SPARSE}")
@@ -74,8 +112,13 @@ def group_sums(vectors: DataFrame) -> DataFrame:
 
 
 def _share(n: str, total: str, terms: str = "n_terms") -> Column:
-    """1 + floor(UNIT * (n + 2) / (total + 2 * terms)), exact for any long; null where there are no terms."""
-    return F.expr(f"1 + (cast({n} + 2 AS decimal(20,0)) * cast({UNIT} AS decimal(10,0))) div nullif(cast({total} + 2 * {terms} AS decimal(20,0)), 0)")
+    """1 + floor(UNIT * (n + 2) / (total + 2 * terms)), exact for any long; null where there are no terms.
+
+    Counts whose product with UNIT could pass a long are multiplied as decimals.
+    """
+    whole = f"nullif({total} + 2 * {terms}, 0)"
+    return F.expr(f"1 + CASE WHEN {n} < 9000000000 THEN ({UNIT} * ({n} + 2)) div {whole} "
+                  f"ELSE (cast({n} + 2 AS decimal(20,0)) * cast({UNIT} AS decimal(10,0))) div cast({whole} AS decimal(20,0)) END")
 
 
 def _apart(p: str, q: str) -> str:
@@ -129,8 +172,8 @@ def source_divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, t
     groups = vectors.select("v", "source").distinct().join(totals, ["v", "source"], "left").join(sizes, "v") \
         .select("v", "lang", "source", "n_terms", F.coalesce("total", F.lit(0)).alias("total"))
     groups = cut_lineage(groups.withColumn("zero", _share("0", "total")), "groups")
-    marked = sums.join(groups.select("v", "source", "n_terms", "total", "zero"), ["v", "source"]) \
-        .select("v", "source", "place", "zero", _share("n", "total").alias("p"))
+    marked = cut_lineage(sums.join(groups.select("v", "source", "n_terms", "total", "zero"), ["v", "source"]).select(
+        "v", "source", "place", "zero", _share("n", "total").alias("p")), "shares")
     place = Window.partitionBy("v", "source").orderBy(F.col("value").desc(), "item")
     pairs = source_pairs(groups.select("v", "source", "n_terms", "zero"), marked).withColumn("rank", F.row_number().over(place))
     terms = marking_terms(sizes, sums, marked, vocabularies).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= top)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockline.llm import centroids, chat, divergence, flat_graph, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
+from dockline.llm import centroids, chat, divergence, flat_graph, main_text, mixing, neighbours, pieces, simhash, supervision, token_files, toxicity, transducer_counts
 from dockline.llm.common import table
 from dockline.session import cut_lineage
 
@@ -106,6 +106,22 @@ SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lan
 FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marks) QUALIFY part = 'pair' OR rank <= 10"""
 
 
+def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
+# The given pages hold their article in one element, with headings, paragraphs, bold type and line breaks only.
+OP12_SQL = r"""
+WITH articles AS (SELECT row_number() OVER () AS row, page_id, url, regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1) AS body FROM pages),
+pieces AS (SELECT row, unnest(string_split(regexp_replace(body, '</?(h1|p)>', chr(1), 'g'), chr(1))) AS piece,
+                  unnest(generate_series(1, len(string_split(regexp_replace(body, '</?(h1|p)>', chr(1), 'g'), chr(1))))) AS place FROM articles),
+plain AS (SELECT row, place, regexp_replace(regexp_replace(regexp_replace(regexp_replace(piece, '</?b>', '', 'g'), '<br>', ' ', 'g'),
+                 '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS piece FROM pieces),
+lines AS (SELECT row, place, trim(regexp_replace(piece, '\s+', ' ', 'g')) AS line FROM plain),
+texts AS (SELECT row, string_agg(line, chr(10) ORDER BY place) AS text FROM lines WHERE line <> '' GROUP BY row)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM articles LEFT JOIN texts USING (row)"""
+
+
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clusters_of(table(spark, folder, "embeddings"))
 
@@ -137,5 +153,7 @@ FROM near10 JOIN kept USING (id) JOIN inertias USING (k) JOIN shas USING (k)"""
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_groups, op2_sentencepiece, op3_token_files, op4_simhash, op5_quality_rules, op6_quality_neighbours,
-    op7_toxicity, op8_chat, op9_mixing, op10_token_counts, op11_source_divergence, op13_centroid_clusters)}
-ORACLES = {"op8_chat": OP8_SQL.strip(), "op11_source_divergence": OP11_SQL.strip(), "op13_centroid_clusters": OP13_SQL.strip()}
+    op7_toxicity, op8_chat, op9_mixing, op10_token_counts, op11_source_divergence, op12_main_text,
+    op13_centroid_clusters)}
+ORACLES = {"op8_chat": OP8_SQL.strip(), "op11_source_divergence": OP11_SQL.strip(), "op12_main_text": OP12_SQL.strip(),
+           "op13_centroid_clusters": OP13_SQL.strip()}

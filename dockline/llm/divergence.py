@@ -12,7 +12,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -22,7 +22,7 @@ from dockline.session import cut_lineage, shared_path
 LEAST_DOCUMENTS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 LARGEST_VOCABULARY = 2 ** 31 - 1
 FEW = 10_000
-SPARSE = "vector struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+SUMS = "v int, source string, place int, n bigint"
 
 
 def _letters() -> bytes:
@@ -84,31 +84,48 @@ def document_vectors(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) ->
     numbers = spark.createDataFrame(list(enumerate(names)), "v int, lang string")
     path = shared_path(spark, "terms")
     terms_table(docs).join(_known(numbers, len(names)), "lang").select("v", "source", "terms") \
-        .write.option("compression", "zstd").partitionBy("v").parquet(path)
+        .write.partitionBy("v").parquet(path)
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_documents), vocabSize=LARGEST_VOCABULARY)
-    sizes, vocabularies, vectors = [], [], shared_path(spark, "vectors")
+    sizes, vocabularies, vectors = [], [], []
     for v, name in enumerate(names):
         own = spark.read.schema("source string, terms array<string>").parquet(f"{path}/v={v}")
         model = vectorizer.fit(own)
         kept = shared_path(spark, "vocabulary")
         model.write().save(kept)
-        model.transform(own).select("source", "vector").write.option("compression", "zstd").parquet(f"{vectors}/v={v}")
+        vectors.append(model.transform(own).select(F.lit(v).alias("v"), "source", "vector"))
         sizes.append((v, name, len(model.vocabulary)))
         vocabularies.append(spark.read.schema("vocabulary array<string>").parquet(f"{kept}/data").select(
             F.lit(v).alias("v"), F.posexplode("vocabulary").alias("place", "term")))
     known = _known(spark.createDataFrame(sizes, "v int, lang string, n_terms bigint"), len(sizes))
     empty = spark.createDataFrame([], "v int, place int, term string")
     if not names:
-        return known, empty, spark.createDataFrame([], f"v int, source string, {SPARSE}")
-    rows = spark.read.schema(f"source string, {SPARSE}, v int").parquet(vectors)  # a vector's own parts, as it is stored
-    return known, reduce(DataFrame.unionByName, vocabularies, empty), rows.select("v", "source", "vector")
+        return known, empty, spark.createDataFrame([], "v int, source string"), []
+    groups = spark.read.schema("source string, v int").parquet(path).select("v", "source")
+    return known, reduce(DataFrame.unionByName, vocabularies, empty), groups, vectors
 
 
-def group_sums(vectors: DataFrame) -> DataFrame:
-    """(v, source, place, n): summed counts of every group, for the places where they are not 0."""
-    parts = F.arrays_zip(F.col("vector.indices").alias("place"), F.col("vector.values").alias("n"))
-    return vectors.select("v", "source", F.explode(parts).alias("e")) \
-        .groupBy("v", "source", F.col("e.place").alias("place")).agg(F.sum(F.col("e.n").cast("bigint")).alias("n"))
+def group_sums(vectors: list[DataFrame], spark: SparkSession) -> DataFrame:
+    """(v, source, place, n): summed counts of every group, for the places where they are not 0.
+
+    A batch of sparse vectors is summed by (source, place) before anything is shuffled.
+    """
+    def run(batches):
+        for batch in slices(batches, 4096, 32 << 20):
+            sources = batch.column(1).dictionary_encode()
+            vector = batch.column(2)
+            places = vector.field("indices")
+            lengths = np.diff(places.offsets.to_numpy())
+            group = np.repeat(sources.indices.to_numpy().astype(np.int64), lengths)
+            keys, inverse = np.unique(group << 32 | places.flatten().to_numpy(), return_inverse=True)
+            if not len(keys):
+                continue
+            n = np.bincount(inverse, vector.field("values").flatten().to_numpy())  # exact: whole numbers far below 2**53
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(keys), batch.column(0)[0].as_py(), np.int32)), sources.dictionary.take(pa.array(keys >> 32)),
+                pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))], ["v", "source", "place", "n"])
+
+    parts = [frame.mapInArrow(run, SUMS) for frame in vectors]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], SUMS)).groupBy("v", "source", "place").agg(F.sum("n").alias("n"))
 
 
 def _share(n: str, total: str, terms: str = "n_terms") -> Column:
@@ -166,10 +183,10 @@ def source_divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, t
       have the value 0 and there are no terms. Ties rank by the UTF-8 of the item.
     * Repeated rows are documents of their own; extra columns are not read; empty in, empty out.
     """
-    sizes, vocabularies, vectors = document_vectors(docs, least_documents)
-    sums = cut_lineage(group_sums(vectors), "group-sums")
+    sizes, vocabularies, sources, vectors = document_vectors(docs, least_documents)
+    sums = cut_lineage(group_sums(vectors, docs.sparkSession), "group-sums")
     totals = sums.groupBy("v", "source").agg(F.sum("n").alias("total"))
-    groups = vectors.select("v", "source").distinct().join(totals, ["v", "source"], "left").join(sizes, "v") \
+    groups = sources.distinct().join(totals, ["v", "source"], "left").join(sizes, "v") \
         .select("v", "lang", "source", "n_terms", F.coalesce("total", F.lit(0)).alias("total"))
     groups = cut_lineage(groups.withColumn("zero", _share("0", "total")), "groups")
     marked = cut_lineage(sums.join(groups.select("v", "source", "n_terms", "total", "zero"), ["v", "source"]).select(

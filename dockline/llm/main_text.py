@@ -379,8 +379,9 @@ def train(pieces: list[tuple[list, list[int]]], seed: int = 0, epochs: int = EPO
 
 def sample_pages(pages: DataFrame, sample: int = SAMPLE_PAGES, most_bytes: int = SAMPLE_BYTES) -> list[str]:
     """At most ``sample`` pages of at most ``most_bytes``, those of least hash; longer ones are labelled, not learnt from."""
-    short = pages.where(F.octet_length("html") <= most_bytes)
-    rows = short.select("html", F.xxhash64("html").alias("h")).distinct().orderBy("h", "html").limit(sample).collect()
+    short = pages.where(F.octet_length("html") <= most_bytes).select("html", F.xxhash64("html").alias("h"))
+    hashes = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(sample).collect()]  # copies count once
+    rows = short.where(F.col("h").isin(hashes)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()
     return [r["html"] for r in rows]
 
 

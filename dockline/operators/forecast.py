@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockline.functions import columns as C
+from dockline.operators import leastsquares as LS
 
 # --- fixed values ---------------------------------------------------------
 TREES, SEED, TEST_SHARE, FOLDS = 100, 42, 0.2, 5
@@ -105,17 +109,20 @@ def feature_stages(numbers: list[str], categories: list[str], scale: bool = True
     return stages
 
 
-def estimator(model_type: str, trees: int = TREES, depth: int = DEEPEST):
-    if model_type == "linear_regression":
-        # One-hot columns and intercept are collinear, which the normal solver
-        # answers with an iteration; a small tolerance makes it exact.
-        return LinearRegression(featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
-                                regParam=0.0, tol=1e-12, maxIter=1000)
-    if model_type == "random_forest":
-        return RandomForestRegressor(
-            featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION,
-            numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, seed=SEED, featureSubsetStrategy="all")
-    raise ValueError(f"model_type is one of {MODEL_TYPES}, not {model_type!r}")
+def forest(trees: int = TREES, depth: int = DEEPEST) -> RandomForestRegressor:
+    """The forest; each row's place in every tree stays on its executor, so tasks need not carry the grown trees.
+
+    The places are checkpointed every tenth level where the context has a checkpoint folder.
+    """
+    return RandomForestRegressor(
+        featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION, numTrees=trees, maxDepth=depth,
+        maxMemoryInMB=1024, seed=SEED, featureSubsetStrategy="all", cacheNodeIds=True, checkpointInterval=10)
+
+
+def side_by_side(spark: SparkSession, calls: list[Callable], at_once: int) -> list:
+    """Results of calls that each run Spark jobs, in their order; the jobs share the executors."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
 
 
 @dataclass
@@ -126,12 +133,14 @@ class TripPredictor:
     advanced: bool = False
     trees: int = TREES
     depth: int = DEEPEST
-    model: PipelineModel | None = None
+    at_once: int = FOLDS + 1
+    model: PipelineModel | LS.LinearFit | None = None
     scores: dict[str, float] = field(default_factory=dict)
     zone_means: DataFrame | None = None
 
     def __post_init__(self):
-        estimator(self.model_type)  # reject an unknown type at once
+        if self.model_type not in MODEL_TYPES:
+            raise ValueError(f"model_type is one of {MODEL_TYPES}, not {self.model_type!r}")
 
     @property
     def numbers(self) -> list[str]:
@@ -141,10 +150,6 @@ class TripPredictor:
     def categories(self) -> list[str]:
         return ["start_zone", "season"] if self.advanced else ["start_zone"]
 
-    def _chain(self) -> Pipeline:
-        return Pipeline(stages=feature_stages(self.numbers, self.categories)
-                        + [estimator(self.model_type, self.trees, self.depth)])
-
     def _aligned(self, df: DataFrame) -> DataFrame:
         """Expected columns in numeric form; missing ones 0, others ignored."""
         have = set(df.columns)
@@ -156,50 +161,52 @@ class TripPredictor:
               folds: int | None = FOLDS) -> "TripPredictor":
         """Fits on the training part; scores both parts and, with folds, by cross-validation."""
         aligned = self._aligned(zone_days).withColumn(TARGET, F.col(TARGET).cast("double"))
-        fitting, testing = train_test(aligned, test_share, seed)
-        fitting = fitting.persist()
-        try:
-            self.model = self._chain().fit(fitting)
-            scored = (
-                self.model.transform(fitting).withColumn("part", F.lit("train"))
-                .select("part", TARGET, PREDICTION)
-                .unionByName(self.model.transform(testing).withColumn("part", F.lit("test"))
-                             .select("part", TARGET, PREDICTION))
-            )
-            for row in metrics(scored, by="part").collect():  # two rows
-                for name in ("r2", "mae", "rmse"):
-                    self.scores[f"{row['part']}_{name}"] = row[name]
-            mean, std = self.cross_validate(fitting, folds) if folds else (self.scores.get("test_r2"), 0.0)
-            self.scores["cv_r2_mean"], self.scores["cv_r2_std"] = mean, std
-        finally:
-            fitting.unpersist()
+        fitting, _ = train_test(aligned, test_share, seed)
+        marked = with_folds(fitting, folds) if folds else fitting.withColumn("fold", F.lit(0))
+        left_out = (self._fit_line if self.model_type == "linear_regression" else self._fit_forests)(marked, bool(folds))
+        scored = self.model.transform(aligned.withColumn("part", split_column(test_share, seed)))
+        for row in metrics(scored, by="part").collect():  # two rows
+            for name in ("r2", "mae", "rmse"):
+                self.scores[f"{row['part']}_{name}"] = row[name]
+        known = [v for v in left_out if v is not None]  # one held-out value has no variance, hence no r2
+        mean = sum(known) / len(known) if known else self.scores.get("test_r2")
+        self.scores["cv_r2_mean"] = mean
+        self.scores["cv_r2_std"] = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 if known else 0.0
         return self
 
-    def cross_validate(self, fitting: DataFrame, folds: int = FOLDS) -> tuple[float, float]:
-        """Mean and spread of r2 over the folds; the test score when there is one row.
+    def _fit_line(self, marked: DataFrame, validate: bool) -> list[float | None]:
+        """The line over all folds, and r2 of those without each fold on the rows left out, all from one aggregate."""
+        sums = LS.moments(marked, self.numbers, self.categories, TARGET, "fold")
+        if not sums.folds:
+            raise ValueError("there are no rows to train on")
+        self.model = LS.LinearFit.of(sums)
+        return LS.left_out_r2(sums) if validate and len(sums.folds) > 1 else []
 
-        Categories are indexed once; scaling and model are fitted anew without each fold, one at a time.
+    def _fit_forests(self, marked: DataFrame, validate: bool) -> list[float | None]:
+        """The forest over all folds and those without each fold, grown side by side over one prepared table.
+
+        Categories are indexed once; scaling and trees are fitted anew without each fold.
         """
-        used = min(folds, fitting.count())
-        if used < 2:
-            return self.scores.get("test_r2"), 0.0
-        *prepare, scale = feature_stages(self.numbers, self.categories)
-        ready = Pipeline(stages=prepare).fit(fitting).transform(with_folds(fitting, used)) \
-            .select("fold", "raw_features", TARGET).persist()
+        prepare = Pipeline(stages=feature_stages(self.numbers, self.categories)[:-1]).fit(marked)
+        ready = prepare.transform(marked).select("fold", "raw_features", TARGET).persist()
+
+        def fit(rows: DataFrame) -> PipelineModel:
+            scale = feature_stages(self.numbers, self.categories)[-1]
+            return Pipeline(stages=[scale, forest(self.trees, self.depth)]).fit(rows)
+
+        def without(fold: int) -> Callable:
+            return lambda: metrics(fit(ready.where(F.col("fold") != fold)).transform(ready.where(F.col("fold") == fold))).first()["r2"]
+
         try:
-            values = []
-            for fold in range(used):
-                chain = Pipeline(stages=[scale, estimator(self.model_type, self.trees, self.depth)]).fit(ready.where(F.col("fold") != fold))
-                values.append(metrics(chain.transform(ready.where(F.col("fold") == fold))).first()["r2"])
+            folds = sorted(r["fold"] for r in ready.select("fold").distinct().collect())  # at most the number of folds
+            calls = [without(f) for f in folds] if validate and len(folds) > 1 else []
+            grown, *left_out = side_by_side(marked.sparkSession, [lambda: fit(ready), *calls], self.at_once)
         finally:
             ready.unpersist()
-        known = [v for v in values if v is not None]  # one held-out value has no variance, hence no r2
-        if not known:
-            return self.scores.get("test_r2"), 0.0
-        mean = sum(known) / len(known)
-        return mean, (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5
+        self.model = PipelineModel(prepare.stages + grown.stages)
+        return left_out
 
-    def _fitted(self) -> PipelineModel:
+    def _fitted(self):
         if self.model is None:
             raise ValueError("Model must be trained before this call")
         return self.model
@@ -253,20 +260,29 @@ class TripPredictor:
 
     def scaling(self, spark: SparkSession) -> DataFrame:
         """Mean and standard deviation of each feature of the training part."""
-        scaler = self._fitted().stages[-2]
-        pairs = zip(self._feature_names(), scaler.mean.toArray().tolist(), scaler.std.toArray().tolist())
+        model = self._fitted()
+        if isinstance(model, LS.LinearFit):
+            mean, std = model.means, model.deviations
+        else:
+            mean, std = (v.toArray().tolist() for v in (model.stages[-2].mean, model.stages[-2].std))
+        pairs = zip(self._feature_names(), mean, std)
         return spark.createDataFrame(list(pairs), "feature string, mean double, std double")
 
     def _feature_names(self) -> list[str]:
-        labels = self._fitted().stages[0].labelsArray
+        model = self._fitted()
+        labels = list(model.levels.values()) if isinstance(model, LS.LinearFit) else model.stages[0].labelsArray
         names = list(self.numbers)
         for category, values in zip(self.categories, labels):
             names += [f"{PREFIX[category]}_{v}" for v in values]
         return names
 
     def save(self, path: str, spark: SparkSession) -> None:
-        """Model folder with the Spark ML chain and a one-row settings table."""
-        self._fitted().write().overwrite().save(f"{path}/model")
+        """Model folder with the coefficients or the Spark ML chain, and a one-row settings table."""
+        model = self._fitted()
+        if isinstance(model, LS.LinearFit):
+            model.save(f"{path}/model", spark)
+        else:
+            model.write().overwrite().save(f"{path}/model")
         settings = json.dumps({"model_type": self.model_type, "advanced": self.advanced,
                                "trees": self.trees, "depth": self.depth, "scores": self.scores})
         spark.createDataFrame([(settings,)], "settings string").write.mode("overwrite").json(f"{path}/settings")
@@ -278,7 +294,8 @@ class TripPredictor:
         settings = json.loads(spark.read.schema("settings string").json(f"{path}/settings").first()["settings"])
         means = spark.read.parquet(f"{path}/zone_means") if settings["advanced"] else None
         return cls(**{k: v for k, v in settings.items() if k != "scores"}, scores=settings["scores"],
-                   model=PipelineModel.load(f"{path}/model"), zone_means=means)
+                   model=(LS.LinearFit.load(f"{path}/model", spark) if settings["model_type"] == "linear_regression"
+                          else PipelineModel.load(f"{path}/model")), zone_means=means)
 
 
 def totals_per_day(forecasts: DataFrame) -> DataFrame:

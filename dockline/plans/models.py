@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from dockline.operators import forecast as FC
+from dockline.operators import trees as TR
 from dockline.operators import trips as O
 from dockline.plans.registry import query
 from dockline.plans.trips import BUCKET, DAYS, HASH, MEANS, TEST_BELOW, _zone_days
@@ -28,6 +30,11 @@ def _linear(spark, folder, folds=None):
     return days, FC.TripPredictor("linear_regression").train(days, folds=folds)
 
 
+def _rounded(value, places):
+    """Rounded half up, after the noise beyond nine places is gone: a mean of 1.1525 must not fall below its tie."""
+    return F.round(F.round(value, 9), places)
+
+
 @query("linear_model_zone_means", DAYS + MEANS + """
     SELECT start_zone, round(avg(trip_count), 3) AS mean_prediction, count(*) AS days
     FROM parts WHERE part = 'train' GROUP BY 1""")
@@ -36,7 +43,7 @@ def linear_model_zone_means(spark, folder):
     days, predictor = _linear(spark, folder)
     train, _ = FC.train_test(days)
     return predictor.predict(train).groupBy("start_zone").agg(
-        F.round(F.avg("prediction"), 3).alias("mean_prediction"), F.count("*").alias("days"))
+        _rounded(F.avg("prediction"), 3).alias("mean_prediction"), F.count("*").alias("days"))
 
 
 # Least squares with one-hot zones, stated independently: centre the three
@@ -73,7 +80,7 @@ def linear_model_scores(spark, folder):
     scores = predictor.scores
     rows = [(part, *[scores[f"{part}_{n}"] for n in ("r2", "mae", "rmse")]) for part in ("train", "test")]
     frame = spark.createDataFrame(rows, "part string, r2 double, mae double, rmse double")
-    return frame.select("part", *[F.round(n, 6).alias(n) for n in ("r2", "mae", "rmse")])
+    return frame.select("part", *[_rounded(n, 6).alias(n) for n in ("r2", "mae", "rmse")])
 
 
 # The same equations without each fold in turn; r2 on the rows left out.
@@ -129,13 +136,18 @@ def scaling_parameters(spark, folder):
 
 @query("forest_feature_importance")
 def forest_feature_importance(spark, folder):
+    """All features of the forest, most important first."""
     days = _written_days(spark, folder, advanced=True)
     predictor = FC.TripPredictor("random_forest", advanced=True, zone_means=O.zone_means(days)).train(days, folds=None)
-    return predictor.feature_importance(spark, 15)
+    return predictor.feature_importance(spark)
 
 
-NUMBER_NAMES = ("day_of_week month is_weekend year quarter day_of_year week_of_year hour day_sin day_cos month_sin month_cos "
-                "zone_avg_trips is_holiday is_monday is_friday").split()
+# --- fixed values: numeric features of the advanced model -------------------
+NUMBER_NAMES = [
+    "day_of_week", "month", "is_weekend", "year", "quarter", "day_of_year", "week_of_year", "hour",
+    "day_sin", "day_cos", "month_sin", "month_cos", "zone_avg_trips", "is_holiday", "is_monday", "is_friday",
+]
+# ----------------------------------------------------------------------------
 
 
 @query("forest_importance_names", DAYS + f"""
@@ -155,6 +167,93 @@ def forest_importance_names(spark, folder):
                         F.lit(values == sorted(values, reverse=True)).alias("in_order"))
 
 
+# A regression tree of depth 2, stated independently: the sums of every feature value per node, prefix sums over the
+# values, and the cut with the largest drop in squared error; equal drops go to the first feature and the lowest cut.
+GROWN = DAYS + """
+    , numbered AS (SELECT row_number() OVER () AS id, * FROM zone_days)
+    , names AS (SELECT zone, row_number() OVER (ORDER BY zone) + 2 AS place FROM (SELECT DISTINCT start_zone AS zone FROM zone_days))
+    , x AS (SELECT id, 0 AS place, 'day_of_week' AS feature, day_of_week AS v FROM numbered
+            UNION ALL SELECT id, 1, 'month', month FROM numbered
+            UNION ALL SELECT id, 2, 'is_weekend', CAST(is_weekend AS INTEGER) FROM numbered
+            UNION ALL SELECT id, place, 'zone_' || zone, CAST(start_zone = zone AS INTEGER) FROM numbered, names)
+    , cuts AS (SELECT place, feature, v, (v + lead(v) OVER (PARTITION BY place ORDER BY v)) / 2 AS t FROM (SELECT DISTINCT place, feature, v FROM x))
+    , at1 AS (SELECT id, 1 AS node, trip_count AS y FROM numbered)""" + "".join(f"""
+    , whole{r} AS (SELECT node, count(*) AS n, sum(y) AS s FROM at{r} GROUP BY node)
+    , sums{r} AS (SELECT node, place, v, count(*) AS n, sum(y) AS s FROM at{r} JOIN x USING (id) GROUP BY ALL)
+    , grid{r} AS (SELECT g.node, c.place, c.feature, c.t, g.n, CAST(g.s AS DOUBLE) AS s, sum(coalesce(u.n, 0)) OVER w AS nl,
+                         CAST(sum(coalesce(u.s, 0)) OVER w AS DOUBLE) AS sl
+                  FROM whole{r} g CROSS JOIN cuts c LEFT JOIN sums{r} u ON u.node = g.node AND u.place = c.place AND u.v = c.v
+                  WINDOW w AS (PARTITION BY g.node, c.place ORDER BY c.v))
+    , best{r} AS (SELECT * FROM (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) AS score FROM grid{r}
+                  WHERE t IS NOT NULL AND nl BETWEEN 1 AND n - 1) WHERE score > s * s / n + 1e-6
+                  QUALIFY row_number() OVER (PARTITION BY node ORDER BY score DESC, place, t) = 1)
+    , at{2 * r} AS (SELECT a.id, CASE WHEN b.node IS NULL THEN a.node WHEN x.v <= b.t THEN 2 * a.node ELSE 2 * a.node + 1 END AS node, a.y
+                    FROM at{r} a LEFT JOIN best{r} b USING (node) LEFT JOIN x ON x.id = a.id AND x.place = b.place)""" for r in (1, 2))
+
+
+def _plain_features(days):
+    """Numeric columns only: the calendar and one 0/1 column per zone."""
+    zones = sorted(r["start_zone"] for r in days.select("start_zone").distinct().collect())  # one row per zone
+    wide = FC.one_hot(days.withColumn("zone", F.col("start_zone")), {"start_zone": zones})
+    wide = wide.withColumn("is_weekend", F.col("is_weekend").cast("int")).withColumnRenamed("zone", "start_zone")
+    return wide, FC.BASIC_NUMBERS + [f"zone_{z}" for z in zones]
+
+
+def _tree(spark, folder):
+    wide, names = _plain_features(_written_days(spark, folder))
+    model = TR.fit_tree(wide, names, "trip_count", depth=2)
+    return wide, names, TR.node_table(model, shared_path(spark, "tree"))
+
+
+@query("tree_splits", GROWN + """
+    SELECT CAST(node AS BIGINT) AS node, feature, t AS threshold, CAST(n AS DOUBLE) AS rows, round(s / n, 6) AS prediction
+    FROM (SELECT node, feature, t, n, s FROM best1 UNION ALL SELECT node, feature, t, n, s FROM best2
+          UNION ALL SELECT node, NULL, NULL, count(*), sum(y) FROM at4 GROUP BY node)""")
+def tree_splits(spark, folder):
+    """Split features, thresholds, rows and means of one regression tree of depth 2."""
+    _, names, nodes = _tree(spark, folder)
+    return TR.split_report(nodes, names).withColumn("prediction", _rounded("prediction", 6))
+
+
+@query("tree_predictions", GROWN + """
+    SELECT start_zone, start_date, round(avg(y) OVER (PARTITION BY node), 6) AS prediction FROM at4 JOIN numbered USING (id)""")
+def tree_predictions(spark, folder):
+    """Every zone and day scored by walking the tree's node table."""
+    wide, names, nodes = _tree(spark, folder)
+    scored = TR.scored_by_nodes(wide, nodes, ["start_zone", "start_date"], names, trees=1, depth=2)
+    return scored.withColumn("prediction", _rounded("prediction", 6))
+
+
+def _small_forest(spark, folder):
+    wide, names = _plain_features(_written_days(spark, folder))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(
+        wide.withColumns({n: F.col(n).cast("double") for n in [*names, FC.TARGET]}))
+    model = FC.forest(trees=10, depth=6).fit(vectors.select("features", FC.TARGET))
+    return vectors, names, model, TR.node_table(model, shared_path(spark, "forest"))
+
+
+@query("forest_scores_by_nodes", DAYS + """
+    SELECT start_zone, count(*) AS days, true AS as_the_model FROM zone_days GROUP BY start_zone""")
+def forest_scores_by_nodes(spark, folder):
+    """Days per zone, and whether the walk down the node table predicts what the forest itself predicts."""
+    vectors, names, model, nodes = _small_forest(spark, folder)
+    walked = TR.scored_by_nodes(vectors, nodes, ["start_zone", "start_date"], names, trees=10, depth=6)
+    said = model.transform(vectors).select("start_zone", "start_date", F.col(FC.PREDICTION).alias("said"))
+    return walked.join(said, ["start_zone", "start_date"]).groupBy("start_zone").agg(
+        F.count("*").alias("days"), F.bool_and(F.abs(F.col("prediction") - F.col("said")) < 1e-9).alias("as_the_model"))
+
+
+@query("forest_importances_from_nodes", DAYS + """
+    SELECT unnest(['day_of_week', 'month', 'is_weekend']) AS feature, true AS as_the_model
+    UNION ALL SELECT DISTINCT 'zone_' || start_zone, true FROM zone_days""")
+def forest_importances_from_nodes(spark, folder):
+    """Importances added up from the gains of all nodes, against those the forest itself gives."""
+    _, names, model, nodes = _small_forest(spark, folder)
+    said = spark.createDataFrame(list(zip(names, model.featureImportances.toArray().tolist())), "feature string, said double")
+    return TR.importances(nodes, names).join(said, "feature").select(
+        "feature", (F.abs(F.col("importance") - F.col("said")) < 1e-9).alias("as_the_model"))
+
+
 @query("model_comparison")
 def model_comparison(spark, folder):
     """Both model types on the same split, best first, kept as run records."""
@@ -177,7 +276,7 @@ def zone_forecasts(spark, folder):
     predictor.save(path, spark)
     loaded = FC.TripPredictor.load(path, spark)
     out = loaded.forecast(O.distinct_zones(days), FIRST, LAST)
-    return out.withColumn("predicted_trips", F.round("predicted_trips", 5))
+    return out.withColumn("predicted_trips", _rounded("predicted_trips", 5))
 
 
 @query("forecast_totals", SOLVED + FORECAST + """
@@ -186,7 +285,7 @@ def forecast_totals(spark, folder):
     """Predicted trips per date over all zones."""
     days, predictor = _linear(spark, folder)
     out = predictor.forecast(O.distinct_zones(days), FIRST, LAST)
-    return FC.totals_per_day(out).withColumn("predicted_trips", F.round("predicted_trips", 4))
+    return FC.totals_per_day(out).withColumn("predicted_trips", _rounded("predicted_trips", 4))
 
 
 @query("single_forecast", SOLVED + """
@@ -195,4 +294,4 @@ def forecast_totals(spark, folder):
 def single_forecast(spark, folder):
     _, predictor = _linear(spark, folder)
     out = predictor.forecast_one(spark, "NATION_3", dt.date(2001, 8, 4))
-    return out.withColumn("predicted_trips", F.round("predicted_trips", 5))
+    return out.withColumn("predicted_trips", _rounded("predicted_trips", 5))

@@ -64,9 +64,13 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder on whatever storage holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_intermediates(spark: SparkSession) -> None:
     """Removes what this process has written below the shared folder; for when no result that reads it is open."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _given:
-        path = jvm.org.apache.hadoop.fs.Path(_given.pop())
-        path.getFileSystem(conf).delete(path, True)
+        drop_path(spark, _given.pop())

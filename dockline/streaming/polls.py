@@ -31,18 +31,37 @@ def landed_polls(spark: SparkSession, folder: str, files_per_batch: int | None =
     return reader.json(folder)
 
 
-def landed_envelopes(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Whole status documents as a stream of station rows."""
+def landed_documents(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Whole status documents as a stream: (snapshot_time, last_updated, data), one row per file."""
     reader = spark.readStream.schema(S.ITEM_FEED["stations"]).option("multiLine", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder).select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", "data")
+
+
+def first_documents(documents: DataFrame, delay: str = "30 minutes") -> DataFrame:
+    """Each document once, before its stations are unfolded: the state holds a digest per document, not per station.
+
+    A document that comes again with the same version but other contents is another document.
+    """
+    digest = F.sha2(F.to_json("data"), 256)
     return (
-        reader.json(folder)
-        .select("last_updated", F.explode("data.stations").alias("item"))
-        .select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", *typed(F.col("item"), S.STATUS_STATION))
+        documents.withColumn("digest", digest).withWatermark("snapshot_time", delay)
+        .dropDuplicatesWithinWatermark(["last_updated", "digest"]).drop("digest")
     )
 
 
+def document_stations(documents: DataFrame) -> DataFrame:
+    """A row per station of each document."""
+    return documents.select("snapshot_time", "last_updated", F.explode("data.stations").alias("item")).select(
+        "snapshot_time", "last_updated", *typed(F.col("item"), S.STATUS_STATION))
+
+
+def landed_envelopes(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Whole status documents as a stream of station rows."""
+    return document_stations(landed_documents(spark, folder, files_per_batch))
+
+
 def first_of_repeats(polls: DataFrame, delay: str = "30 minutes") -> DataFrame:
     """One row per station and feed version; the state is bounded by the watermark."""
     return (
@@ -66,6 +85,17 @@ def windowed_bikes(polls: DataFrame, width: str = "15 minutes", delay: str = "30
     )
 
 
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a run of ``windowed_bikes`` has not emitted yet, read from its state.
+
+    For an input that has ended: what the run wrote and these rows are all windows. The state is only read, so the
+    run may still go on from its checkpoint.
+    """
+    window, value = F.col("key.window"), F.col("value")
+    return spark.read.format("statestore").load(checkpoint).select(
+        window["start"].alias("window_start"), window["end"].alias("window_end"), value["sum"].alias("total_bikes"), value["count"].alias("polls"))
+
+
 def history_stream(polls: DataFrame, info: DataFrame) -> DataFrame:
     """Polls completed with the static station columns, in the history shape."""
     from dockline.operators.history import snapshot_history

@@ -3,6 +3,7 @@ import os
 
 from conftest import rows
 from dockline.streaming import polls as P
+from dockline.streaming import snapshots as SN
 
 
 def land(folder, name, *polls):
@@ -51,3 +52,56 @@ def test_envelope_stream(spark, folder):
     out = run(P.landed_envelopes(spark, f"{folder}/docs"), folder, "rows")
     assert rows(out.selectExpr("date_format(snapshot_time, 'yyyy-MM-dd HH') t", "station_id", "num_bikes_available")) == [
         ("2024-01-01 10", "a", 2), ("2024-01-01 10", "b", None)]
+
+
+def test_open_windows_complete_the_emitted_ones(spark, folder):
+    start = lambda: P.to_parquet(P.windowed_bikes(P.landed_polls(spark, f"{folder}/in")), f"{folder}/w", f"{folder}/w-state").awaitTermination()
+    shown = lambda df: rows(df.selectExpr("date_format(window_start, 'HH:mm') w", "total_bikes", "polls"))
+    land(f"{folder}/in", "1", poll("10:01:00", "a", 3, 1), poll("12:00:00", "a", 9, 3))
+    start()
+    assert shown(P.open_windows(spark, f"{folder}/w-state")) == [("12:00", 9, 1)]
+    # After a restart: one row late within the watermark of 11:30, one beyond it, one in an open window.
+    land(f"{folder}/in", "2", poll("11:31:00", "x", 3, 1), poll("11:20:00", "y", 4, 1), poll("12:01:00", "z", None, 1))
+    start()
+    land(f"{folder}/in", "3", poll("12:20:00", "a", 9, 3))
+    start()
+    assert shown(spark.read.parquet(f"{folder}/w")) == [("10:00", 3, 1), ("11:30", 3, 1)]
+    assert shown(P.open_windows(spark, f"{folder}/w-state")) == [("12:00", 9, 2), ("12:15", 9, 1)]
+
+
+def document(folder, name, version, *stations):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "w") as out:
+        json.dump({"last_updated": version, "ttl": 10, "data": {"stations": list(stations)}}, out, indent=2)
+
+
+def test_documents_come_once_unless_corrected(spark, folder):
+    start = lambda: run(P.document_stations(P.first_documents(P.landed_documents(spark, f"{folder}/docs"))), folder, "docs-out")
+    a, b = {"station_id": "a", "num_bikes_available": 2}, {"station_id": "a", "num_bikes_available": 3}
+    document(f"{folder}/docs", 1, 1704103200, a, {"station_id": "b"})
+    document(f"{folder}/docs", 2, 1704103200, a, {"station_id": "b"})
+    assert rows(start(), "station_id", "num_bikes_available") == [("a", 2), ("b", None)]
+    document(f"{folder}/docs", 3, 1704103200, a, {"station_id": "b"})
+    document(f"{folder}/docs", 4, 1704103200, b)
+    document(f"{folder}/docs", 5, 1704103500)
+    assert rows(start(), "station_id", "num_bikes_available") == [("a", 2), ("a", 3), ("b", None)]
+
+
+def test_a_repeated_batch_writes_nothing_twice(spark, folder):
+    os.makedirs(f"{folder}/in")
+    polls = P.landed_polls(spark, f"{folder}/in")
+    start = lambda: SN.keep_snapshots(P.landed_polls(spark, f"{folder}/in"), f"{folder}/snaps", f"{folder}/snaps-state").awaitTermination()
+    shown = lambda: rows(SN.snapshots(spark, f"{folder}/snaps", polls).selectExpr("batch", "date_format(taken, 'HH:mm') t", "station_id", "num_bikes_available"))
+    land(f"{folder}/in", "1", poll("10:00:00", "a", 3, 1), poll("10:00:00", "b", 1, 1), poll("10:00:00", None, 8, 1))
+    start()
+    land(f"{folder}/in", "2", poll("10:15:00", "a", 5, 2), poll("09:00:00", "b", 7, 0), poll("10:10:00", "c", None, 2))
+    start()
+    wanted = [(0, "10:00", "a", 3), (0, "10:00", "b", 1), (1, "10:15", "a", 5), (1, "10:15", "b", 1), (1, "10:15", "c", None)]
+    assert shown() == wanted
+    os.remove(f"{folder}/snaps-state/commits/1")  # the batch was written, but its commit was lost
+    start()
+    assert shown() == wanted
+    land(f"{folder}/in", "3", poll("10:30:00", "d", 1, 3))
+    start()
+    assert [r for r in shown() if r[0] == 2] == [(2, "10:30", "a", 5), (2, "10:30", "b", 1), (2, "10:30", "c", None), (2, "10:30", "d", 1)]
+    assert sorted(os.listdir(f"{folder}/snaps/latest")) == ["batch=1", "batch=2"]

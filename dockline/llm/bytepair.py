@@ -23,6 +23,9 @@ _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
+STOPS = frozenset(".,;:!?")  # none of them begins a piece that letters end
+
+
 class _Memo(dict):
     """Values in two generations: when the young one is full it becomes the old one, and what is used again
     comes back from there."""
@@ -66,8 +69,18 @@ class PartEncoder:
             return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(spelled))]).tobytes()
 
         self.pieces = _Memo(piece, most)
-        get = self.pieces.__getitem__
-        self.rest = _Memo(lambda part: b"".join(map(get, PIECE.findall(" " + part))), most)
+        get, space = self.pieces.__getitem__, signs[" "]
+
+        def rest(part: str) -> bytes:
+            """Ids of a space and a part. ASCII letters are one piece and spell themselves, with a stop behind them two."""
+            if part.isascii():
+                if part.isalpha():
+                    return array("I", [t.id for t in tokenize(space + part)]).tobytes()
+                if part[-1:] in STOPS and part[:-1].isalpha():
+                    return self.rest[part[:-1]] + get(part[-1])
+            return b"".join(map(get, PIECE.findall(" " + part)))
+
+        self.rest = _Memo(rest, most)
 
     def _parts(self, text: str) -> list[str] | None:
         """The text cut before spaces, those spaces left out; None where the library has to see it whole."""

@@ -51,6 +51,13 @@ def test_parts_give_the_library_ids(library):
         assert encoder.ids(text).tolist() == plain_ids(library, text), repr(text)
 
 
+def test_letters_and_stops_give_the_library_ids(library):
+    encoder = PartEncoder(JSON)
+    for text in ("word", " word", "Hello, world! it's don't. I'm; we'll: they've? x.y a., 'tis .", "Stra\u00dfe, \u00e9t\u00e9.", "a b c", "zqxjkv, QZQ!",
+                 "end.\n next", "tab\tstop, ", "internationalization."):
+        assert encoder.ids(text).tolist() == plain_ids(library, text)
+
+
 def test_part_memory_is_bounded(library):
     encoder = PartEncoder(JSON, most=5)
     text = " ".join(f"w{i}" for i in range(50))

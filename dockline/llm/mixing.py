@@ -9,12 +9,13 @@ history of residuals, and no per-document state passes through the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockline.llm.common import slices, text_bytes
@@ -23,6 +24,7 @@ from dockline.session import cut_lineage
 HASHED = 4096
 SAMPLE = 1000  # labelled texts of each domain at most
 ROUNDS, CLOSE = 60, 1e-6
+MOST_DOMAINS, OTHER = 64, "(other)"
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -40,6 +42,7 @@ class DomainModel:
     domains: list[str]
     log_prior: np.ndarray
     log_term: np.ndarray
+    pooled: frozenset[str] = frozenset()  # domains of the weights that are part of OTHER
 
     def posteriors(self, texts: list[bytes]) -> np.ndarray:
         counts = np.stack([grams(t) for t in texts])
@@ -49,24 +52,38 @@ class DomainModel:
         return (score / score.sum(1, keepdims=True)).astype(np.float64)
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, domain: str = "lang", sample: int = SAMPLE) -> DomainModel:
-    """Domains are the values of ``domain`` on labelled documents, 64 at most (the commonest).
+def fit_domains(docs: DataFrame, labels: DataFrame, domain: str = "lang", sample: int = SAMPLE,
+                weights: Mapping[str, float] | None = None, most: int = MOST_DOMAINS) -> DomainModel:
+    """Domains are the values of ``domain`` on labelled documents: those that ``weights`` names, then the commonest, ``most`` at most.
 
-    Of each domain at most ``sample`` texts are learnt from, those of least id hash; their term counts are
-    summed on the executors, so the driver gets one row per domain and term. Rows without id, text or domain
-    are not learnt from. Without any there is one domain, "".
+    All further ones together are one domain, ``OTHER``, with texts and posteriors of its own. Of each domain at most
+    ``sample`` texts are learnt from, those of least id hash; their term counts are summed on the executors, so the
+    driver gets one row per domain and term. Rows without id, text or domain are not learnt from. Without any there
+    is one domain, "".
     """
     known = docs.join(labels.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi") \
         .where(F.col(domain).isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col(domain).cast("string").alias("_domain"))
-    common = known.groupBy("_domain").count().orderBy(F.desc("count"), "_domain").limit(64).collect()
+    sizes = known.groupBy("_domain").count()
+    asked = [k for k, w in (weights or {}).items() if w > 0]
+    first = F.col("_domain").isin(asked) if asked else F.lit(False)
+    common = sizes.orderBy(first.desc(), F.desc("count"), "_domain").limit(most).collect()
     names = sorted(r["_domain"] for r in common)
     if not names:
         return DomainModel([""], np.zeros(1), np.zeros((1, HASHED)))
+    size_of = {r["_domain"]: r["count"] for r in common}
+    rest = ~F.col("_domain").isin(names)
+    beyond = sizes.where(rest).agg(F.sum("count")).first()[0] or 0  # one number
+    pooled = frozenset(r["_domain"] for r in sizes.where(rest & first).collect()) if beyond and len(asked) > most else frozenset()
+    parts = [(name, F.col("_domain") == name) for name in names]
+    if beyond:
+        parts.append((OTHER, rest))
+        size_of[OTHER] = beyond
     chosen = None
-    for name in names:
-        part = known.where(F.col("_domain") == name).groupBy("doc_id", "_domain").count() \
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "_domain")
+    for name, own in parts:
+        part = known.where(own).groupBy("doc_id", "_domain").count() \
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "_domain").limit(sample).select("doc_id", "_domain", F.lit(name).alias("_class"))
         chosen = part if chosen is None else chosen.unionAll(part)
+    names = [name for name, _ in parts]
     place = {n: i for i, n in enumerate(names)}
 
     def count(batches):
@@ -79,13 +96,13 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: str = "lang", sample
                                          ["at", "term", "n"])
 
     rows = docs.select("doc_id", F.col(domain).cast("string").alias("_domain"), text_bytes().alias("_text")) \
-        .join(F.broadcast(chosen), ["doc_id", "_domain"]).select("_domain", "_text") \
+        .join(F.broadcast(chosen), ["doc_id", "_domain"]).select("_class", "_text") \
         .mapInArrow(count, "at int, term int, n double").groupBy("at", "term").agg(F.sum("n").alias("n")).collect()
     total = np.ones((len(names), HASHED))
     for r in rows:
         total[r["at"], r["term"]] += r["n"]
-    prior = np.array([r["count"] for r in sorted(common, key=lambda r: r["_domain"])], float)
-    return DomainModel(names, np.log(prior / prior.sum()), np.log(total / total.sum(1, keepdims=True)))
+    prior = np.array([size_of[n] for n in names], float)
+    return DomainModel(names, np.log(prior / prior.sum()), np.log(total / total.sum(1, keepdims=True)), pooled)
 
 
 def membership(docs: DataFrame, model: DomainModel) -> DataFrame:
@@ -126,6 +143,27 @@ class Rates:
             rate = np.maximum(self.least, rate - posteriors @ step)
         return rate
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(domain, target, before, after): tokens wanted, had and reached of every domain."""
+        rows = zip(self.domains, self.targets.tolist(), self.before.tolist(), self.after.tolist())
+        return spark.createDataFrame(list(rows), "domain string, target double, before double, after double")
+
+
+def _shares(domains: list[str], weights: Mapping[str, float] | None, pooled: frozenset[str], strict: bool) -> np.ndarray:
+    """Target shares of the domains; weights of pooled domains go to OTHER, and one that nothing serves is told."""
+    if weights is None:
+        return np.full(len(domains), 1 / len(domains))
+    unserved = sorted(d for d, w in weights.items() if w > 0 and d not in domains and d not in pooled)
+    if unserved:
+        said = f"no labelled document serves the weights of {unserved}; the others share their part"
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=3)
+    share = np.array([float(weights.get(d, 0.0)) for d in domains])
+    if OTHER in domains:
+        share[domains.index(OTHER)] += sum(weights[d] for d in pooled)
+    return share / share.sum() if share.sum() > 0 else np.full(len(domains), 1 / len(domains))
+
 
 def _dot(posteriors: Column, weights: np.ndarray) -> Column:
     out = F.lit(0.0)
@@ -135,7 +173,7 @@ def _dot(posteriors: Column, weights: np.ndarray) -> Column:
 
 
 def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, float] | None = None,
-              total: float | None = None, least: float = 0.0) -> Rates:
+              total: float | None = None, least: float = 0.0, pooled: frozenset[str] = frozenset(), strict: bool = False) -> Rates:
     """Projected gradient on 1/2 sum_d ((T_d - sum_i rate_i tokens_i p_id) / scale_d)^2 over rate_i >= ``least``.
 
     ``weights`` are the target shares of the domains (equal shares if None; missing ones count 0); ``total`` is
@@ -144,11 +182,11 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
     of the text; the projection stays one maximum per document. scale_d is the domain's own curvature
     sum_i tokens_i p_id^2, which makes one step size fit all domains. It ends when every domain is within
     CLOSE of its target, relative to the total, or a step moves none by more than that (a lower bound on the
-    rates can keep targets out of reach), or after ROUNDS steps.
+    rates can keep targets out of reach), or after ROUNDS steps. The totals reached are kept beside the targets
+    (``Rates.report``). A positive weight that no domain serves is warned of, or with ``strict`` an error.
     """
     n = len(domains)
-    share = np.array([1.0 if weights is None else float(weights.get(d, 0.0)) for d in domains])
-    share = share / share.sum() if share.sum() > 0 else np.full(n, 1 / n)
+    share = _shares(domains, weights, pooled, strict)
     got = members.agg(*(F.sum(F.col("tokens") * F.col("posteriors")[i]).alias(f"t{i}") for i in range(n)),
                       *(F.sum(F.col("tokens") * F.col("posteriors")[i] * F.col("posteriors")[j]).alias(f"c{i}_{j}")
                         for i in range(n) for j in range(n))).first()
@@ -191,16 +229,16 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, domain: str = "lang",
-                    total: float | None = None, least: float = 0.0) -> DataFrame:
+                    total: float | None = None, least: float = 0.0, strict: bool = False) -> DataFrame:
     """doc_id, tokens, domain (the likeliest), rate and copies for every row.
 
     copies is the rate rounded up or down by a fixed hash of the id, so that copies have the rate as their mean.
     * Null and empty texts have no tokens; their rate is 1. A null id is hashed as a value of its own.
     * Repeated rows get equal rates; extra columns are not read; an empty table gives an empty result.
     """
-    model = fit_domains(docs, labels, domain)
+    model = fit_domains(docs, labels, domain, weights=weights)
     members = cut_lineage(membership(docs, model), "membership")
-    rates = fit_rates(members, model.domains, weights, total, least)
+    rates = fit_rates(members, model.domains, weights, total, least, model.pooled, strict)
     names = F.array(*(F.lit(d) for d in model.domains))
     likeliest = names[F.array_position("posteriors", F.array_max("posteriors")).cast("int") - 1]
     return members.select("doc_id", "tokens", likeliest.alias("domain"),
@@ -215,9 +253,13 @@ def copies(rate: Column, key: Column) -> Column:
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, domain: str = "lang",
           total: float | None = None, least: float = 1.0) -> DataFrame:
-    """The documents, all columns, each as often as its copies say; with ``least`` 1 every one stays."""
-    model = fit_domains(docs, labels, domain)
-    rates = fit_rates(cut_lineage(membership(docs, model), "membership"), model.domains, weights, total, least)
+    """The documents, all columns, each as often as its copies say; with ``least`` 1 every one stays.
+
+    * Null and empty texts have no tokens; their rate is 1, so they stay once. Repeated rows get equal rates, and
+      each comes out as often. Columns named like those used inside come out as they went in; empty in, empty out.
+    """
+    model = fit_domains(docs, labels, domain, weights=weights)
+    rates = fit_rates(cut_lineage(membership(docs, model), "membership"), model.domains, weights, total, least, model.pooled)
     shipped = docs.sparkSession.sparkContext.broadcast((model, rates))
 
     @F.pandas_udf("double")

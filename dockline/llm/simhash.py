@@ -185,7 +185,10 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
 
     The choice is made on (fingerprint, id, hash) alone; texts are read once more, and only rows that a group
     keeps are taken. Of rows that agree in id and text one stays; rows without id keep one per group only
-    where the group has no id at all.
+    where the group has no id at all. Which rows are repeated is known from ids and hashes, so only those are
+    compared once more.
+
+    * Null and empty texts form one group. Extra columns come out as they went in; empty in, empty out.
     """
     spare = "_fp"
     while spare in docs.columns:
@@ -196,14 +199,19 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
         return texts.map(fingerprint).map(lambda v: v - (1 << 64) if v >> 63 else v).astype("int64")
 
     prints = cut_lineage(docs.select("doc_id", F.xxhash64("text").alias("tie"), fp(text_bytes()).alias("fp")), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tie")
-    distinct = cut_lineage(prints.groupBy("fp").agg(F.min(order).alias("least")), "distinct-fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tie", (F.col("rows") > 1).alias("many"))
+    counted = prints.groupBy("fp", "doc_id", "tie").agg(F.count("*").alias("rows"))
+    distinct = cut_lineage(counted.groupBy("fp").agg(F.min(order).alias("least")), "distinct-fingerprints")
     member = connected_components(fingerprint_links(distinct.select("fp"))).withColumnRenamed("node", "fp")
-    chosen = (
+    chosen = cut_lineage(
         distinct.join(member, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
-        .select(F.col("least.doc_id").alias("_doc"), F.col("least.tie").alias("_tie"))
-    )
-    names = docs.columns
+        .select(F.col("least.doc_id").alias("_doc"), F.col("least.tie").alias("_tie"), F.col("least.many").alias("_many")), "chosen")
+    names = [F.col(f"`{c}`") for c in docs.columns]
     numbered = docs.select("*", F.xxhash64("text").alias(spare))
-    kept = numbered.join(chosen, numbered["doc_id"].eqNullSafe(chosen["_doc"]) & (numbered[spare] == chosen["_tie"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", spare]).select(*(F.col(f"`{c}`") for c in names))
+
+    def kept(some: DataFrame) -> DataFrame:
+        return numbered.join(some, numbered["doc_id"].eqNullSafe(some["_doc"]) & (numbered[spare] == some["_tie"]), "left_semi")
+
+    once = kept(chosen.where("NOT _many")).select(*names)
+    many = kept(chosen.where("_many")).dropDuplicates(["doc_id", spare]).select(*names)
+    return once.unionByName(many)

@@ -216,6 +216,85 @@ def test_rates_reach_the_targets(spark, tables):
     assert np.allclose(less.after[1], 1000, rtol=1e-3) and less.after[[0, 2, 3]].sum() < 5
 
 
+def test_mixing_equals_a_plain_descent(tables):
+    """Posteriors from Python counts, rates from a descent over one number per document."""
+    docs, labels = tables["documents"].collect(), {r["doc_id"] for r in tables["labels"].collect()}
+
+    def grams(text):
+        low = (text or "").encode().lower()
+        return Counter(((low[i] << 16 | low[i + 1] << 8 | low[i + 2]) * 2654435761 % 2 ** 32) >> 20 for i in range(len(low) - 2))
+
+    counts = {r["doc_id"]: grams(r["text"]) for r in docs}
+    known = [r for r in docs if r["doc_id"] in labels and r["lang"] is not None and r["text"] is not None]
+    names = sorted({r["lang"] for r in known})
+    term, prior = np.ones((len(names), 4096)), np.zeros(len(names))
+    for r in known:
+        prior[names.index(r["lang"])] += 1
+        for g, n in counts[r["doc_id"]].items():
+            term[names.index(r["lang"]), g] += min(n, 50)
+    log_prior, log_term = np.log(prior / prior.sum()), np.log(term / term.sum(1, keepdims=True))
+    post, tokens = [], np.array([len((r["text"] or "").encode().split()) for r in docs], float)
+    for r in docs:
+        size = max(1, sum(counts[r["doc_id"]].values()))
+        score = log_prior + sum((n * log_term[:, g] for g, n in counts[r["doc_id"]].items()), np.zeros(len(names))) / size ** 0.5
+        score = np.exp(score - score.max())
+        post.append(score / score.sum())
+    post = np.array(post)
+    share = np.array([DOMAIN_WEIGHTS[n] for n in names])
+    had = tokens @ post
+    goal = share * (had / share).max()
+    curve = (tokens[:, None] * post ** 2).sum(0)
+    gram = (post * tokens[:, None]).T @ post / np.sqrt(np.outer(curve, curve))
+    rate = np.ones(len(docs))
+    for _ in range(mixing.ROUNDS):
+        off = (rate * tokens) @ post - goal
+        if np.abs(off).max() <= mixing.CLOSE * goal.sum():
+            break
+        rate = np.maximum(0, rate - post @ (off / curve) / np.linalg.eigvalsh(gram).max())
+    got = {r["doc_id"]: r for r in mixing.mixed_documents(tables["documents"], tables["labels"], DOMAIN_WEIGHTS).collect()}
+    assert np.allclose([got[r["doc_id"]]["rate"] for r in docs], rate, atol=1e-3)
+    assert [got[r["doc_id"]]["tokens"] for r in docs] == tokens.astype(int).tolist()
+
+
+def test_domains_beyond_the_list_are_one(spark):
+    pick = np.random.default_rng(2)
+    words = [["".join(pick.choice(list("abcdefghijklmnop"), 6)) for _ in range(12)] for _ in range(8)]
+    rows = [(i, " ".join(pick.choice(words[i % 8], 60)), f"d{i % 8}", None, 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    weights = {"d7": 0.5, "d5": 0.25, mixing.OTHER: 0.25}
+    model = mixing.fit_domains(docs, labels, weights=weights, most=3)
+    assert model.domains == ["d0", "d5", "d7", mixing.OTHER] and not model.pooled
+    members = mixing.membership(docs, model)
+    rates = mixing.fit_rates(members, model.domains, weights, least=0.0)
+    report = {r["domain"]: r for r in rates.report(spark).collect()}
+    assert np.allclose([r["after"] for r in report.values()], [r["target"] for r in report.values()], rtol=1e-3, atol=60)
+    assert report[mixing.OTHER]["before"] > 5 * 0.9 * 50 * 60 and report["d0"]["target"] == 0
+    every = mixing.fit_domains(docs, labels, weights={f"d{i}": 1.0 for i in range(8)}, most=3)
+    assert every.pooled == {"d3", "d4", "d5", "d6", "d7"} and len(every.domains) == 4
+    share = mixing._shares(every.domains, {f"d{i}": 1.0 for i in range(8)}, every.pooled, True)
+    assert np.allclose(share, [1 / 8] * 3 + [5 / 8])
+
+
+def test_weights_that_nothing_serves_are_told(spark, tables):
+    model = mixing.fit_domains(tables["documents"], tables["labels"])
+    members = mixing.membership(tables["documents"], model)
+    with pytest.raises(ValueError, match="no labelled document serves"):
+        mixing.fit_rates(members, model.domains, {"en": 0.5, "xx": 0.5}, strict=True)
+    with pytest.warns(UserWarning, match="xx"):
+        mixing.fit_rates(members, model.domains, {"en": 0.5, "xx": 0.5}, total=100.0)
+
+
+def test_one_row_of_each_group_stays(spark, odd):
+    rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "x"), (2, "a b c d e f g", "y"), (3, None, "n"), (4, "", "e"), (None, "other words here now", "z"),
+            (None, "other words here now", "z"), (7, "something else again today", "q")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _fp string").repartition(3)
+    kept = simhash.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept) == sorted([(1, "a b c d e f g", "x"), (3, None, "n"), (None, "other words here now", "z"), (7, "something else again today", "q")], key=str)
+    assert simhash.without_near_copies(docs.limit(0)).count() == 0
+
+
 def test_mixing_keeps_every_document_and_column(spark, tables, odd):
     out = mixing.mixed(tables["documents"], tables["labels"], DOMAIN_WEIGHTS)
     assert out.columns == tables["documents"].columns

@@ -33,7 +33,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that all executors share.
 
     That is the one the cluster names in ``spark.checkpoint.dir``, else the context's checkpoint folder, else one
-    below the warehouse, which tables need to be shared as well. No folder is ever made up.
+    below the warehouse, which tables need to be shared as well. No folder is ever made up. On several machines a
+    warehouse on a local disk is refused, as each executor would write to its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
@@ -41,9 +42,17 @@ def shared_root(spark: SparkSession) -> str:
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
     if not warehouse:
         raise ValueError("the session names neither spark.checkpoint.dir nor a warehouse folder")
+    if not _shared(spark.sparkContext.master, warehouse):
+        raise ValueError("spark.checkpoint.dir is not set, and the warehouse is on a local disk: name a folder that all executors share")
     return f"{warehouse.rstrip('/')}/_intermediate"
 
 
+def _shared(master: str, folder: str) -> bool:
+    """Whether all executors see the folder: always on one machine, else unless it is on a local disk."""
+    one_machine = master.startswith("local") and not master.startswith("local-cluster")
+    return one_machine or not (folder.startswith("file:") or folder.startswith("/"))
+
+
 _given: list[str] = []
 
 

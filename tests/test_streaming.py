@@ -2,6 +2,7 @@ import json
 import os
 
 from conftest import rows
+from dockline.session import drop_path
 from dockline.streaming import polls as P
 from dockline.streaming import snapshots as SN
 
@@ -98,7 +99,7 @@ def test_a_repeated_batch_writes_nothing_twice(spark, folder):
     start()
     wanted = [(0, "10:00", "a", 3), (0, "10:00", "b", 1), (1, "10:15", "a", 5), (1, "10:15", "b", 1), (1, "10:15", "c", None)]
     assert shown() == wanted
-    os.remove(f"{folder}/snaps-state/commits/1")  # the batch was written, but its commit was lost
+    drop_path(spark, f"{folder}/snaps-state/commits/1")  # the batch was written, but its commit was lost
     start()
     assert shown() == wanted
     land(f"{folder}/in", "3", poll("10:30:00", "d", 1, 3))

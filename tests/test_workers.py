@@ -21,3 +21,10 @@ def test_pages_parse_without_the_package_on_the_workers(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "RESULT t" in done.stdout, done.stderr[-2000:]
+
+
+def test_folders_that_machines_do_not_share():
+    from dockline.session import _shared
+
+    assert _shared("local[4]", "file:/tmp/warehouse") and _shared("yarn", "hdfs://name/warehouse")
+    assert not _shared("spark://host:7077", "file:/tmp/warehouse") and not _shared("local-cluster[2,1,1024]", "/tmp/warehouse")

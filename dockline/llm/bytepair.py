@@ -24,6 +24,7 @@ PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPA
 
 
 STOPS = frozenset(".,;:!?")  # none of them begins a piece that letters end
+LATIN_END = "\u0250"         # letters below are letters in every version of Unicode
 
 
 class _Memo(dict):
@@ -54,7 +55,7 @@ class PartEncoder:
     kind than byte-level BPE without normaliser, and texts with special strings, go to the library whole.
     """
 
-    def __init__(self, content: bytes, most: int = 350_000):
+    def __init__(self, content: bytes, most: int = 300_000):
         plan = json.loads(content)
         self.tokenizer = Tokenizer.from_buffer(content)
         pre = plan.get("pre_tokenizer") or {}
@@ -65,22 +66,34 @@ class PartEncoder:
         signs = {chr(byte): sign for sign, byte in byte_signs().items()}
         tokenize, spelled = self.tokenizer.model.tokenize, str.maketrans(signs)
 
+        def direct(text: str) -> bytes:
+            """Ids of a text that is one piece."""
+            spelling = text.replace(" ", signs[" "]) if text.isascii() else text.encode().decode("latin-1").translate(spelled)
+            return array("I", [t.id for t in tokenize(spelling)]).tobytes()
+
         def piece(text: str) -> bytes:
             return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(spelled))]).tobytes()
 
         self.pieces = _Memo(piece, most)
-        get, space = self.pieces.__getitem__, signs[" "]
-
-        def rest(part: str) -> bytes:
-            """Ids of a space and a part. ASCII letters are one piece and spell themselves, with a stop behind them two."""
-            if part.isascii():
-                if part.isalpha():
-                    return array("I", [t.id for t in tokenize(space + part)]).tobytes()
+        get = self.pieces.__getitem__
+
+        def maker(lead: str, again: _Memo):
+            """Ids of ``lead`` and a part. Latin letters are one piece; a stop behind them and a line break between two
+            visible signs are pieces of their own, so what stands on either side is looked up by itself."""
+            def make(part: str) -> bytes:
+                if part.isalpha() and max(part) < LATIN_END:
+                    return direct(lead + part)
                 if part[-1:] in STOPS and part[:-1].isalpha():
-                    return self.rest[part[:-1]] + get(part[-1])
-            return b"".join(map(get, PIECE.findall(" " + part)))
+                    return again[part[:-1]] + get(part[-1])
+                left, line, right = part.partition("\n")
+                if line and left and right and not left[-1].isspace() and not right[0].isspace():
+                    return again[left] + get(line) + self.bare[right]
+                return b"".join(map(get, PIECE.findall(lead + part)))
+
+            return make
 
-        self.rest = _Memo(rest, most)
+        self.rest, self.bare = _Memo(None, most), _Memo(None, most)
+        self.rest.make, self.bare.make = maker(" ", self.rest), maker("", self.bare)
 
     def _parts(self, text: str) -> list[str] | None:
         """The text cut before spaces, those spaces left out; None where the library has to see it whole."""
@@ -95,8 +108,8 @@ class PartEncoder:
                 else:
                     joined[-1] += " " + part
             parts = joined
-        self.rest.turn()
-        self.pieces.turn()
+        for memo in (self.rest, self.bare, self.pieces):
+            memo.turn()
         return parts
 
     def raw(self, text: str) -> bytes:

@@ -116,10 +116,17 @@ def group_sums(vectors: list[DataFrame], spark: SparkSession) -> DataFrame:
             places = vector.field("indices")
             lengths = np.diff(places.offsets.to_numpy())
             group = np.repeat(sources.indices.to_numpy().astype(np.int64), lengths)
-            keys, inverse = np.unique(group << 32 | places.flatten().to_numpy(), return_inverse=True)
-            if not len(keys):
+            place, count = places.flatten().to_numpy(), vector.field("values").flatten().to_numpy()
+            if not len(place):
                 continue
-            n = np.bincount(inverse, vector.field("values").flatten().to_numpy())  # exact: whole numbers far below 2**53
+            size = int(place.max()) + 1
+            if size * len(sources.dictionary) <= 16 * len(place):  # few cells: one sum each
+                sums = np.bincount(group * size + place, count)  # exact: whole numbers far below 2**53
+                at = np.flatnonzero(sums)
+                keys, n = at // size << 32 | at % size, sums[at]
+            else:
+                keys, inverse = np.unique(group << 32 | place, return_inverse=True)
+                n = np.bincount(inverse, count)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(keys), batch.column(0)[0].as_py(), np.int32)), sources.dictionary.take(pa.array(keys >> 32)),
                 pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))], ["v", "source", "place", "n"])
@@ -144,33 +151,32 @@ def _apart(p: str, q: str) -> str:
 
 
 def source_pairs(groups: DataFrame, marked: DataFrame) -> DataFrame:
-    """(v, source, item, value) for every ordered pair of sources of one language, summed over all its terms.
+    """(g, h, value) for every ordered pair of groups of one language, summed over all its terms.
 
-    ``groups`` holds (v, source, n_terms, zero), the share of a term that a group lacks; ``marked`` holds (v, source,
-    zero, place, p) where a group has a term. A sum over all terms is the sum as if both lacked them all, plus what
+    ``groups`` holds (g, v, n_terms, zero), the share of a term that a group lacks; ``marked`` holds (g, v, zero,
+    place, p) where a group has a term. A sum over all terms is the sum as if both lacked them all, plus what
     each group's own terms change (from its histogram of shares), plus what shared terms change beyond that.
     """
-    other = groups.select("v", F.col("source").alias("item"), F.col("zero").alias("other_zero"))
-    ordered = groups.join(other, "v").where("source <> item")
-    none = ordered.select("v", "source", "item", F.expr(f"n_terms * ({_apart('zero', 'other_zero')})").alias("value"))
-    histogram = marked.groupBy("v", "source", "zero", "p").agg(F.count("*").alias("terms"))
-    alone = histogram.join(other, "v").where("source <> item").groupBy("v", "source", "item").agg(
+    other = groups.select("v", F.col("g").alias("h"), F.col("zero").alias("other_zero"))
+    none = groups.join(other, "v").where("g <> h").select("g", "h", F.expr(f"n_terms * ({_apart('zero', 'other_zero')})").alias("value"))
+    histogram = marked.groupBy("g", "v", "zero", "p").agg(F.count("*").alias("terms"))
+    alone = histogram.join(other, "v").where("g <> h").groupBy("g", "h").agg(
         F.sum(F.expr(f"terms * (({_apart('p', 'other_zero')}) - ({_apart('zero', 'other_zero')}))")).alias("value"))
-    second = marked.select("v", "place", F.col("source").alias("item"), F.col("p").alias("q"), F.col("zero").alias("other_zero"))
-    shared = marked.join(second, ["v", "place"]).where("source < item").groupBy("v", "source", "item").agg(F.sum(F.expr(
+    second = marked.select("v", "place", F.col("g").alias("h"), F.col("p").alias("q"), F.col("zero").alias("other_zero"))
+    shared = marked.join(second, ["v", "place"]).where("g < h").groupBy("g", "h").agg(F.sum(F.expr(
         f"({_apart('p', 'q')}) - ({_apart('p', 'other_zero')}) - ({_apart('zero', 'q')}) + ({_apart('zero', 'other_zero')})")).alias("value"))
-    ways = F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item"))))
-    both = alone.unionByName(shared).select("v", "value", ways.alias("w")).select("v", "w.source", "w.item", "value")
-    return none.unionByName(both).groupBy("v", "source", "item").agg(F.coalesce(F.sum("value"), F.lit(0)).alias("value"))
+    ways = F.explode(F.array(F.struct("g", "h"), F.struct(F.col("h").alias("g"), F.col("g").alias("h"))))
+    both = alone.unionByName(shared).select("value", ways.alias("w")).select("w.g", "w.h", "value")
+    return none.unionByName(both).groupBy("g", "h").agg(F.coalesce(F.sum("value"), F.lit(0)).alias("value"))
 
 
 def marking_terms(sizes: DataFrame, sums: DataFrame, marked: DataFrame, vocabularies: DataFrame) -> DataFrame:
-    """(v, source, item, value) for the terms commoner in a group than in its whole language."""
+    """(g, item, value) for the terms commoner in a group than in its whole language."""
     whole = sums.groupBy("v", "place").agg(F.sum("n").alias("n"))
     totals = whole.groupBy("v").agg(F.sum("n").alias("total")).join(sizes, "v")
-    usual = whole.join(totals, "v").select("v", "place", _share("n", "total").alias("q"))
+    usual = whole.join(F.broadcast(totals), "v").select("v", "place", _share("n", "total").alias("q"))  # a row per language
     return marked.join(usual, ["v", "place"]).where("p > q").join(vocabularies, ["v", "place"]).select(
-        "v", "source", F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value"))
+        "g", F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value"))
 
 
 def source_divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TOP_TERMS) -> DataFrame:
@@ -188,11 +194,13 @@ def source_divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, t
     totals = sums.groupBy("v", "source").agg(F.sum("n").alias("total"))
     groups = sources.distinct().join(totals, ["v", "source"], "left").join(sizes, "v") \
         .select("v", "lang", "source", "n_terms", F.coalesce("total", F.lit(0)).alias("total"))
-    groups = cut_lineage(groups.withColumn("zero", _share("0", "total")), "groups")
-    marked = cut_lineage(sums.join(groups.select("v", "source", "n_terms", "total", "zero"), ["v", "source"]).select(
-        "v", "source", "place", "zero", _share("n", "total").alias("p")), "shares")
-    place = Window.partitionBy("v", "source").orderBy(F.col("value").desc(), "item")
-    pairs = source_pairs(groups.select("v", "source", "n_terms", "zero"), marked).withColumn("rank", F.row_number().over(place))
+    groups = cut_lineage(groups.withColumn("zero", _share("0", "total")).withColumn("g", F.monotonically_increasing_id()), "groups")
+    marked = cut_lineage(sums.join(groups.select("g", "v", "source", "n_terms", "total", "zero"), ["v", "source"]).select(
+        "g", "v", "place", "zero", _share("n", "total").alias("p")), "shares")
+    other = groups.select(F.col("g").alias("h"), F.col("source").alias("item"))
+    place = Window.partitionBy("g").orderBy(F.col("value").desc(), "item")
+    pairs = source_pairs(groups.select("g", "v", "n_terms", "zero"), marked).join(other, "h").drop("h").withColumn("rank", F.row_number().over(place))
     terms = marking_terms(sizes, sums, marked, vocabularies).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= top)
     both = pairs.withColumn("part", F.lit("pair")).unionByName(terms.withColumn("part", F.lit("term")))
-    return both.join(sizes.select("v", "lang"), "v").select("lang", "source", "part", "item", F.col("value").cast("bigint").alias("value"), "rank")
+    return both.join(groups.select("g", "lang", "source"), "g").select(
+        "lang", "source", "part", "item", F.col("value").cast("bigint").alias("value"), "rank")

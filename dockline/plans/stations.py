@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dockline import schemas as S
 from dockline.functions import columns as C
 from dockline.operators import metrics as M
+from dockline.operators import neighbourhood as N
 from dockline.operators import proximity as P
 from dockline.operators import stations as O
 from dockline.plans.registry import ALL_STATIONS, INFO, MERGED, STATUS, query, with_tables
@@ -215,7 +216,7 @@ NEAR = with_tables(INFO, """points AS (
     SELECT location_id, count(*) AS stations, min(distance) AS distance FROM near WHERE distance < 0.05 GROUP BY location_id""")
 def stations_near_locations(spark, folder):
     """Stations within the radius of every location, counted."""
-    return P.near_counts(T.locations(spark, folder), T.station_information(spark, folder), radius=0.05)
+    return N.near_counts(T.locations(spark, folder), T.station_information(spark, folder), radius=0.05)
 
 
 @query("nearest_stations_per_location", NEAR + """
@@ -223,7 +224,7 @@ def stations_near_locations(spark, folder):
       SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY distance, station_id) AS place
       FROM near WHERE distance < 0.05) WHERE place <= 5""")
 def nearest_stations_per_location(spark, folder):
-    return P.nearest_stations(
+    return N.nearest_stations(
         T.locations(spark, folder), T.station_information(spark, folder), radius=0.05, k=5,
     ).select("location_id", "station_id", "distance", "place")
 

@@ -1,3 +1,4 @@
+from dockline.operators import neighbourhood as NB
 import itertools
 import math
 import random
@@ -186,3 +187,41 @@ def test_near_locations_against_brute_force(spark, side):
     for p, _ in want:
         counts[p] = min(counts.get(p, 0) + 1, 2)
     assert {r.location_id: r["count"] for r in top.groupBy("location_id").count().collect()} == counts
+
+
+@pytest.mark.parametrize("most,radius", [(60, 0.5), (4096, 0.05)])
+def test_neighbourhoods_equal_brute_force(spark, most, radius):
+    pick = random.Random(most)
+    spots = [(45 + pick.random(), -73 + pick.random()) for _ in range(60)] + [(45.5 + pick.random() / 50, -72.5 + pick.random() / 50) for _ in range(80)]
+    stations = [(f"s{i:03}", *spot) for i, spot in enumerate(spots + [spots[100]] * 9)] + [("none", None, 1.0), ("nan", float("nan"), 1.0)]
+    points = [(i, 45 + pick.random(), -73 + pick.random()) for i in range(40)] + [(40 + i, *spots[60 + i]) for i in range(50)]
+    points += [(90, 45.5 + radius, -72.5), (91, *spots[100]), (92, *spots[100]), (93, None, None), (94, 0.0, -0.0)]
+    sdf = spark.createDataFrame([(*s, 7) for s in stations], "station_id string, lat double, lon double, capacity int").repartition(3)
+    pdf = spark.createDataFrame(points, "location_id int, lat double, lon double").repartition(3)
+    far = lambda p, s: math.sqrt((s[1] - p[1]) ** 2 + (s[2] - p[2]) ** 2)
+    near = {p[0]: sorted((far(p, s), s[0]) for s in stations[:-2] if far(p, s) < radius) for p in points if p[1] is not None}
+    got = {r.location_id: (r.stations, r.distance) for r in NB.near_counts(pdf, sdf, radius, most).collect()}
+    assert got == {i: (len(n), pytest.approx(n[0][0], abs=1e-12)) for i, n in near.items() if n}
+    top = NB.nearest_stations(pdf, sdf, radius, 4, most)
+    assert top.columns == ["location_id", "station_id", "lat", "lon", "capacity", "distance", "place"]
+    rows_of = sorted((r.location_id, r.place, r.station_id) for r in top.collect())
+    assert rows_of == sorted((i, j + 1, s) for i, n in near.items() for j, (_, s) in enumerate(n[:4]))
+    assert NB.near_counts(pdf.limit(0), sdf, radius).count() == 0 == NB.nearest_stations(pdf, sdf.limit(0), radius).count()
+
+
+def test_crowded_cells_are_not_compared_pair_by_pair(spark):
+    """40,000 places each in one cell: all but the border is decided by totals."""
+    pick = random.Random(4)
+    crowd = lambda n: [(i, 10 + pick.random() / 10, 20 + pick.random() / 10) for i in range(n)]
+    sdf = spark.createDataFrame(crowd(2000), "station_id int, lat double, lon double")
+    points = NB._folded(NB._places(spark.createDataFrame(crowd(2000), "location_id int, lat double, lon double")))
+    folded = NB._folded(NB._places(sdf))
+    counted = []
+
+    def decide(pairs):
+        inside = F.col("most") < 0.2
+        counted.append(pairs.where(inside).agg(F.sum(F.col("na") * F.col("nb"))).first()[0] or 0)
+        return pairs.where(~inside & (F.col("least") < 0.2)), None
+
+    finished, _ = NB._walk(points.withColumn("n", F.lit(1)), folded, 0.2, decide, 4096)
+    assert sum(counted) > 0.9 * 2000 * 2000  # every pair is within the radius

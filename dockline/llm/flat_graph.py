@@ -3,12 +3,12 @@
 Distinct vectors of one label are put into overlapping cells around centroids. In every cell (cut by hash where
 it is crowded) a graph is built: each vector keeps neighbours that robust pruning leaves, links go both ways and
 everything can be reached from the medoid. A vector's adjacency lists from all its cells are united. A query
-visits every group with a cell that can hold a vector in range, by bounds that hold for every vector. Searches
-run in blocks of neighbouring cells: a greedy beam from the medoids leads to a query's surroundings, then
-everything in range and a margin around it is expanded until nothing new is in range. Queries of every block
-are compared with all of its vectors until enough links are seen, all queries where links are rare; while the
-search finds too few of those the margin grows. Links are verified by cosines in double precision, and count
-in the block of the found vector's nearest cell, which every query in its range visits.
+visits every block with a cell that can hold a vector in range, by the angles of the cell's vectors and by how far
+links were seen to cross borders. Searches run in blocks of neighbouring cells: a greedy beam from the medoids
+leads to a query's surroundings, then everything in range and a margin around it is expanded until nothing new is
+in range. In every block a fixed number of queries is compared with all vectors, and vectors of the block are
+turned and looked for, so that rare links are audited too; while the search finds too few, it is widened. Links
+are verified by cosines in double precision, and count in the block of the found vector's nearest cell.
 
 Sizes: centroids come from a bounded sample and are bounded in number, so they are broadcast. A block holds a
 bounded number of vectors and of queries, and gives a count per query and a spanning forest of its links,
@@ -33,22 +33,26 @@ from dockline.session import cut_lineage
 RANGE = 0.93
 ALPHA = 1.2
 DEGREE = 16
+STEP = 4          # vectors that a beam expands at a time
+MARKS = 1 << 20   # marks (query, vector) of the searches that run side by side
 
 
 @dataclass(frozen=True)
 class Plan:
     """Sizes of the index. ``sample`` vectors fit the centroids, at most ``most_cells`` of them."""
     cell: int = 250
-    blocks_of: int = 32      # crowded cells are cut at twice ``cell``; so many pieces make a block
+    blocks_of: int = 128     # crowded cells are cut at twice ``cell``; at most so many pieces make a block
+    numbers: int = 1 << 22   # components in a block, in the sample a multiple of four
+    queries: int = 32_768    # of a block in one task
     sample: int = 20_000
+    turns: int = 500         # sampled vectors whose links tell how far a link crosses borders
     most_cells: int = 4096
     overlap: int = 2         # cells that a vector is a member of
     rivals: int = 4          # cells nearest to a query whose borders bound what other cells can hold
     beam: int = 16
     starts: int = 3          # medoids, the nearest to the query, that a search starts from
-    audited: int = 48        # so many queries of a block at a time are compared with all vectors
-    seen: int = 500          # until they have so many links
-    wanted: float = 0.98     # share of their links that must be found
+    audited: int = 48        # so many queries of a block are compared with all its vectors
+    wanted: float = 0.98     # share of the audited links that must be found
 
 
 def usable(embedding: Column) -> Column:
@@ -91,7 +95,8 @@ def fit_cells(reps: DataFrame, plan: Plan) -> dict[tuple[str, int], tuple[np.nda
         return {}
     total = sum(r["count"] for r in crowded)
     sample: dict[tuple[str, int], list] = {}
-    for r in reps.orderBy("rep").limit(plan.sample).select("label", "size", "vector").collect():
+    rows = min(plan.sample, max(1, 4 * plan.numbers // max(r["size"] for r in crowded)))
+    for r in reps.orderBy("rep").limit(rows).select("label", "size", "vector").collect():
         sample.setdefault((r["label"], r["size"]), []).append(r["vector"])
     cells = {}
     for r in crowded:
@@ -100,10 +105,36 @@ def fit_cells(reps: DataFrame, plan: Plan) -> dict[tuple[str, int], tuple[np.nda
             x = _unit(np.array(sample[key], np.float64))
             centroids = _means(x, min(math.ceil(r["count"] / plan.cell), most, max(1, len(x) // 4)))
             heads = _means(centroids, math.ceil(len(centroids) / plan.blocks_of))
-            cells[key] = (centroids, np.argmax(centroids @ heads.T, 1))
+            cells[key] = (centroids, np.argmax(centroids @ heads.T, 1), crossing(x, centroids, plan))
     return cells
 
 
+def crossing(x: np.ndarray, centroids: np.ndarray, plan: Plan) -> float:
+    """How far links cross the borders between cells, at most sin(acos(RANGE)), with a quarter to spare.
+
+    For a query and a vector in its range it is the query's way beyond the border between the vector's cell and
+    the nearest of the query's own. Seen on all sampled links of ``turns`` vectors, and on vectors turned to the
+    end of the range: at random and towards another vector of the sample.
+    """
+    apart = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))
+    home, k, most = np.argmax(x @ centroids.T, 1), min(plan.rivals, len(centroids)), 0.0
+    some = np.unique(np.linspace(0, len(x) - 1, min(plan.turns, len(x))).astype(int))
+
+    def passed(query, found):
+        near = centroids @ query
+        rival = np.argpartition(-near, k - 1)[:k]
+        cell = np.unique(home[found])
+        way, width = near[rival][:, None] - near[cell][None], apart[np.ix_(rival, cell)]
+        return float(np.where(width > 1e-6, way / np.maximum(width, 1e-6), 0).max(initial=0))
+
+    towards = x[np.random.default_rng(len(x)).permutation(len(x))[:len(some)]]
+    for q in (turned(x[some], len(x)), turned(x[some], 0, towards)):
+        most = max(most, *(passed(row, [i]) for row, i in zip(q, some.tolist())))
+    for i in some.tolist():
+        most = max(most, passed(x[i], np.flatnonzero(x @ x[i] >= RANGE)))
+    return min(1.25 * most, math.sin(math.acos(RANGE)))
+
+
 def _means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means from evenly spaced rows; empty clusters keep their place."""
     centre = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
@@ -128,7 +159,7 @@ def assigned(reps: DataFrame, cells, plan: Plan) -> DataFrame:
             own, angle = [[(0, 0)]] * len(keys), np.zeros(len(keys))
             for key in set(keys) & set(cells):
                 at = np.array([i for i, k in enumerate(keys) if k == key])
-                centroids, group = cells[key]
+                centroids, group, _ = cells[key]
                 near = _matrix(batch.column("vector").take(pa.array(at))) @ centroids.T
                 order = np.argsort(-near, axis=1, kind="stable")[:, :plan.overlap]
                 angle[at] = np.arccos(np.clip(near.max(1), -1, 1))
@@ -146,7 +177,7 @@ def assigned(reps: DataFrame, cells, plan: Plan) -> DataFrame:
 def cell_bounds(members: DataFrame, cells) -> dict[tuple[str, int], np.ndarray]:
     """For every cell of ``cells`` the least and the largest angle between its centroid and the vectors to which it
     is the nearest; without such vectors infinity and its negative. At most one row per cell reaches the driver."""
-    out = {key: np.tile([np.inf, -np.inf], (len(c), 1)) for key, (c, _) in cells.items()}
+    out = {key: np.tile([np.inf, -np.inf], (len(c[0]), 1)) for key, c in cells.items()}
     for r in members.groupBy("label", "size", F.col("own")[0]["cell"].alias("cell")) \
             .agg(F.min("angle").alias("least"), F.max("angle").alias("most")).collect() if cells else []:
         if (r["label"], r["size"]) in out:
@@ -154,12 +185,13 @@ def cell_bounds(members: DataFrame, cells) -> dict[tuple[str, int], np.ndarray]:
     return out
 
 
-def reachable(x: np.ndarray, centroids: np.ndarray, bounds: np.ndarray, rivals: int) -> np.ndarray:
+def reachable(x: np.ndarray, centroids: np.ndarray, bounds: np.ndarray, rivals: int, beyond: float) -> np.ndarray:
     """For every row of ``x`` (unit length) the cells that can hold a vector in range as its nearest cell.
 
-    A cell is left out only where no such vector can exist: the query's angle to the centroid differs by more
-    than the range from those of all the cell's vectors, or the range ends before the border between the cell
-    and one of the ``rivals`` centroids nearest to the query. Both hold up to rounding, for which there is room.
+    A cell is left out where the query's angle to the centroid differs by more than the range from those of all
+    the cell's vectors, or where the border between the cell and one of the ``rivals`` centroids nearest to the
+    query is farther than ``beyond``. The first is exact up to rounding, for which there is room; so is the second
+    at sin(acos(RANGE)), while a smaller ``beyond`` is what ``crossing`` has seen.
     """
     room, theta = 1e-6, math.acos(RANGE)
     near = x @ centroids.T
@@ -170,29 +202,42 @@ def reachable(x: np.ndarray, centroids: np.ndarray, bounds: np.ndarray, rivals:
     k = min(rivals, len(centroids))
     apart = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))
     for rival in np.argpartition(-near, k - 1, axis=1)[:, :k].T:
-        out &= near[np.arange(len(x)), rival][:, None] - near <= math.sin(theta) * apart[rival] + room
+        out &= near[np.arange(len(x)), rival][:, None] - near <= beyond * apart[rival] + room
     return out
 
 
-def probing(members: DataFrame, cells, plan: Plan) -> DataFrame:
-    """rep, label, size, vector and ``probes``: the groups that hold its ``reachable`` cells."""
-    shipped = members.sparkSession.sparkContext.broadcast((cells, cell_bounds(members, cells)))
+def probing(members: DataFrame, cells, plan: Plan, places=None) -> DataFrame:
+    """rep, label, size, vector, ``probes``: the groups that hold its ``reachable`` cells, and ``places``: their blocks,
+    null for vectors without cells. ``places`` has for every cell its first and its last place."""
+    shipped = members.sparkSession.sparkContext.broadcast((cells, cell_bounds(members, cells), places or {}))
 
     def run(batches):
-        cells, bounds = shipped.value
+        cells, bounds, places = shipped.value
         for batch in slices(batches, 1024):
             keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
-            probes = [[0]] * len(keys)
+            probes, visits = [[0]] * len(keys), [None] * len(keys)
             for key in set(keys) & set(cells):
                 at = np.array([i for i, k in enumerate(keys) if k == key])
-                centroids, group = cells[key]
-                reach = reachable(_matrix(batch.column("vector").take(pa.array(at))), centroids, bounds[key], plan.rivals)
+                centroids, group, beyond = cells[key]
+                reach = reachable(_matrix(batch.column("vector").take(pa.array(at))), centroids, bounds[key], plan.rivals, beyond)
                 for i, row in zip(at.tolist(), reach):
                     probes[i] = np.unique(group[row]).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(probes, pa.list_(pa.int32()))], [*batch.schema.names, "probes"])
+                    if key in places:
+                        visits[i] = sorted({p for f, e in places[key][row].tolist() for p in range(f, e + 1)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(probes, pa.list_(pa.int32())), pa.array(visits, pa.list_(pa.int64()))],
+                                             [*batch.schema.names, "probes", "places"])
 
     return members.select("rep", "label", "size", "vector").mapInArrow(
-        run, "rep bigint, label string, size int, vector array<double>, probes array<int>")
+        run, "rep bigint, label string, size int, vector array<double>, probes array<int>, places array<bigint>")
+
+
+def placed_cells(layout: DataFrame, cells) -> dict[tuple[str, int], np.ndarray]:
+    """For every cell of ``cells`` its first and last place (group and block); one row per cell reaches the driver."""
+    out = {key: np.tile([0, -1], (len(c[0]), 1)) for key, c in cells.items()}
+    for r in layout.where(F.col("crowded")).collect() if cells else []:
+        first, last = r["before"] // r["many"], (r["before"] + r["pieces"] - 1) // r["many"]
+        out[r["label"], r["size"]][r["cell"]] = (r["grp"] << 32) + first, (r["grp"] << 32) + last
+    return out
 
 
 def robust_prune(distance: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -272,124 +317,196 @@ def _sorted(distance: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 class Searcher:
-    """Range search on one block: ``x`` unit rows, ``lists`` united neighbour lists, ``starts`` the medoids of
-    the pieces and ``cells`` their cells."""
+    """Range search on one block, many queries side by side: ``x`` unit rows, ``lists`` united neighbour lists,
+    ``starts`` the medoids of the pieces and ``cells`` their cells. What no medoid leads to gets starts of its own,
+    which every query takes. ``compared`` counts the cosines."""
 
     def __init__(self, x: np.ndarray, lists: list[np.ndarray], starts: np.ndarray, cells: np.ndarray, beam: int):
-        self.x, self.low, self.starts, self.cells, self.beam = x, x.astype(np.float32), starts, cells, beam
-        size = np.array([len(s) for s in lists], np.int64)
-        self.end = np.cumsum(size)
-        self.begin = self.end - size
+        self.x, self.low, self.beam, self.compared = x, x.astype(np.float32), beam, 0
+        self.size = np.array([len(s) for s in lists], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
         self.flat = np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
-        self.seen = np.zeros(len(x), bool)
-
-    def _neighbours(self, nodes: np.ndarray) -> np.ndarray:
-        found = self.flat[self.begin[nodes[0]]:self.end[nodes[0]]] if len(nodes) == 1 else \
-            np.concatenate([self.flat[self.begin[v]:self.end[v]] for v in nodes.tolist()])
-        found = np.unique(found[~self.seen[found]])
-        self.seen[found] = True
-        return found
-
-    def within(self, query: np.ndarray, margin: float, most: int) -> np.ndarray:
-        """Rows whose cosine with ``query`` is RANGE or more, as far as the search finds them."""
-        low = query.astype(np.float32)
-        met, gains = [], []
-        starts = self.starts
-        if len(starts) > most:
-            best = np.argpartition(-(self.low[starts] @ low), most - 1)[:most]
-            starts = starts[np.isin(self.cells, self.cells[best])]  # every piece of their cells
-        for start in starts:
-            # Greedy from each medoid with a beam of its own: expand what it holds until nothing nearer turns
-            # up. One beam for all would fill with one cell's vectors and never enter the others.
-            if self.seen[start]:
-                continue
-            self.seen[start] = True
-            ids = np.array([start])
-            near = self.low[ids] @ low
-            met.append(ids)
-            gains.append(near)
-            todo = np.ones(1, bool)
-            while todo.any():
-                new = self._neighbours(ids[todo])
-                todo[:] = False
-                if not len(new):
-                    break
-                value = self.low[new] @ low
-                met.append(new)
-                gains.append(value)
-                ids, near = np.concatenate([ids, new]), np.concatenate([near, value])
-                todo = np.concatenate([todo, np.ones(len(new), bool)])
-                if len(ids) > self.beam:
-                    best = np.argpartition(-near, self.beam - 1)[:self.beam]
-                    ids, near, todo = ids[best], near[best], todo[best]
-        # Range: everything in range or a margin around it is expanded as well.
-        all_ids, all_near = np.concatenate(met), np.concatenate(gains)
-        frontier = all_ids[all_near >= RANGE - margin]
-        met, gains = [all_ids], [all_near]
+        self.medoids = len(starts)
+        reached = np.zeros(len(x), bool)
+        self._reach(np.asarray(starts, np.int64), reached)
+        alone = []
+        for v in np.flatnonzero(~reached).tolist():
+            if not reached[v]:
+                alone.append(v)
+                self._reach(np.array([v]), reached)
+        self.starts = np.concatenate([starts, alone]).astype(np.int64)
+        self.cell = np.unique(np.concatenate([cells, np.full(len(alone), -1)]), return_inverse=True)[1]
+        self.at_once = int(max(1, min(256, MARKS // max(1, len(x)))))
+        self.seen = np.zeros(self.at_once * len(x), bool)
+        self.writer = np.zeros(self.at_once * len(x), np.int32)
+
+    def _targets(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The neighbours of all ``nodes`` in a row, and how many each has."""
+        size = self.size[nodes]
+        ends = np.cumsum(size)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[nodes] - ends + size, size)], size
+
+    def _reach(self, frontier: np.ndarray, reached: np.ndarray) -> None:
+        reached[frontier] = True
         while len(frontier):
-            new = self._neighbours(frontier)
-            if not len(new):
+            found = self._targets(frontier)[0]
+            frontier = np.unique(found[~reached[found]])
+            reached[frontier] = True
+
+    def _fresh(self, keys: np.ndarray) -> np.ndarray:
+        """Places of those ``keys`` (query and node) that were not seen yet, each once; they are marked."""
+        at = np.flatnonzero(~self.seen[keys])
+        self.writer[keys[at]] = at
+        at = at[self.writer[keys[at]] == at]
+        self.seen[keys[at]] = True
+        return at
+
+    def _near(self, low: np.ndarray, which: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        self.compared += len(nodes)
+        return np.einsum("ij,ij->i", self.low[nodes], low[which])
+
+    def within(self, queries: np.ndarray, margin: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row) whose cosine is RANGE or more, as far as the search finds them, in order of queries."""
+        parts = [self._within(queries[i:i + self.at_once], margin, most, i) for i in range(0, len(queries), self.at_once)]
+        return (np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)]),
+                np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int64)]))
+
+    def _within(self, queries: np.ndarray, margin: float, most: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+        low, n = queries.astype(np.float32), len(self.x)
+        # Where to start: every piece of the cells whose medoids are nearest.
+        near = low @ self.low[self.starts].T
+        self.compared += near.size
+        chosen = np.ones(near.shape, bool)
+        if self.medoids > most:
+            picked = np.zeros((len(low), self.cell.max() + 1), bool)
+            best = np.argpartition(-near[:, :self.medoids], most - 1, axis=1)[:, :most]
+            np.put_along_axis(picked, self.cell[best], True, 1)
+            chosen[:, :self.medoids] = picked[:, self.cell[:self.medoids]]
+        query, start = np.nonzero(chosen)
+        keys = query * n + self.starts[start]
+        at = np.sort(self._fresh(keys))
+        query, keys, gain = query[at], keys[at], near[query[at], start[at]]
+        met, gains = [keys], [gain]
+        # Greedy from each medoid with a beam of its own: the nearest that were not expanded yet, until nothing
+        # nearer turns up. One beam for all would fill with one cell's vectors and never enter the others.
+        lane, todo, worst = np.arange(len(keys)), np.ones(len(keys), bool), np.full(len(keys), -2, np.float32)
+        while True:
+            at = np.flatnonzero(todo)
+            at = at[np.arange(len(at)) - np.searchsorted(lane[at], lane[at]) < STEP]
+            if not len(at):
                 break
-            value = self.low[new] @ low
-            met.append(new)
+            todo[at] = False
+            found, size = self._targets(keys[at] - query[lane[at]] * n)
+            own = np.repeat(lane[at], size)
+            fresh = self._fresh(query[own] * n + found)
+            own, found = own[fresh], found[fresh]
+            value = self._near(low, query[own], found)
+            found += query[own] * n
+            met.append(found)
             gains.append(value)
-            frontier = new[value >= RANGE - margin]
-        all_ids, all_near = np.concatenate(met), np.concatenate(gains)
-        self.seen[all_ids] = False
-        close = all_ids[all_near >= RANGE - 1e-4]
-        return close[self.x[close] @ query >= RANGE]
-
-
-def search_block(nodes, queries, plan: Plan):
-    """Counts (query, links) and forest links of a block.
+            better = value > worst[own]
+            found, own, value = found[better], own[better], value[better]
+            if not len(found):
+                continue
+            keys, lane, gain = np.concatenate([keys, found]), np.concatenate([lane, own]), np.concatenate([gain, value])
+            todo = np.concatenate([todo, np.ones(len(found), bool)])
+            order = np.lexsort((-gain, lane))
+            place = np.arange(len(order)) - np.searchsorted(lane[order], lane[order])
+            order, place = order[place < self.beam], place[place < self.beam]
+            keys, lane, gain, todo = keys[order], lane[order], gain[order], todo[order]
+            worst[lane[place == self.beam - 1]] = gain[place == self.beam - 1]
+        # Range: everything in range or a margin around it is expanded as well. A query with so much of it that
+        # its lists cost more than the block is compared with the whole block; its links are as many.
+        keys, gain = np.concatenate(met), np.concatenate(gains)
+        met, gains = [keys], [gain]
+        waiting = keys[gain >= RANGE - margin]
+        expanded, crowded = np.zeros(len(low), np.int64), np.zeros(len(low), bool)
+        while len(waiting):
+            now, waiting = waiting[:2048], waiting[2048:]
+            now = now[~crowded[now // n]]
+            expanded += np.bincount(now // n, minlength=len(low))
+            crowded |= expanded > max(64, n // 8)
+            found, size = self._targets(now % n)
+            found = np.repeat(now - now % n, size) + found
+            found = found[self._fresh(found)]
+            value = self._near(low, found // n, found % n)
+            met.append(found)
+            gains.append(value)
+            waiting = np.concatenate([waiting, found[value >= RANGE - margin]])
+        keys, gain = np.concatenate(met), np.concatenate(gains)
+        self.seen[keys] = False
+        keys = keys[(gain >= RANGE - 1e-4) & ~crowded[keys // n]]
+        for i in np.flatnonzero(crowded).tolist():
+            self.compared += n
+            keys = np.concatenate([keys, i * n + np.flatnonzero(self.low @ low[i] >= RANGE - 1e-4)])
+        keys = np.sort(keys)
+        keep = [np.einsum("ij,ij->i", self.x[part % n], queries[part // n]) >= RANGE
+                for part in np.split(keys, range(65536, len(keys), 65536))]
+        keys = keys[np.concatenate(keep)]
+        return keys // n + first, keys % n
+
+
+def turned(x: np.ndarray, seed: int, towards: np.ndarray | None = None) -> np.ndarray:
+    """Every row of ``x`` (unit length) turned to cosines from RANGE to 0.97, ``towards`` given rows or at random."""
+    aside = np.random.default_rng(seed).normal(size=x.shape) if towards is None else towards
+    aside = aside - np.einsum("ij,ij->i", aside, x)[:, None] * x
+    cosine = np.linspace(RANGE + 1e-9, 0.97, len(x))[:, None]
+    return cosine * x + np.sqrt(1 - cosine ** 2) * _unit(aside) if x.shape[1] > 1 else x
+
+
+def search_block(nodes, queries, plan: Plan, told: list | None = None):
+    """Counts (query, links) and forest links of a block, all found by the graph.
 
     ``nodes`` and ``queries`` are tuples of arrays. ``home`` is true for the nodes whose nearest cell lies in
     this block, and only they count: all in a query's range do so in one of the blocks that it visits.
+
+    The audit has a fixed size: ``audited`` queries are compared with all vectors, and as many vectors of the block
+    are turned, with links to what they come from, which measures the search where links are rare. While
+    it finds less than ``wanted`` of either, it takes more medoids, then a longer beam and a wider margin.
+    ``told`` receives (cosines, links of the audit, links of it that were found).
     """
     x, rep, copies, lists, starts, cells, home = nodes
     q, q_rep = queries
-    exact: dict[int, np.ndarray] = {}
-    every = np.arange(len(q))
-    stride = max(1, len(q) // plan.audited)
-    spread, wanted = every[np.argsort(every % stride, kind="stable")], 0
-    for at in range(0, len(q), plan.audited):
-        if wanted >= plan.seen:
-            break
-        some = spread[at:at + plan.audited]
-        for i, near in zip(some.tolist(), q[some] @ x.T):
-            hit = np.flatnonzero(near >= RANGE)
-            exact[i] = hit[rep[hit] != q_rep[i]]
-            wanted += len(exact[i])
+    some = np.unique(np.linspace(0, len(q) - 1, min(plan.audited, len(q))).astype(int))
+    near = q[some] @ x.T >= RANGE
+    near &= rep[None] != q_rep[some][:, None]
+    plants = np.unique(np.linspace(0, len(x) - 1, min(4 * plan.audited, len(x))).astype(int))
+    planted = turned(x[plants], len(x))
     searcher = Searcher(x, lists, starts, cells, plan.beam)
     margin, most = 0.08, plan.starts
 
-    def found(i):
-        hit = searcher.within(q[i], margin, most)
-        return hit[rep[hit] != q_rep[i]]
+    def hits(which, ids):
+        a, b = searcher.within(which, margin, most)
+        if ids is not None:
+            other = rep[b] != ids[a]
+            a, b = a[other], b[other]
+        return a, b
 
-    linked_ones = [i for i, hit in exact.items() if len(hit)]
-    while len(exact) < len(q) and margin < 2 and sum(len(found(i)) for i in linked_ones) < plan.wanted * wanted:
-        if most < len(starts):
+    while True:
+        a, b = hits(q[some], q_rep[some])
+        real = near[a, b].sum()
+        a, b = hits(planted, None)
+        made = (plants[a] == b).sum()
+        if (real >= plan.wanted * near.sum() and made >= plan.wanted * len(plants)) or margin >= 2:
+            break
+        if most < len(starts) and most < 8 * plan.starts:
+            most *= 2
+        elif searcher.beam < 16 * plan.beam:
+            searcher.beam *= 2
+        elif most < len(starts):
             most *= 2
         else:
             margin *= 2
     every = np.unique(np.concatenate([rep, q_rep]))
     node_at, query_at = np.searchsorted(every, rep), np.searchsorted(every, q_rep)
-    linked, a, b = np.zeros(len(q), np.int64), [], []
+    linked = np.zeros(len(q), np.int64)
     forest_a = forest_b = np.zeros(0, np.int64)
-    waiting = 0
-    for i in range(len(q)):
-        hit = exact[i] if i in exact else found(i)
-        if not len(hit):
-            continue
-        linked[i] = copies[hit[home[hit]]].sum()
-        a.append(np.full(len(hit), query_at[i]))
-        b.append(node_at[hit])
-        waiting += len(hit)
-        if waiting > 1_000_000:
-            forest_a, forest_b = _forest(len(every), a + [forest_a], b + [forest_b])
-            a, b, waiting = [], [], 0
-    forest_a, forest_b = _forest(len(every), a + [forest_a], b + [forest_b])
+    for i in range(0, len(q), searcher.at_once):
+        a, b = hits(q[i:i + searcher.at_once], q_rep[i:i + searcher.at_once])
+        np.add.at(linked, a + i, np.where(home[b], copies[b], 0))
+        forest_a, forest_b = _forest(len(every), [query_at[a + i], forest_a], [node_at[b], forest_b]) if len(a) else (forest_a, forest_b)
+    if told is not None:
+        told.append((searcher.compared, int(near.sum()) + len(plants), int(real + made)))
     return linked, every[forest_a], every[forest_b]
 
 
@@ -448,17 +565,20 @@ def links(reps: DataFrame, plan: Plan = Plan()) -> DataFrame:
     # Where each cell lies: its pieces, numbered through its group. One small row per cell.
     count = members.select("label", "size", F.explode("own").alias("o")).groupBy("label", "size", "o.grp", "o.cell").count()
     count = count.withColumn("pieces", F.ceil(F.col("count") / (2 * plan.cell)).cast("int"))
+    many = F.least(F.lit(plan.blocks_of), F.greatest(F.lit(1), F.lit(plan.numbers) / (2 * plan.cell * F.col("size")))).cast("int")
+    spark = reps.sparkSession
+    known = spark.createDataFrame([(*key, True) for key in cells], "label string, size int, crowded boolean")
     before = W.partitionBy("label", "size", "grp").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
-    layout = cut_lineage(count.select("label", "size", "grp", "cell", "pieces",
-                                      F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("before")), "layout")
+    layout = cut_lineage(count.join(known, ["label", "size"], "left").select(
+        "label", "size", "grp", "cell", "pieces", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("before"),
+        many.alias("many"), F.coalesce("crowded", F.lit(False)).alias("crowded")), "layout")
     keys = ["label", "size", "grp"]
-    groups = layout.groupBy(*keys).agg(F.ceil(F.sum("pieces") / plan.blocks_of).cast("int").alias("blocks"))
 
     piece = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("pieces")).cast("int")
     placed = members.select("*", F.posexplode("own").alias("at", "o")).select(
         "rep", "label", "size", "vector", "copies", (F.col("at") == 0).alias("home"), F.col("o.grp").alias("grp"), F.col("o.cell").alias("cell")) \
         .join(layout, [*keys, "cell"]).withColumn("piece", piece) \
-        .withColumn("block", ((F.col("before") + F.col("piece")) / plan.blocks_of).cast("int"))
+        .withColumn("block", F.floor((F.col("before") + F.col("piece")) / F.col("many")).cast("int"))
     placed = cut_lineage(placed.select("rep", *keys, "cell", "piece", "block", "vector", "copies", "home"), "placed")
     graph = placed.select("rep", *keys, "cell", "piece", "block", "vector").groupBy(*keys, "cell", "piece", "block").applyInArrow(
         _build_cell,
@@ -474,13 +594,23 @@ def links(reps: DataFrame, plan: Plan = Plan()) -> DataFrame:
                            none("array<bigint>").alias("near"), none("array<int>").alias("start"))
     as_list = united.select(*keys, "block", "rep", F.lit(2).alias("kind"), none("array<double>").alias("vector"),
                             F.lit(0).cast("bigint").alias("copies"), F.lit(False).alias("home"), "near", "start")
-    shares = groups.withColumn("shares", F.col("blocks"))
-    stored = as_node.unionAll(as_list).join(shares, keys).select(
-        *keys, "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "rep", "kind", "vector", "copies",
+    # Who visits which block; a vector without cells visits all blocks of its label, hardly ever more than one.
+    probed = cut_lineage(probing(members, cells, plan, placed_cells(layout, cells)).drop("probes"), "probed")
+    blocks = layout.where(~F.col("crowded")).groupBy("label", "size").agg(
+        F.max(F.floor((F.col("before") + F.col("pieces") - 1) / F.col("many"))).alias("last"))
+    wide = probed.where("places IS NULL").drop("places").join(blocks, ["label", "size"]).select(
+        "rep", "label", "size", "vector", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))).alias("place"))
+    visits = probed.select("rep", "label", "size", "vector", F.explode("places").alias("place")).unionByName(wide).select(
+        "rep", "label", "size", F.shiftright("place", 32).cast("int").alias("grp"),
+        F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("block"), "vector")
+    # A block's vectors are copied once for so many queries of it, and no oftener.
+    at = [*keys, "block"]
+    shares = cut_lineage(visits.groupBy(*at).agg(F.ceil(F.count("*") / plan.queries).cast("int").alias("shares")), "shares")
+    stored = as_node.unionAll(as_list).join(shares, at).select(
+        *at, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "rep", "kind", "vector", "copies",
         "home", "near", "start")
-    asked = probing(members, cells, plan).select("rep", *keys[:2], "vector", F.explode("probes").alias("grp")).join(shares, keys).select(
-        *keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("rep", F.lit(2)), F.col("shares")).cast("int").alias("share"), "rep", F.lit(1).alias("kind"), "vector",
+    asked = visits.join(shares, at).select(
+        *at, F.pmod(F.xxhash64("rep", F.lit(2)), F.col("shares")).cast("int").alias("share"), "rep", F.lit(1).alias("kind"), "vector",
         F.lit(0).cast("bigint").alias("copies"), F.lit(False).alias("home"), none("array<bigint>").alias("near"),
         none("array<int>").alias("start"))
     return stored.unionByName(asked).groupBy(*keys, "block", "share").applyInArrow(

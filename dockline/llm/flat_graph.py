@@ -43,13 +43,13 @@ class Plan:
     cell: int = 250
     blocks_of: int = 128     # crowded cells are cut at twice ``cell``; at most so many pieces make a block
     numbers: int = 1 << 22   # components in a block, in the sample a multiple of four
-    queries: int = 32_768    # of a block in one task
+    queries: int = 8_192     # of a block in one task
     sample: int = 20_000
     turns: int = 500         # sampled vectors whose links tell how far a link crosses borders
     most_cells: int = 4096
     overlap: int = 2         # cells that a vector is a member of
     rivals: int = 4          # cells nearest to a query whose borders bound what other cells can hold
-    beam: int = 16
+    beam: int = 8            # to begin with; the audit makes it longer
     starts: int = 3          # medoids, the nearest to the query, that a search starts from
     audited: int = 48        # so many queries of a block are compared with all its vectors
     wanted: float = 0.98     # share of the audited links that must be found

@@ -199,3 +199,46 @@ def test_graph_is_reachable_and_pruned():
     assert len(seen) == 300 and max(map(len, lists)) <= 3 * flat_graph.DEGREE
     for n in (1, 2, 5):
         assert len(flat_graph.build_graph(x[:n])[0]) == n
+
+
+@pytest.mark.parametrize("plan", [flat_graph.Plan(), flat_graph.Plan(beam=1, starts=1)])
+def test_the_graph_answers_with_few_cosines(plan):
+    # 4,000 vectors without structure, one in fifty with a near copy; a beam of one is widened by the audit.
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 24))
+    x[:80] = x[2000:2080] + 0.2 * rng.normal(size=(80, 24))
+    x = flat_graph._unit(x)
+    centre = flat_graph._means(x[::4], 16)
+    own = np.argsort(-(x @ centre.T), axis=1)[:, :2]
+    lists, starts = [[] for _ in x], []
+    for c in range(16):
+        piece = np.flatnonzero((own == c).any(1))
+        near, medoid = flat_graph.build_graph(x[piece])
+        starts.append(piece[medoid])
+        for v, to in zip(piece, near):
+            lists[v].append(piece[to])
+    rep, told = np.arange(len(x)), []
+    linked, _, _ = flat_graph.search_block(
+        (x, rep, np.ones(len(x), np.int64), [np.unique(np.concatenate(s)) for s in lists], np.array(starts), np.arange(16), np.ones(len(x), bool)),
+        (x, rep), plan, told)
+    true = (x @ x.T >= 0.93).sum(1) - 1
+    cosines, expected, found = told[0]
+    assert (linked <= true).all() and linked.sum() >= 0.98 * true.sum() > 0
+    assert found >= 0.98 * expected and cosines < 0.6 * len(x) ** 2
+
+
+def test_turned_vectors_stay_in_range():
+    x = flat_graph._unit(np.random.default_rng(4).normal(size=(50, 12)))
+    for towards in (None, x[::-1]):
+        cosine = np.einsum("ij,ij->i", flat_graph.turned(x, 1, towards), x)
+        assert (cosine >= 0.93).all() and (cosine <= 0.97 + 1e-9).all()
+    assert (flat_graph.turned(np.ones((3, 1)), 1) == 1).all()
+
+
+def test_many_blocks_and_tasks_give_the_same_groups(spark):
+    frame = spark.createDataFrame(clustered_vectors(), "vec_id bigint, embedding array<float>, label int")
+    one = sorted(map(tuple, flat_graph.embedding_groups(frame).collect()), key=str)
+    plan = flat_graph.Plan(cell=40, blocks_of=3, queries=50, numbers=5000)
+    many = sorted(map(tuple, flat_graph.embedding_groups(frame, plan).collect()), key=str)
+    assert [(r[0], r[2], r[3]) for r in many] == [(r[0], r[2], r[3]) for r in one]
+    assert sum(r[1] for r in many) >= 0.98 * sum(r[1] for r in one)

@@ -22,7 +22,9 @@ from dockline.session import cut_lineage, shared_path
 LEAST_DOCUMENTS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 LARGEST_VOCABULARY = 2 ** 31 - 1
 FEW = 10_000
+BLOCK_BITS, PENDING = 10, 2_000_000
 SUMS = "v int, source string, place int, n bigint"
+BLOCKS = "v int, source string, block int, places array<int>, counts array<bigint>"
 
 
 def _letters() -> bytes:
@@ -104,35 +106,104 @@ def document_vectors(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) ->
     return known, reduce(DataFrame.unionByName, vocabularies, empty), groups, vectors
 
 
+def _block_rows(v: int, sources: pa.Array, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sums as one row per (source, block of places); ``keys`` ascend and hold the source's number above the place."""
+    block = keys >> BLOCK_BITS
+    first = np.flatnonzero(np.diff(block, prepend=-1))
+    lengths = np.diff(first, append=len(keys))
+    head, in_key = block[first], 32 - BLOCK_BITS
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(first), v, np.int32)), sources.take(pa.array(head >> in_key)),
+        pa.array((head & (1 << in_key) - 1).astype(np.int32)),
+        list_column(lengths, (keys & 0xFFFFFFFF).astype(np.int32), pa.int32()), list_column(lengths, counts, pa.int64())],
+        ["v", "source", "block", "places", "counts"])
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending keys, each once, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _sum_vectors(batches):
+    """Blocks of sums of (v, source, vector) rows of one v; at most PENDING sums wait in the task."""
+    names: dict = {}
+    waiting, held, v = [], 0, 0
+
+    def flush():
+        keys, counts = _summed(*[np.concatenate(part) for part in zip(*waiting)])
+        return _block_rows(v, pa.array(list(names), pa.string()), keys, counts)
+
+    for batch in slices(batches, 4096, 32 << 20):
+        sources = batch.column(1).dictionary_encode()
+        vector = batch.column(2)
+        places = vector.field("indices")
+        place, count = places.flatten().to_numpy(), vector.field("values").flatten().to_numpy()
+        if not len(place):
+            continue
+        v = batch.column(0)[0].as_py()
+        number = np.array([names.setdefault(name, len(names)) for name in sources.dictionary.to_pylist()], np.int64)
+        group = np.repeat(number[sources.indices.to_numpy()], np.diff(places.offsets.to_numpy()))
+        size = int(place.max()) + 1
+        if size * len(names) <= 16 * len(place):  # few cells: one sum each
+            sums = np.bincount(group * size + place, count)  # exact: whole numbers far below 2**53
+            at = np.flatnonzero(sums)
+            keys, n = at // size << 32 | at % size, sums[at].astype(np.int64)
+        else:
+            keys, n = _summed(group << 32 | place, count.astype(np.int64))
+        waiting.append((keys, n))
+        held += len(keys)
+        if held > PENDING:
+            yield flush()
+            names, waiting, held = {}, [], 0
+    if waiting:
+        yield flush()
+
+
+def _merge_blocks(batches):
+    """(v, source, place, n) from rows of blocks that are sorted by (v, source, block); one block stays open."""
+    last, open_sums = None, None
+    names = ["v", "source", "place", "n"]
+
+    def told(keys, sums):
+        row, at = np.nonzero(sums)
+        v, source, block = (pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int32())))
+        place = block.to_numpy()[row] << BLOCK_BITS | at
+        row = pa.array(row)
+        return pa.RecordBatch.from_arrays([v.take(row), source.take(row), pa.array(place.astype(np.int32)), pa.array(sums[sums != 0])], names)
+
+    for batch in slices(batches, 1024):
+        rows = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+        keys = [k for i, k in enumerate(rows) if i == 0 or k != rows[i - 1]]
+        number = np.cumsum([i > 0 and k != rows[i - 1] for i, k in enumerate(rows)])
+        lengths = np.diff(batch.column(3).offsets.to_numpy())
+        at = np.repeat(number, lengths) << BLOCK_BITS | batch.column(3).flatten().to_numpy() & (1 << BLOCK_BITS) - 1
+        sums = np.zeros(len(keys) << BLOCK_BITS, np.int64)
+        np.add.at(sums, at, batch.column(4).flatten().to_numpy())
+        sums = sums.reshape(len(keys), -1)
+        if keys[0] == last:
+            sums[0] += open_sums
+        elif last is not None:
+            yield told([last], open_sums[None])
+        last, open_sums = keys[-1], sums[-1]
+        yield told(keys[:-1], sums[:-1])
+    if last is not None:
+        yield told([last], open_sums[None])
+
+
 def group_sums(vectors: list[DataFrame], spark: SparkSession) -> DataFrame:
     """(v, source, place, n): summed counts of every group, for the places where they are not 0.
 
-    A batch of sparse vectors is summed by (source, place) before anything is shuffled.
+    Sparse vectors are summed by (source, place) inside the tasks. What is shuffled is one row per (source, block of
+    1,024 places) with its sums, so a hot source is spread over its blocks; rows of a block are then added up as they
+    come, and no task holds more than one batch of them.
     """
-    def run(batches):
-        for batch in slices(batches, 4096, 32 << 20):
-            sources = batch.column(1).dictionary_encode()
-            vector = batch.column(2)
-            places = vector.field("indices")
-            lengths = np.diff(places.offsets.to_numpy())
-            group = np.repeat(sources.indices.to_numpy().astype(np.int64), lengths)
-            place, count = places.flatten().to_numpy(), vector.field("values").flatten().to_numpy()
-            if not len(place):
-                continue
-            size = int(place.max()) + 1
-            if size * len(sources.dictionary) <= 16 * len(place):  # few cells: one sum each
-                sums = np.bincount(group * size + place, count)  # exact: whole numbers far below 2**53
-                at = np.flatnonzero(sums)
-                keys, n = at // size << 32 | at % size, sums[at]
-            else:
-                keys, inverse = np.unique(group << 32 | place, return_inverse=True)
-                n = np.bincount(inverse, count)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(keys), batch.column(0)[0].as_py(), np.int32)), sources.dictionary.take(pa.array(keys >> 32)),
-                pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n.astype(np.int64))], ["v", "source", "place", "n"])
-
-    parts = [frame.mapInArrow(run, SUMS) for frame in vectors]
-    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], SUMS)).groupBy("v", "source", "place").agg(F.sum("n").alias("n"))
+    parts = [frame.mapInArrow(_sum_vectors, BLOCKS) for frame in vectors]
+    key = ["v", "source", "block"]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], BLOCKS)) \
+        .repartition(*key).sortWithinPartitions(*key).mapInArrow(_merge_blocks, SUMS)
 
 
 def _share(n: str, total: str, terms: str = "n_terms") -> Column:

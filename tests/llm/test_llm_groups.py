@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dockline.llm import centroids, divergence
@@ -69,6 +70,25 @@ def test_divergence_of_an_empty_table(spark):
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"] and got.count() == 0
 
 
+@pytest.mark.parametrize("pending,rows", [(2_000_000, 4096), (50, 7), (1, 1)])
+def test_block_sums_over_many_batches(monkeypatch, pending, rows):
+    """Sums are the same however often a task hands them on and wherever a block is cut into batches."""
+    monkeypatch.setattr(divergence, "PENDING", pending)
+    rng = np.random.default_rng(5)
+    vectors = [("s%d" % rng.integers(4), rng.choice(5000, rng.integers(0, 60), replace=False)) for _ in range(90)]
+    want = Counter()
+    for source, places in vectors:
+        want.update({(7, source, int(p)): int(p) % 5 + 1 for p in places})
+    kind = pa.struct([("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([7] * len(vectors), pa.int32()), pa.array([s for s, _ in vectors]),
+        pa.array([{"indices": p.tolist(), "values": (p % 5 + 1.0).tolist()} for _, p in vectors], kind)], ["v", "source", "vector"])
+    cut = [batch.slice(i, rows) for i in range(0, batch.num_rows, rows)]
+    blocks = pa.Table.from_batches(list(divergence._sum_vectors(cut))).sort_by([("source", "ascending"), ("block", "ascending")])
+    got = pa.Table.from_batches(list(divergence._merge_blocks(blocks.to_batches(max_chunksize=rows)))).to_pylist()
+    assert {(r["v"], r["source"], r["place"]): r["n"] for r in got} == dict(want) and len(got) == len(want)
+
+
 def test_shares_beyond_a_billion_counts(spark):
     df = spark.createDataFrame([(10 ** 13, 10 ** 15, 10 ** 6)], "n bigint, total bigint, n_terms bigint")
     assert df.select(divergence._share("n", "total")).first()[0] == 1 + 10 ** 9 * (10 ** 13 + 2) // (10 ** 15 + 2 * 10 ** 6)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dockline.functions import urls as U
 from dockline.jobs import crawl_site
+from dockline.operators import outline
 from dockline.operators import pages as O
 from dockline.plans.registry import TRIPS, query, with_tables
 from dockline.session import shared_path
@@ -72,6 +73,50 @@ def page_markdown(spark, folder):
     return _parsed(spark, folder).select("url", "content", "status")
 
 
+# Marks of whole pages, navigation included; a place is that among the page's marks of one kind.
+@query("page_markdown_marks", r"""
+    WITH told AS (
+      SELECT url, regexp_extract(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<body>(.*)$', 1, 's') AS body FROM pages),
+    parts AS (
+      SELECT url, 'heading' AS kind, 1 AS level, regexp_extract_all(body, '<h1>(.*?)</h1>', 1, 's') AS texts,
+             list_transform(texts, lambda x: CAST(NULL AS VARCHAR)) AS targets FROM told
+      UNION ALL
+      SELECT url, 'item', 1, regexp_extract_all(body, '<li>(.*?)</li>', 1, 's') AS texts,
+             list_transform(texts, lambda x: CAST(NULL AS VARCHAR)) FROM told
+      UNION ALL
+      SELECT url, 'link', 1, regexp_extract_all(body, '<a href="[^"]*">(.*?)</a>', 1, 's'),
+             regexp_extract_all(body, '<a href="([^"]*)">.*?</a>', 1, 's') FROM told)
+    SELECT url, kind, level, CAST(place AS INTEGER) AS place, target,
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+                          '[^\p{L}\p{N}]', '', 'g') AS letters
+    FROM (SELECT url, kind, level, unnest(texts) AS text, unnest(targets) AS target, unnest(generate_series(1, len(texts))) AS place FROM parts)""")
+def page_markdown_marks(spark, folder):
+    marks = outline.markdown_marks(O.parse_pages(T.pages(spark, folder), scraped_at=F.lit(0.0), clean=False))
+    return marks.select("url", "kind", "level", F.col("place_of_kind").alias("place"), "target", F.regexp_replace("text", r"[^\p{L}\p{N}]", "").alias("letters"))
+
+
+@query("nested_list_marks", r"""
+    SELECT url, m.place, m.kind, m.level, m.number, m.text, m.target FROM (
+      SELECT 'https://orders.example/' || o_orderkey AS url, unnest([
+        {'place': 1, 'kind': 'heading', 'level': 2, 'number': NULL, 'text': 'Order ' || o_orderkey, 'target': NULL},
+        {'place': 2, 'kind': 'item', 'level': 1, 'number': NULL, 'text': 'Status ' || o_orderstatus, 'target': NULL},
+        {'place': 3, 'kind': 'item', 'level': 2, 'number': 1, 'text': 'Customer ' || o_custkey, 'target': NULL},
+        {'place': 4, 'kind': 'link', 'level': 2, 'number': NULL, 'text': 'Customer ' || o_custkey, 'target': '/customers/' || o_custkey},
+        {'place': 5, 'kind': 'item', 'level': 2, 'number': 2, 'text': 'Priority', 'target': NULL},
+        {'place': 6, 'kind': 'item', 'level': 3, 'number': NULL, 'text': o_orderpriority, 'target': NULL},
+        {'place': 7, 'kind': 'item', 'level': 1, 'number': NULL, 'text': 'End', 'target': NULL}]) AS m
+      FROM orders)""")
+def nested_list_marks(spark, folder):
+    """A page per order, with a counted list and a plain one inside a list, made to Markdown and read back."""
+    html = F.format_string(
+        '<body><h2>Order %s</h2><ul><li>Status %s<ol><li><a href="/customers/%s">Customer %s</a></li><li>Priority<ul><li>%s</li></ul></li></ol>'
+        "</li><li>End</li></ul></body>",
+        *[F.col(c).cast("string") for c in ("o_orderkey", "o_orderstatus", "o_custkey", "o_custkey", "o_orderpriority")])
+    pages = T.table(spark, folder, "orders").select(
+        F.concat(F.lit("https://orders.example/"), F.col("o_orderkey").cast("string")).alias("url"), html.alias("html"))
+    return outline.markdown_marks(O.parse_pages(pages, scraped_at=F.lit(0.0))).drop("place_of_kind")
+
+
 @query("cleaned_page_links", with_tables(CLEAN) + """
     SELECT url, CAST(len(regexp_extract_all(cleaned, '<a href=')) AS INTEGER) AS links_count FROM clean""")
 def cleaned_page_links(spark, folder):

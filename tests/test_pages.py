@@ -160,3 +160,47 @@ def test_reading_is_linear_in_unclosed_elements():
 
     seconds(500)
     assert min(seconds(4000) for _ in range(3)) < 3.2 * min(seconds(2000) for _ in range(3))
+
+
+def test_marks_of_nested_lists():
+    from dockline.operators.outline import marks
+
+    page = body("<body><h1>Top *1*</h1><ol>" + "<li>x</li>" * 9 + "<li>ten<ul><li>a <b>b</b><ol><li>deep <a href='/d(1)'>d</a></li></ol></li></ul></li></ol>"
+                    "<blockquote><h3>quoted</h3><ul><li>q</li></ul></blockquote><ul><li><ul><li>inner</li></ul></li></ul><h2>End</h2></body>")
+    got = marks(page)
+    assert got[:2] == [("heading", 1, None, "Top *1*", None), ("item", 1, 1, "x", None)]
+    assert got[10:] == [
+        ("item", 1, 10, "ten", None), ("item", 2, None, "a b", None), ("item", 3, 1, "deep d", None), ("link", 3, None, "d", "/d(1)"),
+        ("heading", 3, None, "quoted", None), ("item", 1, None, "q", None),
+        ("item", 1, None, "", None), ("item", 2, None, "inner", None), ("heading", 2, None, "End", None)]
+
+
+def test_marks_skip_code_and_keep_targets():
+    from dockline.operators.outline import marks
+
+    assert marks("") == [] and marks("plain text\n\nmore") == []
+    assert marks("- a\n  ```\n  # no\n  - no [x](y)\n  ```\n  ## yes") == [("item", 1, None, "a", None), ("heading", 2, None, "yes", None)]
+    assert marks("`[a](b)` <https://a.example/x> ![pic](p.png) [t\\_u](v)") == [
+        ("link", 0, None, "", "https://a.example/x"), ("image", 0, None, "pic", "p.png"), ("link", 0, None, "t_u", "v")]
+
+
+def test_marks_of_odd_pages(spark):
+    from dockline.operators.outline import markdown_marks
+
+    pages = spark.createDataFrame([("u", None), (None, "<h1>a</h1>"), ("e", ""), ("p", "no marks"), ("p", "<h2>b</h2>"), ("p", "<h2>b</h2>")],
+                                  "url string, html string")
+    parsed = O.parse_pages(pages)
+    got = [(r.url, r.place_of_kind, r.kind, r.level, r.text) for r in markdown_marks(parsed).collect()]
+    assert sorted(got, key=str) == sorted([(None, 1, "heading", 1, "a")] + [("p", 1, "heading", 2, "b")] * 2, key=str)
+    assert markdown_marks(parsed.limit(0)).count() == 0
+
+
+def test_marks_are_read_in_linear_time():
+    import time
+
+    from dockline.operators.outline import marks
+
+    start = time.time()
+    for text in ("[a](" * 50_000, "[" * 200_000, "- " * 2_000, "`" * 99_999, "[a](b)" * 30_000, "<a:" * 60_000):
+        marks(text)
+    assert time.time() - start < 10

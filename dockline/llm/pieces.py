@@ -12,6 +12,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from dockline.llm.common import list_column, process_cache, slices, text_bytes
 
 SPACE = "▁"
-SCHEMA = "ids array<int>, begins array<int>, ends array<int>, decoded binary"
+SCHEMA = "ids array<int>, begins array<int>, ends array<int>, covered boolean, decoded binary"
 
 
 def fields(message: bytes):
@@ -194,12 +195,21 @@ class PieceEncoder:
             ends = np.where(byte, np.minimum(begins + 1, ends), ends)
         return ids, begins.astype(np.int32), ends.astype(np.int32)
 
+    @staticmethod
+    def covers(begins: np.ndarray, ends: np.ndarray, size: int) -> bool:
+        """Whether spans, in the order of their pieces, leave no byte of a text of ``size`` bytes out."""
+        if not len(begins):
+            return size == 0
+        return bool(begins[0] == 0 and ends[-1] == size and (begins[1:] <= ends[:-1]).all() and (begins <= ends).all())
+
     def decode(self, ids: np.ndarray) -> str:
         return self.library.decode(ids.tolist())
 
 
 def encode_pieces(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, ids, begins, ends (byte span of every piece in the text) and decoded (UTF-8 of decode(ids)).
+    """doc_id, ids, begins, ends (byte span of every piece in the text), covered and decoded (UTF-8 of decode(ids)).
+
+    ``covered`` says whether the spans leave no byte of the text out. A normaliser that trims blanks does leave some out.
 
     * A null text counts as empty; an empty text has no pieces and decodes to nothing.
     * A null doc_id stays null; repeated rows come out as often as they go in.
@@ -217,18 +227,30 @@ def encode_pieces(docs: DataFrame, model: bytes) -> DataFrame:
             n = np.array([len(g[0]) for g in got], np.int64)
             columns = [list_column(n, np.concatenate([g[k] for g in got]), pa.int32()) for k in range(3)]
             decoded = pa.array([encoder.decode(g[0]).encode() for g in got], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, decoded],
-                                             ["doc_id", "ids", "begins", "ends", "decoded"])
+            sizes = pc.binary_length(batch.column(1)).to_pylist()
+            covered = pa.array([encoder.covers(g[1], g[2], size) for g, size in zip(got, sizes)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, covered, decoded],
+                                             ["doc_id", "ids", "begins", "ends", "covered", "decoded"])
 
     return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(encode, "doc_id bigint, " + SCHEMA)
 
 
+def _listed(column: str):
+    """SHA-256 of a list's decimal numbers joined by commas."""
+    return F.sha2(F.array_join(F.col(column).cast("array<string>"), ",").cast("binary"), 256)
+
+
 def piece_digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256 of ``encode_pieces``."""
+    """What ``encode_pieces`` found, digested.
+
+    doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256, ends_sha256 (where each piece ends in the
+    text's bytes, joined by commas) and covered.
+    """
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        _listed("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        _listed("ends").alias("ends_sha256"),
+        "covered",
     )
-

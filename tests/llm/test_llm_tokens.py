@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from dockline.llm.bytepair import PartEncoder
 from dockline.llm.huffman import LIMIT, Codebook, code_lengths
-from dockline.llm.pieces import CharacterMap, PieceEncoder, encode_pieces, piece_digests
+from dockline.llm.pieces import CharacterMap, PieceEncoder, encode_pieces, fields, piece_digests
 from dockline.llm.token_files import read_token_files, token_file_round_trip, write_token_files
 from dockline.llm.transducer import Borders, TokenCounter, _border_step
 from dockline.llm.transducer_counts import token_counts
@@ -201,12 +201,61 @@ def test_alignment_through_a_character_map():
     assert [(int(b), int(e)) for b, e in zip(begin, end)][3:] == [(0, 1), (1, 2), (1, 2), (1, 2), (2, 5), (2, 5), (5, 8), (5, 8), (5, 8)]
 
 
+def plain_ends(library, text):
+    """Where the library's own pieces end in the text's bytes; byte pieces of one character take a byte each."""
+    ends, at = [], 0
+    for piece in library.encode(text, return_type="proto").pieces:
+        at = at + 1 if library.is_byte(piece.id) else piece.end
+        ends.append(at)
+    return ends
+
+
+def test_spans_that_cover():
+    covers = lambda spans, size: PieceEncoder.covers(*(np.array(x, np.int32) for x in zip(*spans)), size)
+    none = np.zeros(0, np.int32)
+    assert PieceEncoder.covers(none, none, 0) and not PieceEncoder.covers(none, none, 1)
+    assert covers([(0, 0), (0, 3), (3, 5)], 5) and covers([(0, 3), (0, 3), (3, 5)], 5)
+    assert not covers([(0, 2), (3, 5)], 5) and not covers([(1, 5)], 5) and not covers([(0, 4)], 5)
+
+
+def filled(entries):
+    """The test model with another character map and a trimming normaliser: the field of the normaliser is written anew."""
+    def number(n):
+        return bytes([n & 127 | 128]) + number(n >> 7) if n > 127 else bytes([n])
+
+    def field(key, value):
+        return number(key << 3) + number(value) if isinstance(value, int) else number(key << 3 | 2) + number(len(value)) + value
+
+    spec = next(v for k, v in fields(MODEL) if k == 3)
+    old = {k: v for k, v in fields(spec)}
+    new = b"".join(field(k, v) for k, v in sorted({**old, 2: compiled(entries), 4: 1}.items()))
+    at = MODEL.index(field(3, spec))
+    return MODEL[:at] + field(3, new) + MODEL[at + len(field(3, spec)):]
+
+
+def test_model_with_a_filled_character_map():
+    """Ids and spans of a model whose map replaces, widens and deletes, and that squeezes blanks."""
+    model = filled({"\ufb01".encode(): b"fi", "\u2026".encode(): b"...", "\u00a0".encode(): b" ", "\u00ad".encode(): b"", b"Q": b"q"})
+    encoder, library = PieceEncoder(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    assert not encoder.normaliser.plain
+    for text in ["", "  ", "the \ufb01sh\u2026  end ", "so\u00adft\u00a0 hy\u00adphen", "Queue \ufb01\ufb01 \u2026\u2026", "\U0001f9ff Q"]:
+        ids, begins, ends = encoder.encode(text)
+        assert ids.tolist() == library.encode(text), repr(text)
+        raw = text.encode()
+        if not encoder.is_byte[ids].any():
+            assert encoder.normaliser.run(raw)[0].decode() == "".join(library.id_to_piece(i) for i in ids.tolist()), repr(text)
+        assert (begins <= ends).all() and (ends[1:] >= ends[:-1]).all() and (not len(ends) or ends[-1] <= len(raw)), repr(text)
+    ids, begins, ends = encoder.encode("x\ufb01")
+    assert begins[0] == 0 and ends[-1] == 4 and encoder.covers(begins, ends, 4)
+
+
 def test_piece_table(spark, given):
     docs, rows = given
     library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
     got = sorted(map(tuple, piece_digests(encode_pieces(docs, MODEL)).collect()), key=str)
     digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
     want = sorted(((i, len(library.encode(t or "")), digest(",".join(map(str, library.encode(t or "")))),
-                    digest(library.decode(library.encode(t or "")))) for i, t, _ in rows), key=str)
+                    digest(library.decode(library.encode(t or ""))), digest(",".join(map(str, plain_ends(library, t or "")))), True)
+                   for i, t, _ in rows), key=str)
     assert got == want
     assert encode_pieces(docs.limit(0), MODEL).count() == 0

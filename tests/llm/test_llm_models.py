@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -310,6 +311,64 @@ def test_chat_equals_its_sql(spark, sf_dir):
     assert compare(QUERIES["op8_chat"](spark, sf_dir), connect(sf_dir), ORACLES["op8_chat"]) == ""
 
 
+def plain_windows(text, size=60):
+    """Words laid into windows of at most ``size`` bytes one after the other; a longer word is a window of its own."""
+    blank, out, at = b" \t\n\r\f\v", [], 0
+    while at < len(text):
+        if text[at] in blank:
+            at += 1
+            continue
+        end = at + size
+        if end < len(text) and text[end] not in blank:
+            while end > at and text[end] not in blank:
+                end -= 1
+            if end == at:
+                end = at + size
+                while end < len(text) and text[end] not in blank:
+                    end += 1
+        out.append(text[at:end])
+        at = max(at + 1, min(end, len(text)))
+    return out
+
+
+def test_toxicity_equals_plain_zstandard_calls(spark, tables, odd):
+    """Every score again from single compressions without a prepared dictionary, a new compressor for each call."""
+    rng = np.random.default_rng(2)
+    common = ["word%s" % a for a in "abcdefghijklmnopqrst"] + ["plain", "text", "of", "the", "city"]
+    bad = ["zorgblat", "krimvexing", "quxhound"]
+    rows = [(i, " ".join(rng.choice(common, 40)) + (" " + " ".join(rng.choice(bad, rng.integers(1, 5))) + " end") * (i % 3 == 0)) for i in range(240)]
+    model = toxicity.fit([t.encode() for _, t in rows], np.array([i % 3 == 0 for i, _ in rows]).astype(int), 0.2)
+    given = zstandard.ZstdCompressionParameters(
+        window_log=16, hash_log=16, chain_log=16, search_log=6, min_match=5, strategy=6, target_length=32,
+        write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def length(window, content):
+        content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=content, compression_params=given).compress(window))
+
+    def plain(text):
+        windows = [b" " + w + b" " for w in plain_windows((text or "").encode().lower())]
+        gains = sorted((length(w, model.ordinary) - length(w, model.toxic + model.ordinary) for w in windows), reverse=True)
+        best = [max(0, g) for g in gains[:3]] + [0] * (3 - len(gains))
+        if best[0] == 0:
+            return model.silent
+        return 1 / (1 + np.exp(-(np.array([1.0, *best, np.log1p(len(windows))]) @ model.weights)))
+
+    made = spark.createDataFrame([(1000 + i, t) for i, t in rows], "doc_id bigint, text string")
+    docs = tables["documents"].select("doc_id", "text").unionByName(made).unionByName(odd.where("length(text) < 1000 OR text IS NULL").select("doc_id", "text"))
+    want = sorted(((r["doc_id"], plain(r["text"])) for r in docs.collect()), key=str)
+    got = sorted(map(tuple, toxicity.toxicity_scores(docs, model).collect()), key=str)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-9)
+    assert len({round(g[1], 6) for g in got}) > 3
+    assert np.mean([(s >= 0.3) == (i % 3 == 1) for i, s in got if i is not None and i >= 1000]) > 0.95
+
+
+@pytest.mark.parametrize("text", [b"", b"  ", b"a", b"word " * 40, b"x" * 200, b"ab " + b"y" * 70 + b" z" * 50, b"\n\tq" * 41, b"k" * 60 + b" " + b"k" * 59 + b" k"])
+def test_windows_equal_a_plain_walk(text):
+    assert [w.rstrip() for w in toxicity.CUT.findall(text)] == [w.rstrip() for w in plain_windows(text)]
+
+
 def test_pipeline_stages(spark, sf_dir, tables):
     docs = tables["documents"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "simhash near-dedup", "mixing", "sentencepiece"]

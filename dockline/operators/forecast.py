@@ -10,8 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StandardScalerModel, StringIndexer, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +30,8 @@ ADVANCED_NUMBERS = BASIC_NUMBERS + [
 # --------------------------------------------------------------------------
 
 DEEPEST = 30  # the deepest trees that Spark ML grows
+GROVE, GROVE_ROWS = 10, 10_000  # trees that grow together, and the rows up to which all do
+AT_ONCE = 20  # fits side by side
 SPLIT_BUCKETS = 2 ** 31
 TARGET, PREDICTION = "trip_count", "prediction"
 PREFIX = {"start_zone": "zone", "season": "season"}
@@ -109,14 +111,35 @@ def feature_stages(numbers: list[str], categories: list[str], scale: bool = True
     return stages
 
 
-def forest(trees: int = TREES, depth: int = DEEPEST) -> RandomForestRegressor:
+def forest(trees: int = TREES, depth: int = DEEPEST, seed: int = SEED, prediction: str = PREDICTION) -> RandomForestRegressor:
     """The forest; each row's place in every tree stays on its executor, so tasks need not carry the grown trees.
 
-    The places are checkpointed every tenth level where the context has a checkpoint folder.
+    The places are checkpointed every tenth level where the context has a checkpoint folder. ``maxMemoryInMB``
+    bounds the sums that one task holds at a time, and not the trees.
     """
     return RandomForestRegressor(
-        featuresCol="features", labelCol=TARGET, predictionCol=PREDICTION, numTrees=trees, maxDepth=depth,
-        maxMemoryInMB=1024, seed=SEED, featureSubsetStrategy="all", cacheNodeIds=True, checkpointInterval=10)
+        featuresCol="features", labelCol=TARGET, predictionCol=prediction, numTrees=trees, maxDepth=depth,
+        maxMemoryInMB=256, seed=seed, featureSubsetStrategy="all", cacheNodeIds=True, checkpointInterval=10)
+
+
+def groves(trees: int, depth: int, rows: int) -> list[RandomForestRegressor]:
+    """The trees of a forest in groups that can grow side by side, each with a seed of its own.
+
+    A table of zones and days lies in one or few partitions, and a forest that grows alone has a task for each of
+    them. Up to GROVE_ROWS rows the trees grow together; the cut depends on nothing else, so that neither does the model.
+    """
+    if rows <= GROVE_ROWS or trees <= GROVE:
+        return [forest(trees, depth)]
+    sizes = [min(GROVE, trees - at) for at in range(0, trees, GROVE)]
+    return [forest(n, depth, SEED + 10_007 * i, f"grove_{i}") for i, n in enumerate(sizes)]
+
+
+def mean_of_groves(grown: list[RandomForestRegressionModel]) -> list[SQLTransformer]:
+    """The stage that makes the forest's prediction from those of its groves; none where there is one grove."""
+    if len(grown) == 1:
+        return []
+    total = " + ".join(f"{m.getNumTrees} * {m.getPredictionCol()}" for m in grown)
+    return [SQLTransformer(statement=f"SELECT *, ({total}) / {sum(m.getNumTrees for m in grown)} AS {PREDICTION} FROM __THIS__")]
 
 
 def side_by_side(spark: SparkSession, calls: list[Callable], at_once: int) -> list:
@@ -133,7 +156,7 @@ class TripPredictor:
     advanced: bool = False
     trees: int = TREES
     depth: int = DEEPEST
-    at_once: int = FOLDS + 1
+    at_once: int = AT_ONCE
     model: PipelineModel | LS.LinearFit | None = None
     scores: dict[str, float] = field(default_factory=dict)
     zone_means: DataFrame | None = None
@@ -164,7 +187,8 @@ class TripPredictor:
         fitting, _ = train_test(aligned, test_share, seed)
         marked = with_folds(fitting, folds) if folds else fitting.withColumn("fold", F.lit(0))
         left_out = (self._fit_line if self.model_type == "linear_regression" else self._fit_forests)(marked, bool(folds))
-        scored = self.model.transform(aligned.withColumn("part", split_column(test_share, seed)))
+        scored = self._spread(aligned).withColumn("part", split_column(test_share, seed))
+        scored = self.model.transform(scored)
         for row in metrics(scored, by="part").collect():  # two rows
             for name in ("r2", "mae", "rmse"):
                 self.scores[f"{row['part']}_{name}"] = row[name]
@@ -174,6 +198,11 @@ class TripPredictor:
         self.scores["cv_r2_std"] = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 if known else 0.0
         return self
 
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        """Rows over all cores where a forest of several groves is to score them: small rows, but a walk down every tree."""
+        spread = self.model_type == "random_forest" and any(isinstance(s, SQLTransformer) for s in self._fitted().stages)
+        return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism) if spread else rows
+
     def _fit_line(self, marked: DataFrame, validate: bool) -> list[float | None]:
         """The line over all folds, and r2 of those without each fold on the rows left out, all from one aggregate."""
         sums = LS.moments(marked, self.numbers, self.categories, TARGET, "fold")
@@ -187,23 +216,30 @@ class TripPredictor:
 
         Categories are indexed once; scaling and trees are fitted anew without each fold.
         """
+        spark = marked.sparkSession
         prepare = Pipeline(stages=feature_stages(self.numbers, self.categories)[:-1]).fit(marked)
         ready = prepare.transform(marked).select("fold", "raw_features", TARGET).persist()
 
-        def fit(rows: DataFrame) -> PipelineModel:
-            scale = feature_stages(self.numbers, self.categories)[-1]
-            return Pipeline(stages=[scale, forest(self.trees, self.depth)]).fit(rows)
-
-        def without(fold: int) -> Callable:
-            return lambda: metrics(fit(ready.where(F.col("fold") != fold)).transform(ready.where(F.col("fold") == fold))).first()["r2"]
+        def scaled(rows: DataFrame) -> StandardScalerModel:
+            return feature_stages(self.numbers, self.categories)[-1].fit(rows)
 
         try:
-            folds = sorted(r["fold"] for r in ready.select("fold").distinct().collect())  # at most the number of folds
-            calls = [without(f) for f in folds] if validate and len(folds) > 1 else []
-            grown, *left_out = side_by_side(marked.sparkSession, [lambda: fit(ready), *calls], self.at_once)
+            sizes = {r["fold"]: r["count"] for r in ready.groupBy("fold").count().collect()}  # at most the number of folds
+            folds, total = sorted(sizes) if validate and len(sizes) > 1 else [], sum(sizes.values())
+            parts = [(ready, total), *((ready.where(F.col("fold") != f), total - sizes[f]) for f in folds)]
+            scales = side_by_side(spark, [lambda rows=rows: scaled(rows) for rows, _ in parts], self.at_once)
+            wanted = [(i, g) for i, (_, n) in enumerate(parts) for g in groves(self.trees, self.depth, n)]
+            grown = side_by_side(
+                spark, [lambda i=i, g=g: g.fit(scales[i].transform(parts[i][0]).select("features", TARGET)) for i, g in wanted], self.at_once)
+            models = []
+            for i, scale in enumerate(scales):
+                own = [m for (j, _), m in zip(wanted, grown) if j == i]
+                models.append(PipelineModel([scale, *own, *mean_of_groves(own)]))
+            left_out = side_by_side(spark, [
+                lambda f=f, m=m: metrics(m.transform(ready.where(F.col("fold") == f))).first()["r2"] for f, m in zip(folds, models[1:])], self.at_once)
         finally:
             ready.unpersist()
-        self.model = PipelineModel(prepare.stages + grown.stages)
+        self.model = PipelineModel(prepare.stages + models[0].stages)
         return left_out
 
     def _fitted(self):
@@ -252,19 +288,27 @@ class TripPredictor:
         model = self._fitted()
         pairs: list[tuple[str, float]] = []
         if self.model_type == "random_forest":
-            scores = model.stages[-1].featureImportances.toArray().tolist()
-            pairs = list(zip(self._feature_names(), scores))
+            pairs = list(zip(self._feature_names(), self._importances()))
         frame = spark.createDataFrame(pairs, "feature string, importance double")
         ordered = frame.orderBy(F.col("importance").desc(), "feature")
         return ordered if k is None else ordered.limit(k)
 
+    def _importances(self) -> list[float]:
+        """Those of the groves, weighted by their trees: a forest's are the mean over its trees."""
+        grown = [s for s in self._fitted().stages if isinstance(s, RandomForestRegressionModel)]
+        if len(grown) == 1:
+            return grown[0].featureImportances.toArray().tolist()
+        whole = sum(m.getNumTrees * m.featureImportances.toArray() for m in grown)
+        return (whole / (whole.sum() or 1.0)).tolist()
+
     def scaling(self, spark: SparkSession) -> DataFrame:
         """Mean and standard deviation of each feature of the training part."""
         model = self._fitted()
         if isinstance(model, LS.LinearFit):
             mean, std = model.means, model.deviations
         else:
-            mean, std = (v.toArray().tolist() for v in (model.stages[-2].mean, model.stages[-2].std))
+            scale = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+            mean, std = scale.mean.toArray().tolist(), scale.std.toArray().tolist()
         pairs = zip(self._feature_names(), mean, std)
         return spark.createDataFrame(list(pairs), "feature string, mean double, std double")
 

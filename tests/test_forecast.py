@@ -133,3 +133,20 @@ def test_comparison_and_records(linear, forest, spark):
     records = FC.run_records(spark, "r1", forest)
     kinds = {r.kind: r["count"] for r in records.groupBy("kind").count().collect()}
     assert kinds["importance"] == 6 and kinds["param"] == 3 and kinds["metric"] == 8
+
+
+def test_a_large_forest_grows_in_groves(days, spark, folder, monkeypatch):
+    assert [(g.getNumTrees(), g.getMaxDepth()) for g in FC.groves(100, 30, 60_000)] == [(10, 30)] * 10
+    assert len({g.getSeed() for g in FC.groves(100, 30, 60_000)}) == 10
+    assert [(g.getNumTrees(), g.getSeed(), g.getPredictionCol()) for g in FC.groves(100, 30, 10_000)] == [(100, FC.SEED, "prediction")]
+    monkeypatch.setattr(FC, "GROVE_ROWS", 100)
+    model = FC.TripPredictor("random_forest", trees=25, depth=5).train(days, folds=3)
+    grown = [s for s in model.model.stages if hasattr(s, "getNumTrees")]
+    assert [m.getNumTrees for m in grown] == [10, 10, 5] and model.scores["test_r2"] > 0.95 and model.scores["cv_r2_mean"] > 0.9
+    every = model.model.transform(model._aligned(days)).collect()
+    for r in every:
+        assert np.isclose(r.prediction, (10 * r.grove_0 + 10 * r.grove_1 + 5 * r.grove_2) / 25)
+    importance = {r.feature: r.importance for r in model.feature_importance(spark).collect()}
+    assert math.isclose(sum(importance.values()), 1.0, rel_tol=1e-9) and len(importance) == 6 and model.scaling(spark).count() == 6
+    model.save(folder, spark)
+    assert rows(FC.TripPredictor.load(folder, spark).predict(days)) == rows(model.predict(days))

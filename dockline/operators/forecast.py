@@ -31,6 +31,7 @@ ADVANCED_NUMBERS = BASIC_NUMBERS + [
 
 DEEPEST = 30  # the deepest trees that Spark ML grows
 GROVE, GROVE_ROWS = 10, 10_000  # trees that grow together, and the rows up to which all do
+PART_ROWS = 50_000  # rows of a partition of a large table: every partition sends sums for every node
 AT_ONCE = 20  # fits side by side
 SPLIT_BUCKETS = 2 ** 31
 TARGET, PREDICTION = "trip_count", "prediction"
@@ -226,7 +227,8 @@ class TripPredictor:
         try:
             sizes = {r["fold"]: r["count"] for r in ready.groupBy("fold").count().collect()}  # at most the number of folds
             folds, total = sorted(sizes) if validate and len(sizes) > 1 else [], sum(sizes.values())
-            parts = [(ready, total), *((ready.where(F.col("fold") != f), total - sizes[f]) for f in folds)]
+            laid = ready.coalesce(-(-total // PART_ROWS)) if total > GROVE_ROWS else ready
+            parts = [(laid, total), *((laid.where(F.col("fold") != f), total - sizes[f]) for f in folds)]
             scales = side_by_side(spark, [lambda rows=rows: scaled(rows) for rows, _ in parts], self.at_once)
             wanted = [(i, g) for i, (_, n) in enumerate(parts) for g in groves(self.trees, self.depth, n)]
             grown = side_by_side(

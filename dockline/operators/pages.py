@@ -6,7 +6,7 @@ import sys
 from collections.abc import Iterator
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,25 +32,30 @@ CONTENT_HEADER = (
 ERROR_TITLE = "Error"
 ERROR_CONTENT = "# Error scraping %s\n\nError: %s"
 NO_PAGE = "page not found"
+PAGES_AT_ONCE = 64  # pages whose texts a Python worker holds side by side
 # --------------------------------------------------------------------------
 
 _PARSED = ("url string, title string, description string, main_heading string, "
            "body string, links array<string>, error string")
+_PARSED_COLUMNS = ["url", "title", "description", "main_heading", "body", "links", "error"]
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame], clean: bool = True) -> Iterator[pd.DataFrame]:
+def _parse_batches(batches: Iterator[pa.RecordBatch], clean: bool = True) -> Iterator[pa.RecordBatch]:
+    """Parsed pages, a few at a time: a batch of Spark's has up to 10,000 pages, which only stay there as Arrow's bytes."""
+    schema = pa.schema([(c, pa.list_(pa.string()) if c == "links" else pa.string()) for c in _PARSED_COLUMNS])
     for batch in batches:
-        rows = []
-        for url, html in zip(batch["url"], batch["html"]):
-            row = dict.fromkeys(("title", "description", "main_heading", "body", "links", "error"))
-            try:
-                if html is None:
-                    raise ValueError(NO_PAGE)
-                row.update(read_page(url or "", html, clean))
-            except Exception as problem:  # one bad page must not end the job
-                row["error"] = str(problem) or type(problem).__name__
-            rows.append({"url": url, **row})
-        yield pd.DataFrame(rows, columns=["url", "title", "description", "main_heading", "body", "links", "error"])
+        for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+            rows = []
+            for page in batch.slice(at, PAGES_AT_ONCE).to_pylist():
+                row = dict.fromkeys(_PARSED_COLUMNS)
+                try:
+                    if page["html"] is None:
+                        raise ValueError(NO_PAGE)
+                    row.update(read_page(page["url"] or "", page["html"], clean))
+                except Exception as problem:  # one bad page must not end the job
+                    row["error"] = str(problem) or type(problem).__name__
+                rows.append({**row, "url": page["url"]})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def _kept_links(links: Column, hosts: list[str] | None) -> Column:
@@ -70,7 +75,7 @@ def parse_pages(pages: DataFrame, hosts: list[str] | None = None, scraped_at: Co
     ``clean`` drops scripts, styles, navigation, headers and footers first,
     their links included.
     """
-    parsed = pages.select("url", "html").mapInPandas(partial(_parse_batches, clean=clean), _PARSED)
+    parsed = pages.select("url", "html").mapInArrow(partial(_parse_batches, clean=clean), _PARSED)
     when = F.unix_timestamp().cast("double") if scraped_at is None else scraped_at.cast("double")
     failed = F.col("error").isNotNull()
     stamp = F.date_format(F.timestamp_seconds(F.col("scraped_at")), "yyyy-MM-dd HH:mm:ss")

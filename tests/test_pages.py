@@ -204,3 +204,14 @@ def test_marks_are_read_in_linear_time():
     for text in ("[a](" * 50_000, "[" * 200_000, "- " * 2_000, "`" * 99_999, "[a](b)" * 30_000, "<a:" * 60_000):
         marks(text)
     assert time.time() - start < 10
+
+
+def test_few_pages_are_held_at_a_time():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"url": [f"u{i}" for i in range(1000)] + [None], "html": [f"<p>page {i}</p>" for i in range(1000)] + [None]})
+    sizes, taken = [], []
+    for part in O._parse_batches(iter([batch])):
+        sizes.append(part.num_rows)
+        taken += list(zip(part.column("url").to_pylist(), part.column("body").to_pylist(), part.column("error").to_pylist()))
+    assert max(sizes) <= 64 and taken == [(f"u{i}", f"page {i}", None) for i in range(1000)] + [(None, None, "page not found")]

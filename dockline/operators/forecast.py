@@ -30,7 +30,7 @@ ADVANCED_NUMBERS = BASIC_NUMBERS + [
 # --------------------------------------------------------------------------
 
 DEEPEST = 30  # the deepest trees that Spark ML grows
-GROVE, GROVE_ROWS = 10, 10_000  # trees that grow together, and the rows up to which all do
+GROVE, GROVE_ROWS = 10, 20_000  # trees that grow together, and the rows up to which all do
 PART_ROWS = 50_000  # rows of a partition of a large table: every partition sends sums for every node
 AT_ONCE = 20  # fits side by side
 SPLIT_BUCKETS = 2 ** 31

@@ -152,17 +152,37 @@ def interval_snapshots(spark, folder):
         "batch", "taken", "station_id", "snapshot_time", "num_bikes_available", "num_docks_available", "is_renting")
 
 
+# Stations of a landed document, about; a day with more of them lands as several documents.
+DOCUMENT_STATIONS = 20_000
+DAY_DOCUMENTS = 80_000  # their versions are seconds of the day, the shortest of which has 82,800
+
+
+def _documents(polls, most=DOCUMENT_STATIONS):
+    """Whole documents (last_updated, data) of about ``most`` stations; those of a day have versions from its start on.
+
+    Rows are dealt out by a hash of their contents and of their place among equal rows, so that a day's documents are
+    the same whenever they are made, and equal rows do not crowd one of them.
+    """
+    stations = ["station_id", "num_bikes_available", "num_docks_available", "is_renting"]
+    day = F.unix_timestamp(F.date_trunc("day", F.col("snapshot_time").cast("timestamp")))
+    folded = polls.groupBy(day.alias("day"), *stations).agg(F.count("*").alias("n"))
+    sizes = polls.groupBy(day.alias("of")).agg(F.least(F.ceil(F.count("*") / most), F.lit(DAY_DOCUMENTS)).alias("documents"))
+    dealt = folded.join(sizes, F.col("day").eqNullSafe(F.col("of"))).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))) \
+        .withColumn("document", F.pmod(F.xxhash64(*stations, "copy"), F.col("documents")))
+    rows = F.sort_array(F.collect_list(F.struct(*stations)))
+    return dealt.groupBy("day", "document").agg(rows.alias("stations")) \
+        .select((F.col("day") + F.col("document")).alias("last_updated"), F.struct("stations").alias("data"))
+
+
 @query("streamed_documents", with_tables(SNAPSHOTS) + """
     SELECT date_trunc('day', snapshot_time) AS snapshot_time, station_id, num_bikes_available, num_docks_available, is_renting FROM snapshots""")
 def streamed_documents(spark, folder):
     """Whole documents, one file each, that all land twice: every station row of each document once."""
-    day = F.date_trunc("day", F.col("snapshot_time").cast("timestamp"))
-    stations = F.sort_array(F.collect_list(F.struct("station_id", "num_bikes_available", "num_docks_available", "is_renting")))
-    documents = T.snapshots(spark, folder).groupBy(F.unix_timestamp(day).alias("last_updated")).agg(F.struct(stations.alias("stations")).alias("data"))
+    documents = _documents(T.snapshots(spark, folder))
     path, out, state = (shared_path(spark, n) for n in ("documents", "stations", "stations-state"))
     for _ in range(2):
         documents.write.mode("append").option("maxRecordsPerFile", 1).json(path)
         rows = P.document_stations(P.first_documents(P.landed_documents(spark, path), "10000 days"))
         P.to_parquet(rows, out, state).awaitTermination()
-    got = spark.read.schema(rows.schema).parquet(out)
+    got = spark.read.schema(rows.schema).parquet(out).withColumn("snapshot_time", F.date_trunc("day", "snapshot_time"))
     return _plain(got, "snapshot_time").select("snapshot_time", "station_id", "num_bikes_available", "num_docks_available", "is_renting")

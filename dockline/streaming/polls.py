@@ -32,11 +32,17 @@ def landed_polls(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def landed_documents(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Whole status documents as a stream: (snapshot_time, last_updated, data), one row per file."""
-    reader = spark.readStream.schema(S.ITEM_FEED["stations"]).option("multiLine", True)
+    """Whole status documents as a stream: (snapshot_time, last_updated, data), one row per document of a file.
+
+    A file is read as UTF-8 text and parsed there: a JSON source goes back to the start of its file for every item that
+    is kept as text, so that its work is quadratic in the document.
+    """
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(folder).select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", "data")
+    parsed = F.from_json(F.regexp_replace("value", "^\ufeff", ""), T.ArrayType(S.ITEM_FEED["stations"]))
+    documents = reader.text(folder, wholetext=True).select(F.explode_outer(parsed).alias("document")).select("document.*")
+    return documents.select(F.timestamp_seconds("last_updated").alias("snapshot_time"), "last_updated", "data")
 
 
 def first_documents(documents: DataFrame, delay: str = "30 minutes") -> DataFrame:

@@ -106,3 +106,35 @@ def test_a_repeated_batch_writes_nothing_twice(spark, folder):
     start()
     assert [r for r in shown() if r[0] == 2] == [(2, "10:30", "a", 5), (2, "10:30", "b", 1), (2, "10:30", "c", None), (2, "10:30", "d", 1)]
     assert sorted(os.listdir(f"{folder}/snaps/latest")) == ["batch=1", "batch=2"]
+
+
+def test_a_busy_day_lands_as_several_documents(spark):
+    from dockline.plans.streams import _documents
+
+    polls = spark.range(900).selectExpr(
+        "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(cast(id % 3 AS int)) AS snapshot_time", "if(id < 600, 'same', string(id)) AS station_id",
+        "cast(null AS int) AS num_bikes_available", "1 AS num_docks_available", "true AS is_renting")
+    made = lambda: rows(_documents(polls, 50).selectExpr("last_updated", "data.stations.station_id"))
+    documents = made()
+    assert documents == made() and sum(len(ids) for _, ids in documents) == 900 and len({v for v, _ in documents}) == len(documents)
+    assert len(documents) > 15 and max(len(ids) for _, ids in documents) < 100
+    assert {v // 86400 * 86400 for v, _ in documents} == {1704067200, 1704153600, 1704240000}
+    assert [v for v, _ in rows(_documents(polls).select("last_updated", "data"))] == [1704067200, 1704153600, 1704240000]
+
+
+def test_odd_and_large_documents(spark, folder):
+    import time
+
+    os.makedirs(f"{folder}/docs")
+    texts = ["﻿" + json.dumps({"last_updated": 60, "data": {"stations": [{"station_id": "é"}]}}), "", "no json", "null",
+             json.dumps([{"last_updated": 120, "data": {"stations": [{"station_id": "x"}]}}, {"last_updated": 180, "data": {"stations": []}}]),
+             json.dumps({"last_updated": 240, "data": {"stations": [{"station_id": str(i), "num_bikes_available": i} for i in range(40_000)]}}, indent=2)]
+    for i, text in enumerate(texts):
+        with open(f"{folder}/docs/{i}.json", "w", encoding="utf-8") as out:
+            out.write(text)
+    began = time.monotonic()
+    out = run(P.landed_envelopes(spark, f"{folder}/docs"), folder, "rows")
+    assert time.monotonic() - began < 30  # the file source takes far longer: it reads the file again for every item
+    assert rows(out.groupBy("last_updated").count()) == [(120, 1), (240, 40_000), (60, 1)]
+    assert rows(out.where("last_updated < 200"), "station_id") == [("x",), ("é",)]
+    assert out.where("num_bikes_available = station_id").count() == 40_000

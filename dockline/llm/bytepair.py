@@ -2,7 +2,8 @@
 
 The split pattern of these tokenizers starts a new piece at every space that stands before a visible
 character, so the parts between such spaces are split on their own, and equal parts only once. Their pieces go
-to the library's model, equal ones once as well.
+to the library's model, equal ones once as well. Arrow cuts a batch of texts and numbers its distinct parts, so
+that Python sees a part once a batch, however often it stands there; the numbers put the ids together.
 """
 
 from __future__ import annotations
@@ -12,12 +13,16 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 from dockline.llm.transducer import byte_signs
 
 UNSAFE = re.compile(r" [\s\x1c-\x1f\x85]")
+# The same, or a space at the end of a text, for Arrow.
+LOOSE = " (?:[" + "".join(filter(str.isspace, map(chr, range(0x3001)))) + "]|\\z)"
 # The split pattern of byte-level BPE, white space spelled out by its Unicode property.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -66,13 +71,10 @@ class PartEncoder:
         signs = {chr(byte): sign for sign, byte in byte_signs().items()}
         tokenize, spelled = self.tokenizer.model.tokenize, str.maketrans(signs)
 
-        def direct(text: str) -> bytes:
-            """Ids of a text that is one piece."""
-            spelling = text.replace(" ", signs[" "]) if text.isascii() else text.encode().decode("latin-1").translate(spelled)
-            return array("I", [t.id for t in tokenize(spelling)]).tobytes()
-
         def piece(text: str) -> bytes:
-            return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(spelled))]).tobytes()
+            plain = text.isascii() and text.isprintable()  # of these, the space alone is spelled by another sign
+            spelling = text.replace(" ", signs[" "]) if plain else text.encode().decode("latin-1").translate(spelled)
+            return array("I", [t.id for t in tokenize(spelling)]).tobytes()
 
         self.pieces = _Memo(piece, most)
         get = self.pieces.__getitem__
@@ -81,8 +83,8 @@ class PartEncoder:
             """Ids of ``lead`` and a part. Latin letters are one piece; a stop behind them and a line break between two
             visible signs are pieces of their own, so what stands on either side is looked up by itself."""
             def make(part: str) -> bytes:
-                if part.isalpha() and max(part) < LATIN_END:
-                    return direct(lead + part)
+                if part.isalpha() and (part.isascii() or max(part) < LATIN_END):
+                    return piece(lead + part)
                 if part[-1:] in STOPS and part[:-1].isalpha():
                     return again[part[:-1]] + get(part[-1])
                 left, line, right = part.partition("\n")
@@ -119,5 +121,33 @@ class PartEncoder:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.pieces.__getitem__, PIECE.findall(parts[0]))) + b"".join(map(self.rest.__getitem__, parts[1:]))
 
+    def batch(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a string array, ``end`` behind each text, and how many each text has then."""
+        n = len(texts)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        whole = pc.match_substring_regex(texts, LOOSE) if self.by_part else pa.array(np.ones(n, bool))
+        for special in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, special))
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        border, parts = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        raw = list(map(self.rest.__getitem__, parts.dictionary.to_numpy(zero_copy_only=False)))
+        # First parts have no space before them, and texts that cannot be cut here stand in their place.
+        place = parts.indices.to_numpy().copy()
+        place[border[:-1]] = len(raw) + np.arange(n)
+        first = list(map(self.bare.__getitem__, cut.values.take(pa.array(border[:-1])).to_pylist()))
+        for memo in (self.rest, self.bare, self.pieces):
+            memo.turn()
+        for i in np.flatnonzero(whole).tolist():
+            first[i] = self.raw(texts[i].as_py())
+        raw += [*first, end]
+        place = np.insert(place, border[1:], len(raw) - 1)
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        each = size[place]
+        ends = np.cumsum(each)
+        at = np.repeat((np.cumsum(size) - size)[place] - ends + each, each)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(raw), np.uint32)[at], np.diff(ends[border[1:] + np.arange(n)], prepend=0)
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), np.uint32)

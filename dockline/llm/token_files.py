@@ -36,13 +36,18 @@ def _encoder(content: bytes) -> PartEncoder:
     return process_cache(f"parts-{zlib.crc32(content)}", lambda: PartEncoder(content))
 
 
-def _planes(raw: bytes) -> bytes:
-    """32-bit ids with their bytes sorted by place, which compresses far better."""
-    return np.frombuffer(raw, np.uint8).reshape(-1, 4).T.tobytes()
+def _planes(ids: np.ndarray, per_text: np.ndarray) -> list[bytes]:
+    """The ids of every text with their bytes sorted by place, which compresses far better; before them the number
+    of bytes of an id, two where that is enough for all."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    lead, places = bytes([width]), ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.copy()
+    ends = np.cumsum(per_text)
+    return [lead + places[:, b:e].tobytes() for b, e in zip((ends - per_text).tolist(), ends.tolist())]
 
 
 def _from_planes(content: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(content, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+    width = content[0]
+    return np.frombuffer(content, np.uint8, offset=1).reshape(width, -1).T.copy().view(f"<u{width}").reshape(-1)
 
 
 def encoded_ids(docs: DataFrame, tokenizer: bytes, end_id: int) -> DataFrame:
@@ -55,13 +60,13 @@ def encoded_ids(docs: DataFrame, tokenizer: bytes, end_id: int) -> DataFrame:
 
     def encode(batches):
         encoder, end = _encoder(shipped.value), np.uint32(end_id).tobytes()
-        total = np.zeros(max(encoder.size, end_id + 1), np.int64)
-        for batch in slices(batches):
-            raw = [encoder.raw(t.decode()) + end for t in batch.column(1).to_pylist()]
-            total += np.bincount(np.frombuffer(b"".join(raw), np.uint32), minlength=len(total))
-            n = len(raw)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(map(_planes, raw), pa.binary()), pa.nulls(n, pa.binary())],
-                                             ["doc_id", "tie", "planes", "counts"])
+        size = max(encoder.size, end_id + 1)
+        total = np.zeros(size, np.int64)
+        for batch in slices(batches, 4096, 8 << 20):
+            ids, n = encoder.batch(batch.column(1).cast(pa.string()), end)
+            total += np.bincount(ids, minlength=size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(_planes(ids, n), pa.binary()),
+                                              pa.nulls(len(n), pa.binary())], ["doc_id", "tie", "planes", "counts"])
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                                               pa.array([total.tobytes()], pa.binary())], ["doc_id", "tie", "planes", "counts"])
@@ -117,7 +122,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: bytes, end_id: int
     def pack(batches):
         rows, bounds = shipped.value
         book, turn = Codebook(rows[:, 0], rows[:, 1]), 0
-        for batch in slices(batches):
+        for batch in slices(batches, 256, 512 << 10):  # what is worked on stays in the processor's cache
             ids = [_from_planes(p) for p in batch.column("planes").to_pylist()]
             n = np.array([len(i) for i in ids], np.int64)
             packed, size, marks = book.pack(np.concatenate(ids), n)
@@ -156,7 +161,7 @@ def _decoded(spark: SparkSession, path: str, make, schema: str) -> DataFrame:
 
     def decode(batches):
         book = Codebook(shipped.value[:, 0], shipped.value[:, 1])
-        for batch in slices(batches, 2048):
+        for batch in slices(batches, 512, 1 << 20):
             codes = batch.column("codes").to_pylist()
             size = np.array([len(c) for c in codes], np.int64)
             n = batch.column("n_tokens").to_numpy()

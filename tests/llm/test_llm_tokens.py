@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from dockline.llm.bytepair import PartEncoder
 from dockline.llm.huffman import LIMIT, Codebook, code_lengths
 from dockline.llm.pieces import CharacterMap, PieceEncoder, encode_pieces, fields, piece_digests
-from dockline.llm.token_files import read_token_files, token_file_round_trip, write_token_files
+from dockline.llm.token_files import _from_planes, _planes, read_token_files, token_file_round_trip, write_token_files
 from dockline.llm.transducer import Borders, TokenCounter, _border_step
 from dockline.llm.transducer_counts import token_counts
 
@@ -64,6 +65,29 @@ def test_part_memory_is_bounded(library):
     assert encoder.ids(text).tolist() == encoder.ids(text).tolist() == plain_ids(library, text)
 
 
+def test_batches_give_the_library_ids(library):
+    for encoder in (PartEncoder(JSON), PartEncoder(JSON, most=5)):
+        for texts in (TEXTS + random_texts(1500, 4), ["a b a b"], [""], []):
+            ids, n = encoder.batch(pa.array(texts, pa.string()), np.uint32(7).tobytes())
+            want = [plain_ids(library, t) + [7] for t in texts]
+            assert n.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_batch_looks_up_equal_parts_once(monkeypatch):
+    encoder, asked = PartEncoder(JSON), []
+    monkeypatch.setattr(type(encoder.rest), "__getitem__", lambda memo, key: asked.append(key) or dict.get(memo, key, b""))
+    encoder.batch(pa.array(["one two two"] * 500))
+    assert asked.count("two") == 1 and len(asked) < 600
+
+
+@pytest.mark.parametrize("top, width", [(100, 2), (1 << 16, 2), (70_000, 4)])
+def test_ids_take_two_bytes_where_that_is_enough(top, width):
+    ids, n = np.append(np.random.default_rng(0).integers(0, top, 999), top - 1).astype(np.uint32), np.array([3, 0, 997])
+    stored = _planes(ids, n)
+    assert [len(s) for s in stored] == (width * n + 1).tolist()
+    assert np.concatenate([_from_planes(s) for s in stored]).tolist() == ids.tolist()
+
+
 def test_transducer_counts_equal_the_library(library):
     counter = TokenCounter(JSON)
     texts = TEXTS + random_texts(1500, 2)
